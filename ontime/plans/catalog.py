@@ -64,3 +64,156 @@ from p left join carriers s on p.Reporting_Airline = s.carrier
 def q_arrival_delay_buckets(spark, sf_dir):
     t, f = _flights(spark, sf_dir)
     return reports.arrival_delay_buckets(f, dt.carriers_view(t))
+
+
+# --- R1, R2, R6 --------------------------------------------------------------
+
+@register("attribute_distribution", _sql_f("""
+select CancellationCode, count(*) as n from flights group by 1
+"""))
+def q_attribute_distribution(spark, sf_dir):
+    _, f = _flights(spark, sf_dir)
+    return reports.attribute_distribution(f, "CancellationCode")
+
+
+@register("airport_codes", _sql_f("""
+select Origin from flights union select Dest from flights
+"""))
+def q_airport_codes(spark, sf_dir):
+    _, f = _flights(spark, sf_dir)
+    return reports.airport_codes(f)
+
+
+@register("carrier_codes", _sql_f("""
+select distinct Reporting_Airline from flights
+"""))
+def q_carrier_codes(spark, sf_dir):
+    _, f = _flights(spark, sf_dir)
+    return reports.carrier_codes(f)
+
+
+# --- R4, R5, R7 --------------------------------------------------------------
+
+@register("routes_per_carrier", _sql_f("""
+, r as (select Reporting_Airline, count(*) as n
+        from (select distinct Reporting_Airline, Origin, Dest from flights) d group by 1)
+select r.Reporting_Airline, r.n, c.name from r left join carriers c on r.Reporting_Airline = c.carrier
+""", carriers=dt.CARRIERS_SQL))
+def q_routes_per_carrier(spark, sf_dir):
+    t, f = _flights(spark, sf_dir)
+    return reports.routes_per_carrier(f, dt.carriers_view(t))
+
+
+@register("cancellation_causes", _sql_f(f"""
+, c as (select Reporting_Airline, CancellationCode, count(*) as n
+        from flights where Cancelled = 1 group by 1, 2)
+, p as (select Reporting_Airline, CancellationCode,
+               n / sum(n) over (partition by Reporting_Airline) * 100 as Percent from c)
+select s.name, p.Percent, {sql_case('p.CancellationCode', CANCELLATION_LABELS)} as TypeCause
+from p left join carriers s on p.Reporting_Airline = s.carrier
+""", carriers=dt.CARRIERS_SQL))
+def q_cancellation_causes(spark, sf_dir):
+    t, f = _flights(spark, sf_dir)
+    return reports.cancellation_causes(f, dt.carriers_view(t))
+
+
+def _cause_union(src: str) -> str:
+    names = ["Carrier", "Weather", "NAS", "Security", "LateAircraft"]
+    return "\nunion all\n".join(
+        f"select Reporting_Airline, '{n}' as \"group\", c{i} / tot * 100 as value from {src}"
+        for i, n in enumerate(names))
+
+
+@register("delay_cause_share", _sql_f("""
+, s as (select Reporting_Airline, sum(ArrDelay) as tot,
+          sum(case when CarrierDelay > 0 then CarrierDelay end) as c0,
+          sum(case when WeatherDelay > 0 then WeatherDelay end) as c1,
+          sum(case when NASDelay > 0 then NASDelay end) as c2,
+          sum(case when SecurityDelay > 0 then SecurityDelay end) as c3,
+          sum(case when LateAircraftDelay > 0 then LateAircraftDelay end) as c4
+        from flights where ArrDelay >= 15 group by 1)
+""" + _cause_union("s")))
+def q_delay_cause_share(spark, sf_dir):
+    _, f = _flights(spark, sf_dir)
+    return reports.delay_cause_share(f)
+
+
+# --- R9, R10 -----------------------------------------------------------------
+
+@register("top_routes", _sql_f("""
+, c as (select Origin, Dest, count(*) as n from flights group by 1, 2)
+, t as (select * from (select *, rank() over (order by n desc) as rk from c where n is not null) r
+        where rk <= 25)
+, e as (select concat_ws('', cast(Origin as varchar), cast(Dest as varchar)) as RouteID, Origin as AirportID from t
+        union all
+        select concat_ws('', cast(Origin as varchar), cast(Dest as varchar)) as RouteID, Dest as AirportID from t)
+select e.RouteID, a.longitude_deg, a.latitude_deg, a.name
+from e left join airports a on e.AirportID = a.iata_code
+""", airports=dt.AIRPORTS_SQL))
+def q_top_routes(spark, sf_dir):
+    t, f = _flights(spark, sf_dir)
+    return reports.top_routes(f, dt.airports_view(t), k=25)
+
+
+@register("busiest_airports", _sql_f("""
+, o as (select Origin, count(*) as n_x from flights group by 1)
+, d as (select Dest, count(*) as n_y from flights group by 1)
+, j as (select coalesce(o.Origin, d.Dest) as Origin, n_x, n_y, (n_x + n_y) / 10000 as nTotal
+        from o full join d on o.Origin = d.Dest)
+, r as (select *, rank() over (order by nTotal desc) as rk from j where nTotal is not null)
+select r.Origin, r.n_x, r.n_y, r.nTotal, a.name, a.longitude_deg, a.latitude_deg, a.timezone
+from r left join airports a on r.Origin = a.iata_code where rk <= 25
+""", airports=dt.AIRPORTS_SQL))
+def q_busiest_airports(spark, sf_dir):
+    t, f = _flights(spark, sf_dir)
+    return reports.busiest_airports(f, dt.airports_view(t), k=25)
+
+
+# --- R3 and the time path T1-T5 ---------------------------------------------
+
+@register("traffic_windows", """
+select user_id as Airport, time_bucket(interval 12 days, ts, timestamp '1970-01-01') as window_start,
+       count(*) as n, 'Departures' as Type
+from events where event_type = 'click' group by 1, 2
+union all
+select user_id as Airport, time_bucket(interval 12 days, ts, timestamp '1970-01-01') as window_start,
+       count(*) as n, 'Arrivals' as Type
+from events where event_type = 'view' group by 1, 2
+""")
+def q_traffic_windows(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return reports.event_traffic_windows(t["events"], days=12)
+
+
+@register("hhmm_to_utc", dt.with_views("""
+select ef.event_id,
+       make_timestamp(ef.Year, ef.Month, ef.DayofMonth, ef.WheelsOff // 100, ef.WheelsOff % 100, 0)
+         - to_hours(a.tz_offset_hours) as ActualDepDate,
+       make_timestamp(ef.Year, ef.Month, ef.DayofMonth, ef.WheelsOff // 100, ef.WheelsOff % 100, 0)
+         - to_hours(a.tz_offset_hours) + to_minutes(cast(floor(ef.AirTime) as bigint)) as ActualArrDate
+from ef left join airports a on ef.Origin = a.iata_code
+""", ef=dt.EVENT_FLIGHTS_SQL, airports=dt.AIRPORTS_SQL))
+def q_hhmm_to_utc(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    timed = reports.flight_instants(dt.event_flights(t), dt.airports_view(t))
+    return timed.select("event_id", "ActualDepDate", "ActualArrDate")
+
+
+@register("airport_traffic_windows", dt.with_views("""
+, legs as (
+  select ef.Origin as Airport,
+         make_timestamp(ef.Year, ef.Month, ef.DayofMonth, ef.WheelsOff // 100, ef.WheelsOff % 100, 0)
+           - to_hours(a.tz_offset_hours) as ts, 'Departures' as Type
+  from ef left join airports a on ef.Origin = a.iata_code
+  union all
+  select ef.Dest as Airport,
+         make_timestamp(ef.Year, ef.Month, ef.DayofMonth, ef.WheelsOff // 100, ef.WheelsOff % 100, 0)
+           - to_hours(a.tz_offset_hours) + to_minutes(cast(floor(ef.AirTime) as bigint)) as ts,
+         'Arrivals' as Type
+  from ef left join airports a on ef.Origin = a.iata_code)
+select Airport, time_bucket(interval 5 days, ts, timestamp '1970-01-01') as window_start, count(*) as n, Type
+from legs where Airport is not null and ts is not null group by Airport, Type, 2
+""", ef=dt.EVENT_FLIGHTS_SQL, airports=dt.AIRPORTS_SQL))
+def q_airport_traffic_windows(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return reports.traffic_windows(dt.event_flights(t), dt.airports_view(t), days=5)

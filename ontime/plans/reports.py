@@ -28,6 +28,7 @@ from ontime.operators.aggregates import (
 )
 from ontime.operators.joins import key_union, lookup
 from ontime.operators.ranking import top_k_with_ties
+from ontime.operators.windows import tumbling_count
 from ontime.sources.schemas import CAUSE_COLUMNS
 
 AIRLINE = "Reporting_Airline"
@@ -161,3 +162,13 @@ def busiest_airports(flights: DataFrame, airports: DataFrame, k: int = 25,
     counts = counts.withColumn("nTotal", total / F.lit(float(scale)))
     top = top_k_with_ties(counts, "nTotal", k)
     return lookup(top, airports, "Origin", "iata_code")
+
+
+def event_traffic_windows(events: DataFrame, days: int = 12) -> DataFrame:
+    """R3 on an event stream: clicks are departures and views are arrivals at
+    the user's 'airport'; counts per tumbling window (T4, T5)."""
+    kind = (F.when(F.col("event_type") == "click", F.lit("Departures"))
+            .when(F.col("event_type") == "view", F.lit("Arrivals")))
+    legs = events.select(F.col("user_id").alias("Airport"), "ts", kind.alias("Type")) \
+        .where(F.col("Type").isNotNull())
+    return tumbling_count(legs, "ts", days, group_cols=["Airport", "Type"])

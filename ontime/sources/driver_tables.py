@@ -106,7 +106,8 @@ CARRIERS_SQL = "select s_suppkey as carrier, s_name as name from supplier"
 # The zone offset in hours is n_nationkey - 12 (see airports_view).
 AIRPORTS_SQL = """
 select n_nationkey as iata_code, n_name as name, n_nationkey*7.0e0 as longitude_deg,
-       n_nationkey*3.0e0 as latitude_deg, n_nationkey - 12 as tz_offset_hours
+       n_nationkey*3.0e0 as latitude_deg, printf('%+03d:00', n_nationkey - 12) as timezone,
+       n_nationkey - 12 as tz_offset_hours
 from nation
 """
 
