@@ -4,6 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _numeric_key(df: DataFrame, col: str) -> Column:
+    """An order-preserving DOUBLE for a numeric, date or timestamp column."""
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(F.col(col)).cast("double")
+    return F.col(col).cast("double")
 
 
 def top_k_with_ties(df: DataFrame, order_col: str, k: int) -> DataFrame:
@@ -46,14 +57,14 @@ def running_total(df: DataFrame, order_col: str, value_cols, out_cols=None, buck
     """
     value_cols = [value_cols] if isinstance(value_cols, str) else list(value_cols)
     out_cols = out_cols or [f"{c}_cum" for c in value_cols]
-    key = F.col(order_col)
     per_key = df.groupBy(order_col).agg(*[F.sum(c).alias(c) for c in value_cols])
-    sort_key = (-key.cast("double")) if descending else key.cast("double")
-    per_key = per_key.withColumn("__k", sort_key)
+    key = _numeric_key(per_key, order_col)
+    per_key = per_key.withColumn("__k", -key if descending else key)
     fractions = [i / buckets for i in range(1, buckets)]
     bounds = per_key.agg(F.percentile_approx("__k", fractions, 10_000))
-    bounded = per_key.withColumn(
-        "__b", F.size(F.filter(bounds.scalar(), lambda b: b < F.col("__k"))))
+    bounded = (per_key.withColumn("__bounds", bounds.scalar())
+               .withColumn("__b", F.size(F.filter("__bounds", lambda b: b < F.col("__k"))))
+               .drop("__bounds"))
     totals = bounded.groupBy("__b").agg(*[F.sum(c).alias(f"__t{i}") for i, c in enumerate(value_cols)])
     before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("__b", *[F.coalesce(F.sum(f"__t{i}").over(before), F.lit(0)).alias(f"__o{i}")

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ontime.functions.buckets import sql_bucketize
+from ontime.functions.keys import fraction_threshold, sql_hash_key
 from ontime.functions.labels import CANCELLATION_LABELS, DELAY_BUCKET_LABELS, sql_case
 from ontime.plans import reports
 from ontime.sources import driver_tables as dt
@@ -217,3 +218,366 @@ from legs where Airport is not null and ts is not null group by Airport, Type, 2
 def q_airport_traffic_windows(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return reports.traffic_windows(dt.event_flights(t), dt.airports_view(t), days=5)
+
+
+# --- Joins J1-J8 --------------------------------------------------------------
+
+@register("lookup_left_join", _sql_f("""
+, c as (select Origin, Dest, count(*) as n from flights group by 1, 2)
+select c.Origin, c.Dest, c.n,
+       o.name as name_x, o.longitude_deg as longitude_deg_x, o.latitude_deg as latitude_deg_x,
+       o.timezone as timezone_x,
+       d.name as name_y, d.longitude_deg as longitude_deg_y, d.latitude_deg as latitude_deg_y,
+       d.timezone as timezone_y
+from c left join airports o on c.Origin = o.iata_code left join airports d on c.Dest = d.iata_code
+""", airports=dt.AIRPORTS_SQL))
+def q_lookup_left_join(spark, sf_dir):
+    from ontime.operators import frequency, lookup
+    t, f = _flights(spark, sf_dir)
+    air = dt.airports_view(t)
+    counts = frequency(f, "Origin", "Dest")
+    return lookup(lookup(counts, air, "Origin", "iata_code"), air, "Dest", "iata_code")
+
+
+@register("full_join_counts", _sql_f("""
+, o as (select Origin, count(*) as n from flights group by 1)
+, d as (select Dest, count(*) as n from flights group by 1)
+select coalesce(o.Origin, d.Dest) as Origin, o.n as n_x, d.n as n_y
+from o full join d on o.Origin = d.Dest
+"""))
+def q_full_join_counts(spark, sf_dir):
+    from ontime.operators import frequency, join_with_suffix
+    _, f = _flights(spark, sf_dir)
+    return join_with_suffix(frequency(f, "Origin"), frequency(f, "Dest"), "Origin", "Dest", "full")
+
+
+# --- Filters and NULL handling F1-F6, N1, N2 -----------------------------------
+
+_NULLED_LINEITEM = """
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus,
+       nullif(l_tax, 0) as tax, nullif(l_discount, 0) as discount
+from lineitem
+"""
+
+
+@register("filter_predicates", dt.with_views("""
+select count_if(l_returnflag = 'R') as f1_equal,
+       count_if(l_returnflag = 'R' or l_linestatus = 'F') as f2_either,
+       count_if(l_returnflag = 'R' and l_quantity >= 15) as f3_both,
+       count_if(tax > 0) as f4_positive,
+       count_if(l_quantity + tax * 100 + discount * 100 > 15) as f5_sum,
+       count_if(l_linenumber = 1) as f6_typed,
+       sum(tax) as n2_sum, count(*) as n_rows
+from li
+""", li=_NULLED_LINEITEM))
+def q_filter_predicates(spark, sf_dir):
+    from ontime.plans.relational import predicate_counts
+    t = Tables(spark, sf_dir)
+    return predicate_counts(nulled_lineitem(t))
+
+
+@register("drop_nulls", dt.with_views("""
+select l_orderkey, l_linenumber, tax, discount from li where tax is not null and discount is not null
+""", li=_NULLED_LINEITEM))
+def q_drop_nulls(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return (nulled_lineitem(t).select("l_orderkey", "l_linenumber", "tax", "discount")
+            .na.drop("any", subset=["tax", "discount"]))
+
+
+def nulled_lineitem(t) -> DataFrame:
+    """lineitem with NULLs: a zero tax or discount becomes NULL."""
+    from pyspark.sql import functions as F
+    return t["lineitem"].select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag",
+        "l_linestatus", F.nullif(F.col("l_tax"), F.lit(0.0)).alias("tax"),
+        F.nullif(F.col("l_discount"), F.lit(0.0)).alias("discount"))
+
+
+# --- Projections P2-P6 ---------------------------------------------------------
+
+@register("select_patterns", _sql_f("""
+select ArrDelay, DepDelay, Distance, TaxiIn, TaxiOut from flights
+"""))
+def q_select_patterns(spark, sf_dir):
+    from ontime.plans.cluster import feature_columns
+    _, f = _flights(spark, sf_dir)
+    return f.select(*feature_columns(f))
+
+
+# --- Row-wise argmax, buckets, labels ------------------------------------------
+
+@register("dominant_cause", _sql_f("""
+, g as (select l_orderkey, l_linenumber, CarrierDelay, WeatherDelay, NASDelay, SecurityDelay,
+               LateAircraftDelay,
+               greatest(CarrierDelay, WeatherDelay, NASDelay, SecurityDelay, LateAircraftDelay) as m
+        from flights
+        where CarrierDelay + WeatherDelay + NASDelay + SecurityDelay + LateAircraftDelay > 15)
+select l_orderkey, l_linenumber,
+       case when CarrierDelay = m then 'Carrier' when WeatherDelay = m then 'Weather'
+            when NASDelay = m then 'NAS' when SecurityDelay = m then 'Security'
+            when LateAircraftDelay = m then 'LateAircraft' end as DelayCode
+from g
+"""))
+def q_dominant_cause(spark, sf_dir):
+    from ontime.plans.cluster import with_delay_code
+    _, f = _flights(spark, sf_dir)
+    return with_delay_code(f).select("l_orderkey", "l_linenumber", "DelayCode")
+
+
+@register("bucketize", f"""
+select event_id, value, {sql_bucketize('value')} as bucket from events
+""")
+def q_bucketize(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from ontime.functions.buckets import bucketize
+    t = Tables(spark, sf_dir)
+    return t["events"].select("event_id", "value", bucketize(F.col("value")).alias("bucket"))
+
+
+@register("label_lookup", f"""
+, c as (select o_orderkey, substr('ABCDX', cast(substr(o_orderpriority, 1, 1) as int), 1) as code
+        from orders)
+select o_orderkey, code, {sql_case('code', CANCELLATION_LABELS)} as label from c
+""".replace(", c as", "with c as", 1))
+def q_label_lookup(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from ontime.functions.labels import label_lookup
+    t = Tables(spark, sf_dir)
+    code = F.substring(F.lit("ABCDX"), F.substring("o_orderpriority", 1, 1).cast("int"), 1)
+    return (t["orders"].select("o_orderkey", code.alias("code"))
+            .withColumn("label", label_lookup(F.col("code"), CANCELLATION_LABELS)))
+
+
+# --- Ranking, samples, splits ---------------------------------------------------
+
+@register("running_total", """
+with m as (select date_trunc('month', o_orderdate) as month, count(*) as n,
+                  sum(cast(round(o_totalprice * 100) as bigint)) as cents
+           from orders group by 1)
+select month, n, cents, sum(n) over (order by month) as n_cum, sum(cents) over (order by month) as cents_cum
+from m
+""")
+def q_running_total(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from ontime.operators import running_total
+    t = Tables(spark, sf_dir)
+    o = t["orders"].select(F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("month"),
+                           F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    per_month = o.groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.sum("cents").alias("cents"))
+    return running_total(per_month, "month", ["n", "cents"], ["n_cum", "cents_cum"])
+
+
+@register("top_k_ties", """
+with c as (select o_custkey, count(*) as n from orders group by 1)
+select o_custkey, n from (select *, rank() over (order by n desc) as rk from c) r where rk <= 25
+""")
+def q_top_k_ties(spark, sf_dir):
+    from ontime.operators import frequency, top_k_with_ties
+    t = Tables(spark, sf_dir)
+    return top_k_with_ties(frequency(t["orders"], "o_custkey"), "n", 25)
+
+
+@register("stratified_sample", f"""
+select event_id, event_type from (
+  select event_id, event_type,
+         row_number() over (partition by event_type order by {sql_hash_key('event_id')}, event_id) as rn
+  from events) s
+where rn <= 50
+""")
+def q_stratified_sample(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from ontime.functions.keys import hash_key
+    from ontime.operators import stratified_sample
+    t = Tables(spark, sf_dir)
+    ev = t["events"].select("event_id", "event_type").withColumn("__key", hash_key(F.col("event_id")))
+    return stratified_sample(ev, "event_type", 50, [F.col("__key"), F.col("event_id")]).drop("__key")
+
+
+@register("hash_split", f"""
+select o_orderkey, case when {sql_hash_key('o_orderkey')} < {fraction_threshold(0.7)}
+                        then 'training' else 'testing' end as split
+from orders
+""")
+def q_hash_split(spark, sf_dir):
+    from ontime.plans.ml_common import split_label
+    t = Tables(spark, sf_dir)
+    return t["orders"].select("o_orderkey", split_label("o_orderkey", 0.7).alias("split"))
+
+
+@register("on_time_label", _sql_f("""
+select OnTime, DepDelay, Distance, TaxiIn, TaxiOut from (
+  select case when ArrDelay > 15 then 0.0 when ArrDelay <= 15 then 1.0 end as OnTime,
+         DepDelay, Distance, TaxiIn, TaxiOut from flights) s
+where OnTime is not null and DepDelay is not null and Distance is not null
+  and TaxiIn is not null and TaxiOut is not null
+"""))
+def q_on_time_label(spark, sf_dir):
+    from ontime.plans.classify import classification_set
+    _, f = _flights(spark, sf_dir)
+    return classification_set(f)
+
+
+# --- Statistics: correlation, scaling ----------------------------------------
+
+_LI_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+               "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _corr_sql(cols, src):
+    pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i)]
+    sel = ",\n".join(f"corr({x}, {y}) as r{i}" for i, (x, y) in enumerate(pairs))
+    rows = "\nunion all\n".join(f"select '{x}' as x, '{y}' as y, round(r{i}, 6) as r from w"
+                                for i, (x, y) in enumerate(pairs))
+    nn = " and ".join(f"{c} is not null" for c in cols)
+    return f", w as (select {sel} from {src} where {nn})\n{rows}"
+
+
+@register("correlation_pairs", "with " + _corr_sql(_LI_NUMERIC, "lineitem")[2:])
+def q_correlation_pairs(spark, sf_dir):
+    from ontime.plans.stats import correlation_pairs
+    t = Tables(spark, sf_dir)
+    return correlation_pairs(t["lineitem"], _LI_NUMERIC)
+
+
+_F_NUMERIC = ["l_orderkey", "l_linenumber", "Reporting_Airline", "Origin", "Dest", "Year", "Month",
+              "DayofMonth", "ArrDelay", "DepDelay", "Distance", "TaxiIn", "TaxiOut", "Cancelled",
+              "CarrierDelay", "WeatherDelay", "NASDelay", "SecurityDelay", "LateAircraftDelay"]
+
+
+@register("correlation_matrix", _sql_f(_corr_sql(_F_NUMERIC, "flights")))
+def q_correlation_matrix(spark, sf_dir):
+    from ontime.plans.stats import correlation_matrix
+    _, f = _flights(spark, sf_dir)
+    return correlation_matrix(f)
+
+
+_SCALE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _scale_sql(cols, src, keys):
+    mm = ", ".join(f"min({c}) as mn{i}, max({c}) as mx{i}" for i, c in enumerate(cols))
+    sc = ", ".join(f"case when mx{i} - mn{i} <> 0 then ({c} - mn{i}) / (mx{i} - mn{i}) * 1.0 + 0.0 "
+                   f"else 0.5 end as {c}" for i, c in enumerate(cols))
+    return f"b as (select {mm} from {src})\nselect {', '.join(keys)}, {sc} from {src}, b"
+
+
+@register("min_max_scale", "with " + _scale_sql(_SCALE_COLS, "lineitem", ["l_orderkey", "l_linenumber"]))
+def q_min_max_scale(spark, sf_dir):
+    from ontime.plans.stats import min_max_scale
+    t = Tables(spark, sf_dir)
+    li = t["lineitem"].select("l_orderkey", "l_linenumber", *_SCALE_COLS)
+    return min_max_scale(li, _SCALE_COLS)
+
+
+_CLUSTER_FEATS = ["ArrDelay", "DepDelay", "Distance", "TaxiIn", "TaxiOut"]
+
+
+@register("cluster_features", _sql_f("""
+, g as (select l_orderkey, l_linenumber, ArrDelay, DepDelay, Distance, TaxiIn, TaxiOut,
+               CarrierDelay, WeatherDelay, NASDelay, SecurityDelay, LateAircraftDelay,
+               greatest(CarrierDelay, WeatherDelay, NASDelay, SecurityDelay, LateAircraftDelay) as m
+        from flights
+        where CarrierDelay + WeatherDelay + NASDelay + SecurityDelay + LateAircraftDelay > 15)
+, k as (select l_orderkey, l_linenumber, ArrDelay, DepDelay, Distance, TaxiIn, TaxiOut,
+       case when CarrierDelay = m then 'Carrier' when WeatherDelay = m then 'Weather'
+            when NASDelay = m then 'NAS' when SecurityDelay = m then 'Security'
+            when LateAircraftDelay = m then 'LateAircraft' end as DelayCode
+        from g)
+, """ + _scale_sql(_CLUSTER_FEATS, "k", ["l_orderkey", "l_linenumber", "DelayCode"])))
+def q_cluster_features(spark, sf_dir):
+    from ontime.plans.cluster import cluster_features
+    _, f = _flights(spark, sf_dir)
+    return cluster_features(f, keys=("l_orderkey", "l_linenumber"))
+
+
+# --- Evaluation: metrics, ROC, silhouette ---------------------------------------
+
+_ON_TIME_SQL = """
+select * from (
+  select case when ArrDelay > 15 then 0.0 when ArrDelay <= 15 then 1.0 end as OnTime,
+         DepDelay, Distance, TaxiIn, TaxiOut from flights) s
+where OnTime is not null and DepDelay is not null and Distance is not null
+  and TaxiIn is not null and TaxiOut is not null
+"""
+
+
+@register("confusion_metrics", _sql_f("""
+, p as (select OnTime as l, case when DepDelay > 5 then 0.0 else 1.0 end as p from ot)
+, cm as (select l, p, cast(count(*) as double) as n from p group by 1, 2)
+, cls as (select l as c from cm union select p as c from cm)
+, a as (select l as c, sum(n) as actual from cm group by 1)
+, pp as (select p as c, sum(n) as predicted from cm group by 1)
+, tp as (select l as c, sum(n) as tp from cm where l = p group by 1)
+, st as (select cls.c, coalesce(actual, 0) as actual, coalesce(predicted, 0) as predicted,
+                coalesce(tp, 0) as tp
+         from cls left join a on cls.c = a.c left join pp on cls.c = pp.c left join tp on cls.c = tp.c)
+, m as (select actual, tp, case when predicted = 0 then 0.0 else tp / predicted end as prec,
+               case when actual = 0 then 0.0 else tp / actual end as rec from st)
+, w as (select sum(case when prec + rec = 0 then 0.0 else 2 * prec * rec / (prec + rec) end * actual)
+                 / sum(actual) as f1,
+               sum(rec * actual) / sum(actual) as wr, sum(prec * actual) / sum(actual) as wp,
+               sum(tp) / sum(actual) as acc from m)
+select 'f1' as Metric, round(f1, 10) as Performance from w
+union all select 'weightedRecall', round(wr, 10) from w
+union all select 'weightedPrecision', round(wp, 10) from w
+union all select 'accuracy', round(acc, 10) from w
+""", ot=_ON_TIME_SQL))
+def q_confusion_metrics(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from ontime.plans.classify import classification_set
+    from ontime.plans.evaluate import confusion_metrics
+    _, f = _flights(spark, sf_dir)
+    scored = classification_set(f).select(
+        F.col("OnTime").alias("label"),
+        F.when(F.col("DepDelay") > 5, 0.0).otherwise(1.0).alias("prediction"))
+    return confusion_metrics(scored)
+
+
+@register("roc_points", _sql_f("""
+, s as (select (40.0 - DepDelay) + TaxiOut / 100.0 as score, OnTime as label from ot)
+, g as (select score, sum(case when label = 1 then 1 else 0 end) as pos,
+               sum(case when label = 1 then 0 else 1 end) as neg from s group by 1)
+, c as (select score, sum(pos) over (order by score desc) as tp, sum(neg) over (order by score desc) as fp
+        from g)
+, t as (select sum(pos) as P, sum(neg) as N from g)
+select round(fp / N, 10) as FPR, round(tp / P, 10) as TPR, score as threshold from c, t
+union all select 0.0, 0.0, null
+union all select 1.0, 1.0, null
+""", ot=_ON_TIME_SQL))
+def q_roc_points(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from ontime.plans.classify import classification_set
+    from ontime.plans.evaluate import roc_points
+    _, f = _flights(spark, sf_dir)
+    scored = classification_set(f).select(
+        ((F.lit(40.0) - F.col("DepDelay")) + F.col("TaxiOut") / 100.0).alias("score"),
+        F.col("OnTime").alias("label"))
+    return roc_points(scored)
+
+
+@register("silhouette_given_labels", """
+with p as (select vec_id, label, cast(embedding as double[]) as x from embeddings)
+, d as (select a.vec_id, a.label as la, b.label as lb,
+               list_sum(list_transform(range(1, len(a.x) + 1),
+                                       lambda i: (a.x[i] - b.x[i]) * (a.x[i] - b.x[i]))) as d
+        from p a join p b on a.vec_id <> b.vec_id)
+, m as (select vec_id, la, lb, avg(d) as md from d group by 1, 2, 3)
+, s as (select vec_id, la, max(case when la = lb then md end) as a,
+               min(case when la <> lb then md end) as b from m group by 1, 2)
+, sz as (select label, count(*) as n from p group by 1)
+select count(*) as n_points, count(distinct la) as n_clusters,
+       round(avg(case when sz.n <= 1 then 0.0 when a < b then 1 - a / b
+                      when a > b then b / a - 1 else 0.0 end), 9) as silhouette
+from s join sz on s.la = sz.label
+""")
+def q_silhouette_given_labels(spark, sf_dir):
+    from ontime.plans.evaluate import silhouette
+    t = Tables(spark, sf_dir)
+    return silhouette(t["embeddings"], "embedding", "label")
