@@ -581,3 +581,73 @@ def q_silhouette_given_labels(spark, sf_dir):
     from ontime.plans.evaluate import silhouette
     t = Tables(spark, sf_dir)
     return silhouette(t["embeddings"], "embedding", "label")
+
+
+# --- Classification R12-R15 (fitted models: rows-only checks) ------------------
+
+_FITTED: dict = {}
+
+
+def _fitted_classifiers(spark, sf_dir):
+    """Fit the four models once per session and folder; three reports read them."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        from ontime.plans.classify import split_and_train
+        _, f = _flights(spark, sf_dir)
+        _FITTED[key] = split_and_train(f)
+    return _FITTED[key]
+
+
+@register("classifier_comparison")
+def q_classifier_comparison(spark, sf_dir):
+    from ontime.plans.classify import classifier_comparison
+    _, preds, _ = _fitted_classifiers(spark, sf_dir)
+    return classifier_comparison(preds)
+
+
+@register("classifier_roc")
+def q_classifier_roc(spark, sf_dir):
+    from ontime.plans.classify import logistic_roc
+    models, _, test = _fitted_classifiers(spark, sf_dir)
+    return logistic_roc(models, test)
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    from ontime.plans.classify import feature_importance
+    models, _, _ = _fitted_classifiers(spark, sf_dir)
+    return feature_importance(spark, models)
+
+
+# --- Clustering R16-R19 on embeddings (rows-only checks) ------------------------
+
+def _scaled_embeddings(spark, sf_dir):
+    from ontime.plans.cluster import scaled_vectors
+    t = Tables(spark, sf_dir)
+    return scaled_vectors(t["embeddings"], "embedding", keep=("vec_id", "label"))
+
+
+@register("pca_variance")
+def q_pca_variance(spark, sf_dir):
+    from ontime.plans.cluster import pca_variance
+    return pca_variance(spark, _scaled_embeddings(spark, sf_dir))
+
+
+@register("pca_project")
+def q_pca_project(spark, sf_dir):
+    from ontime.plans.cluster import pca_project
+    return pca_project(_scaled_embeddings(spark, sf_dir), keep=("vec_id", "label")).drop("pcs")
+
+
+@register("kmeans_silhouette")
+def q_kmeans_silhouette(spark, sf_dir):
+    from ontime.plans.cluster import kmeans_silhouette, pca_project
+    projected = pca_project(_scaled_embeddings(spark, sf_dir), keep=("vec_id",))
+    return kmeans_silhouette(spark, projected, key_cols=["vec_id"])
+
+
+@register("cluster_sample")
+def q_cluster_sample(spark, sf_dir):
+    from ontime.plans.cluster import cluster_sample, pca_project
+    projected = pca_project(_scaled_embeddings(spark, sf_dir), keep=("vec_id",))
+    return cluster_sample(projected, k=5, id_col="vec_id", key_cols=["vec_id"])

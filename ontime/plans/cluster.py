@@ -102,3 +102,12 @@ def cluster_sample(projected: DataFrame, k: int = 5, points: int = 5000, seed: i
     return sample.select(
         *([id_col] if id_col else []), *[c for c in pred.columns if c.startswith("PC")], "prediction",
         F.concat(F.lit("Cluster "), (F.col("prediction") + 1).cast("string")).alias("Cluster"))
+
+
+def scaled_vectors(df: DataFrame, array_col: str, keep=(), out: str = "features") -> DataFrame:
+    """Dense array column -> vector -> MinMaxScaler (fitted on all rows)."""
+    from pyspark.ml.feature import MinMaxScaler
+    from pyspark.ml.functions import array_to_vector
+    vec = df.select(*keep, array_to_vector(F.col(array_col)).alias("__raw"))
+    model = MinMaxScaler(inputCol="__raw", outputCol=out).fit(vec)
+    return model.transform(vec).drop("__raw")
