@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ontime.session import cut_lineage
+
 
 def _numeric_key(df: DataFrame, col: str) -> Column:
     """An order-preserving DOUBLE for a numeric, date or timestamp column."""
@@ -17,16 +19,23 @@ def _numeric_key(df: DataFrame, col: str) -> Column:
     return F.col(col).cast("double")
 
 
-def top_k_with_ties(df: DataFrame, order_col: str, k: int) -> DataFrame:
+def top_k_with_ties(df: DataFrame, order_col: str, k: int, materialize: bool = True) -> DataFrame:
     """Rows whose ``rank() over (order by order_col desc)`` is <= k.
 
     Same rows as the rank filter, computed without a one-partition window:
     the k-th largest value is found with a bounded top-k (k rows per task),
-    then every partition filters ``value >= threshold`` in parallel. Ties at
+    then every partition filters ``value >= threshold`` in parallel, so even
+    a table where every row ties is never gathered into one task. Ties at
     the border are all kept; NULL values are never ranked.
+
+    The input (normally an aggregate) is checkpointed to the shared
+    checkpoint folder first, so the threshold and the filter read it once
+    instead of recomputing the aggregate and its joins twice.
     """
     if k <= 0:
         return df.limit(0)
+    if materialize:
+        df = cut_lineage(df)
     threshold = (df.where(F.col(order_col).isNotNull())
                  .select(order_col).orderBy(F.desc(order_col)).limit(k)
                  .agg(F.min(order_col)))
@@ -46,18 +55,21 @@ def stratified_sample(df: DataFrame, by, n: int, order_key: Column) -> DataFrame
 
 
 def running_total(df: DataFrame, order_col: str, value_cols, out_cols=None, buckets: int = 64,
-                  descending: bool = False) -> DataFrame:
+                  descending: bool = False, materialize: bool = True) -> DataFrame:
     """Running sum of ``value_cols`` over distinct ``order_col`` values.
 
     Rows are first summed per order value. Ranges of order values
     (approximate quantiles, at most ``buckets``) get a local running sum in
     parallel; the bucket totals (<= buckets rows, broadcast) give each range
     its offset. Exact, with no one-task window over all rows; the offset
-    table has at most ``buckets`` rows by construction.
+    table has at most ``buckets`` rows by construction. The per-value sums
+    are checkpointed once since three branches read them.
     """
     value_cols = [value_cols] if isinstance(value_cols, str) else list(value_cols)
     out_cols = out_cols or [f"{c}_cum" for c in value_cols]
     per_key = df.groupBy(order_col).agg(*[F.sum(c).alias(c) for c in value_cols])
+    if materialize:
+        per_key = cut_lineage(per_key)
     key = _numeric_key(per_key, order_col)
     per_key = per_key.withColumn("__k", -key if descending else key)
     fractions = [i / buckets for i in range(1, buckets)]

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,19 +15,21 @@ from ontime.functions.columns import non_string_columns
 def correlation_pairs(df: DataFrame, cols=None, digits: int = 6) -> DataFrame:
     """Pearson r for every pair below the diagonal, as rows (x, y, r).
 
-    Listwise deletion first (N1). One aggregate computes all pairs in a
-    single pass; a constant column gives NULL instead of a division error.
+    Listwise deletion first (N1). ``Correlation.corr`` makes one distributed
+    pass for the means and one for the centred co-moments (tree aggregate of
+    a p x p matrix); only that p x p matrix reaches the driver. A constant
+    column gives NULL r.
     """
     cols = list(cols or non_string_columns(df))
-    clean = df.select(*cols).na.drop("any")
-    pairs = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i)]
-    aggs = [F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y)).alias(f"{i}")
-            for i, (x, y) in enumerate(pairs)]
-    wide = clean.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"{i}").alias("r"))
-                     for i, (x, y) in enumerate(pairs)])
-    return (wide.select(F.inline(rows))
-            .withColumn("r", F.round(F.col("r"), digits)))
+    clean = df.select(*[F.col(c).cast("double") for c in cols]).na.drop("any")
+    vectors = VectorAssembler(inputCols=cols, outputCol="__v").transform(clean).select("__v")
+    matrix = Correlation.corr(vectors, "__v").first()[0].toArray()
+    rows = []
+    for i in range(len(cols)):
+        for j in range(i):
+            r = float(matrix[i, j])
+            rows.append((cols[i], cols[j], None if math.isnan(r) else round(r, digits)))
+    return df.sparkSession.createDataFrame(rows, "x string, y string, r double")
 
 
 def correlation_matrix(flights: DataFrame) -> DataFrame:

@@ -22,6 +22,8 @@ DEFAULT_OPTIONS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Checkpoint files of dropped DataFrames are removed by the context cleaner.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
