@@ -15,7 +15,7 @@ from ontime.functions.keys import fraction_threshold, sql_hash_key
 from ontime.functions.labels import CANCELLATION_LABELS, DELAY_BUCKET_LABELS, sql_case
 from ontime.plans import reports
 from ontime.sources import driver_tables as dt
-from ontime.sources.readers import read_table
+from ontime.sources.readers import cache_fact, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,9 +43,20 @@ class Tables(dict):
         return df
 
 
+_FACTS: dict = {}
+
+
 def _flights(spark, sf_dir):
+    """Driver tables and the flight-shaped fact view F.
+
+    As in the dashboard, the fact table is built once per session and kept
+    (memory, spilling to disk); dimensions stay uncached (S6, S9).
+    """
     t = Tables(spark, sf_dir)
-    return t, dt.flight_view(t)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FACTS:
+        _FACTS[key] = cache_fact(dt.flight_view(t))
+    return t, _FACTS[key]
 
 
 def _sql_f(q: str, **extra) -> str:

@@ -60,15 +60,9 @@ def flight_instants(flights: DataFrame, airports: DataFrame) -> DataFrame:
             .withColumn("ActualArrDate", add_minutes(F.col("ActualDepDate"), F.col("AirTime"))))
 
 
-def traffic_windows(flights: DataFrame, airports: DataFrame, days: int = 12,
-                    airport=None) -> DataFrame:
-    """Take-offs and landings per ``days``-wide tumbling window.
-
-    With ``airport`` the report of that one airport; without, every airport
-    at once (column ``Airport``). One scan: each flight becomes a departure
-    row at its origin and an arrival row at its destination, then a single
-    aggregate counts (Airport, Type, window).
-    """
+def traffic_legs(flights: DataFrame, airports: DataFrame, airport=None) -> DataFrame:
+    """Each flight as a departure row at its origin and an arrival row at its
+    destination: (Airport, ts, Type), rows without an instant dropped."""
     cols = flights.select("Origin", "Dest", "Year", "Month", "DayofMonth", "WheelsOff", "AirTime")
     if airport is not None:
         cols = cols.where((F.col("Origin") == F.lit(airport)) | (F.col("Dest") == F.lit(airport)))
@@ -81,6 +75,19 @@ def traffic_windows(flights: DataFrame, airports: DataFrame, days: int = 12,
     legs = legs.where(F.col("Airport").isNotNull() & F.col("ts").isNotNull())
     if airport is not None:
         legs = legs.where(F.col("Airport") == F.lit(airport))
+    return legs
+
+
+def traffic_windows(flights: DataFrame, airports: DataFrame, days: int = 12,
+                    airport=None) -> DataFrame:
+    """Take-offs and landings per ``days``-wide tumbling window.
+
+    With ``airport`` the report of that one airport; without, every airport
+    at once (column ``Airport``). One scan: each flight becomes a departure
+    row and an arrival row, then a single aggregate counts (Airport, Type,
+    window).
+    """
+    legs = traffic_legs(flights, airports, airport)
     return (legs.groupBy("Airport", "Type", F.window("ts", f"{int(days)} days").alias("w"))
             .agg(F.count(F.lit(1)).alias("n"))
             .select("Airport", F.col("w.start").cast("timestamp_ntz").alias("window_start"), "n", "Type"))

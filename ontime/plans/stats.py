@@ -41,17 +41,20 @@ def min_max_scale(df: DataFrame, cols, out_cols=None, lo: float = 0.0, hi: float
     """Rescale each column to [lo, hi] with the column's min and max over all rows.
 
     Same rule as ``MinMaxScaler``: a constant column maps to (lo + hi) / 2.
-    The min / max come from one aggregate, read as a scalar subquery.
+    Like the scaler's ``fit``, one aggregate pass finds the 2 x p bounds
+    first; the rescaling is then a plain projection with literals.
     """
     cols = list(cols)
     out_cols = list(out_cols or cols)
-    bounds = df.agg(F.struct(*[F.min(c).alias(f"min{i}") for i, c in enumerate(cols)],
-                             *[F.max(c).alias(f"max{i}") for i, c in enumerate(cols)]).alias("b"))
-    b = bounds.scalar()
+    bounds = df.agg(*[F.min(c).alias(f"min{i}") for i, c in enumerate(cols)],
+                    *[F.max(c).alias(f"max{i}") for i, c in enumerate(cols)]).first()
     scaled = {}
     for i, (c, o) in enumerate(zip(cols, out_cols)):
-        mn, mx = b.getField(f"min{i}"), b.getField(f"max{i}")
-        rng = mx - mn
-        scaled[o] = F.when(rng != 0, (F.col(c) - mn) / rng * (hi - lo) + lo) \
-            .when(rng == 0, F.lit(0.5 * (hi - lo) + lo))
+        mn, mx = bounds[f"min{i}"], bounds[f"max{i}"]
+        if mn is None:
+            scaled[o] = F.lit(None).cast("double")
+        elif mx - mn != 0:
+            scaled[o] = (F.col(c) - F.lit(mn)) / F.lit(mx - mn) * (hi - lo) + lo
+        else:
+            scaled[o] = F.when(F.col(c).isNotNull(), F.lit(0.5 * (hi - lo) + lo))
     return df.withColumns(scaled)
