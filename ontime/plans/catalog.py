@@ -44,6 +44,8 @@ class Tables(dict):
 
 
 _FACTS: dict = {}
+# Session setting: "false" reads the fact view lazily in every query instead.
+CACHE_FACT_CONF = "spark.ontime.cacheFact"
 
 
 def _flights(spark, sf_dir):
@@ -53,6 +55,8 @@ def _flights(spark, sf_dir):
     (memory, spilling to disk); dimensions stay uncached (S6, S9).
     """
     t = Tables(spark, sf_dir)
+    if spark.conf.get(CACHE_FACT_CONF, "true").lower() != "true":
+        return t, dt.flight_view(t)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FACTS:
         _FACTS[key] = cache_fact(dt.flight_view(t))
@@ -662,3 +666,12 @@ def q_cluster_sample(spark, sf_dir):
     from ontime.plans.cluster import cluster_sample, pca_project
     projected = pca_project(_scaled_embeddings(spark, sf_dir), keep=("vec_id",))
     return cluster_sample(projected, k=5, id_col="vec_id", key_cols=["vec_id"])
+
+
+@register("delay_cause_pca")
+def q_delay_cause_pca(spark, sf_dir):
+    """R16 -> R17 on the flight view: scaled features, assembled, PCA variance."""
+    from ontime.plans.cluster import assemble, cluster_features, feature_columns, pca_variance
+    _, f = _flights(spark, sf_dir)
+    table = cluster_features(f)
+    return pca_variance(spark, assemble(table, feature_columns(f)), n_features=len(feature_columns(f)))

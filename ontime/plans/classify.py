@@ -19,6 +19,7 @@ from pyspark.ml.feature import RFormula
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ontime.operators.setops import union_all
 from ontime.plans.evaluate import confusion_metrics
 from ontime.plans.ml_common import hash_split
 from ontime.session import checkpoint_dir
@@ -76,12 +77,8 @@ def split_and_train(flights: DataFrame, seed: int = 42, fraction: float = 0.7):
 
 def classifier_comparison(preds: dict) -> DataFrame:
     """(Classifier, Metric, Performance), four metrics per model."""
-    frames = [confusion_metrics(p, "label", "prediction").select(F.lit(name).alias("Classifier"), "*")
-              for name, p in preds.items()]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return union_all(*[confusion_metrics(p, "label", "prediction").select(F.lit(name).alias("Classifier"), "*")
+                       for name, p in preds.items()])
 
 
 def logistic_roc(models: dict, test: DataFrame) -> DataFrame:

@@ -60,6 +60,15 @@ def flight_instants(flights: DataFrame, airports: DataFrame) -> DataFrame:
             .withColumn("ActualArrDate", add_minutes(F.col("ActualDepDate"), F.col("AirTime"))))
 
 
+def missing_zone_count(flights: DataFrame, airports: DataFrame) -> DataFrame:
+    """Q9 companion: flights whose take-off instant is NULL (origin not in the
+    airport table, no zone, or an invalid hhmm) and so fall in no window."""
+    timed = flight_instants(flights.select("Origin", "Year", "Month", "DayofMonth", "WheelsOff",
+                                           "AirTime"), airports)
+    return timed.agg(F.count_if(F.col("ActualDepDate").isNull()).alias("dropped"),
+                     F.count(F.lit(1)).alias("flights"))
+
+
 def traffic_legs(flights: DataFrame, airports: DataFrame, airport=None) -> DataFrame:
     """Each flight as a departure row at its origin and an arrival row at its
     destination: (Airport, ts, Type), rows without an instant dropped."""

@@ -44,7 +44,7 @@ def test_entry_runs(spark):
 def test_every_query_has_oracle_or_is_ml():
     rows_only = set(queries()) - set(oracle_sql())
     assert rows_only == {"classifier_comparison", "classifier_roc", "feature_importance", "pca_variance",
-                         "pca_project", "kmeans_silhouette", "cluster_sample"}
+                         "pca_project", "kmeans_silhouette", "cluster_sample", "delay_cause_pca"}
 
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))

@@ -1,0 +1,33 @@
+"""CSV sources with explicit types in header order."""
+
+import os
+import tempfile
+
+from pyspark.sql import types as T
+
+from ontime.sources import load_flight_sources
+
+
+def test_csv_sources_typed_and_registered(spark):
+    d = tempfile.mkdtemp(prefix="ontime-csv-")
+    with open(os.path.join(d, "flights.csv"), "w") as fh:
+        fh.write("Year,Month,DayofMonth,Reporting_Airline,Origin,Dest,WheelsOff,ArrDelay,Cancelled,Extra\n")
+        fh.write("2013,1,5,AA,JFK,LAX,1530,12.5,0,x\n")
+        fh.write("2013,1,6,AA,LAX,JFK,,,1,y\n")
+    with open(os.path.join(d, "airlines.csv"), "w") as fh:
+        fh.write("carrier,name\nAA,American Airlines Inc.\n")
+    with open(os.path.join(d, "airports.csv"), "w") as fh:
+        fh.write("ident,name,latitude_deg,longitude_deg,iata_code,timezone\n")
+        fh.write("KJFK,Kennedy,40.6,-73.8,JFK,America/New_York\n")
+    flights, carriers, airports = load_flight_sources(
+        spark, os.path.join(d, "flights.csv"), os.path.join(d, "airlines.csv"), os.path.join(d, "airports.csv"))
+    types = {f.name: f.dataType for f in flights.schema.fields}
+    assert types["Year"] == T.IntegerType() and types["ArrDelay"] == T.DoubleType()
+    assert types["Origin"] == T.StringType() and types["Extra"] == T.StringType()
+    assert flights.is_cached
+    rows = spark.sql("select WheelsOff, ArrDelay, Cancelled from flights order by DayofMonth").collect()
+    assert [tuple(r) for r in rows] == [(1530, 12.5, 0), (None, None, 1)]
+    a = airports.first()
+    assert (a.iata_code, a.latitude_deg, a.timezone) == ("JFK", 40.6, "America/New_York")
+    assert spark.table("carriers").count() == 1
+    flights.unpersist()
