@@ -9,11 +9,42 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from ontime.functions.buckets import sql_bucketize
-from ontime.functions.keys import fraction_threshold, sql_hash_key
-from ontime.functions.labels import CANCELLATION_LABELS, DELAY_BUCKET_LABELS, sql_case
+from pyspark.sql import functions as F
+
+from ontime.functions.buckets import bucketize, sql_bucketize
+from ontime.functions.keys import fraction_threshold, hash_key, sql_hash_key
+from ontime.functions.labels import CANCELLATION_LABELS, DELAY_BUCKET_LABELS, label_lookup, sql_case
+from ontime.operators import (
+    frequency,
+    join_with_suffix,
+    lookup,
+    running_total,
+    stratified_sample,
+    top_k_with_ties,
+)
 from ontime.plans import reports
+from ontime.plans.classify import (
+    classification_set,
+    classifier_comparison,
+    feature_importance,
+    logistic_roc,
+    split_and_train,
+)
+from ontime.plans.cluster import (
+    assemble,
+    cluster_features,
+    cluster_sample,
+    feature_columns,
+    kmeans_silhouette,
+    pca_project,
+    pca_variance,
+    scaled_vectors,
+    with_delay_code,
+)
+from ontime.plans.evaluate import confusion_metrics, roc_points, silhouette
+from ontime.plans.ml_common import split_label
+from ontime.plans.relational import predicate_counts
+from ontime.plans.stats import correlation_matrix, correlation_pairs, min_max_scale
 from ontime.sources import driver_tables as dt
 from ontime.sources.readers import cache_fact, read_table
 
@@ -247,7 +278,6 @@ select c.Origin, c.Dest, c.n,
 from c left join airports o on c.Origin = o.iata_code left join airports d on c.Dest = d.iata_code
 """, airports=dt.AIRPORTS_SQL))
 def q_lookup_left_join(spark, sf_dir):
-    from ontime.operators import frequency, lookup
     t, f = _flights(spark, sf_dir)
     air = dt.airports_view(t)
     counts = frequency(f, "Origin", "Dest")
@@ -261,7 +291,6 @@ select coalesce(o.Origin, d.Dest) as Origin, o.n as n_x, d.n as n_y
 from o full join d on o.Origin = d.Dest
 """))
 def q_full_join_counts(spark, sf_dir):
-    from ontime.operators import frequency, join_with_suffix
     _, f = _flights(spark, sf_dir)
     return join_with_suffix(frequency(f, "Origin"), frequency(f, "Dest"), "Origin", "Dest", "full")
 
@@ -286,7 +315,6 @@ select count_if(l_returnflag = 'R') as f1_equal,
 from li
 """, li=_NULLED_LINEITEM))
 def q_filter_predicates(spark, sf_dir):
-    from ontime.plans.relational import predicate_counts
     t = Tables(spark, sf_dir)
     return predicate_counts(nulled_lineitem(t))
 
@@ -302,7 +330,6 @@ def q_drop_nulls(spark, sf_dir):
 
 def nulled_lineitem(t) -> DataFrame:
     """lineitem with NULLs: a zero tax or discount becomes NULL."""
-    from pyspark.sql import functions as F
     return t["lineitem"].select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag",
         "l_linestatus", F.nullif(F.col("l_tax"), F.lit(0.0)).alias("tax"),
@@ -315,7 +342,6 @@ def nulled_lineitem(t) -> DataFrame:
 select ArrDelay, DepDelay, Distance, TaxiIn, TaxiOut from flights
 """))
 def q_select_patterns(spark, sf_dir):
-    from ontime.plans.cluster import feature_columns
     _, f = _flights(spark, sf_dir)
     return f.select(*feature_columns(f))
 
@@ -335,7 +361,6 @@ select l_orderkey, l_linenumber,
 from g
 """))
 def q_dominant_cause(spark, sf_dir):
-    from ontime.plans.cluster import with_delay_code
     _, f = _flights(spark, sf_dir)
     return with_delay_code(f).select("l_orderkey", "l_linenumber", "DelayCode")
 
@@ -344,9 +369,6 @@ def q_dominant_cause(spark, sf_dir):
 select event_id, value, {sql_bucketize('value')} as bucket from events
 """)
 def q_bucketize(spark, sf_dir):
-    from pyspark.sql import functions as F
-
-    from ontime.functions.buckets import bucketize
     t = Tables(spark, sf_dir)
     return t["events"].select("event_id", "value", bucketize(F.col("value")).alias("bucket"))
 
@@ -357,9 +379,6 @@ def q_bucketize(spark, sf_dir):
 select o_orderkey, code, {sql_case('code', CANCELLATION_LABELS)} as label from c
 """.replace(", c as", "with c as", 1))
 def q_label_lookup(spark, sf_dir):
-    from pyspark.sql import functions as F
-
-    from ontime.functions.labels import label_lookup
     t = Tables(spark, sf_dir)
     code = F.substring(F.lit("ABCDX"), F.substring("o_orderpriority", 1, 1).cast("int"), 1)
     return (t["orders"].select("o_orderkey", code.alias("code"))
@@ -376,9 +395,6 @@ select month, n, cents, sum(n) over (order by month) as n_cum, sum(cents) over (
 from m
 """)
 def q_running_total(spark, sf_dir):
-    from pyspark.sql import functions as F
-
-    from ontime.operators import running_total
     t = Tables(spark, sf_dir)
     o = t["orders"].select(F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("month"),
                            F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
@@ -391,7 +407,6 @@ with c as (select o_custkey, count(*) as n from orders group by 1)
 select o_custkey, n from (select *, rank() over (order by n desc) as rk from c) r where rk <= 25
 """)
 def q_top_k_ties(spark, sf_dir):
-    from ontime.operators import frequency, top_k_with_ties
     t = Tables(spark, sf_dir)
     return top_k_with_ties(frequency(t["orders"], "o_custkey"), "n", 25)
 
@@ -404,10 +419,6 @@ select event_id, event_type from (
 where rn <= 50
 """)
 def q_stratified_sample(spark, sf_dir):
-    from pyspark.sql import functions as F
-
-    from ontime.functions.keys import hash_key
-    from ontime.operators import stratified_sample
     t = Tables(spark, sf_dir)
     ev = t["events"].select("event_id", "event_type").withColumn("__key", hash_key(F.col("event_id")))
     return stratified_sample(ev, "event_type", 50, [F.col("__key"), F.col("event_id")]).drop("__key")
@@ -419,7 +430,6 @@ select o_orderkey, case when {sql_hash_key('o_orderkey')} < {fraction_threshold(
 from orders
 """)
 def q_hash_split(spark, sf_dir):
-    from ontime.plans.ml_common import split_label
     t = Tables(spark, sf_dir)
     return t["orders"].select("o_orderkey", split_label("o_orderkey", 0.7).alias("split"))
 
@@ -432,7 +442,6 @@ where OnTime is not null and DepDelay is not null and Distance is not null
   and TaxiIn is not null and TaxiOut is not null
 """))
 def q_on_time_label(spark, sf_dir):
-    from ontime.plans.classify import classification_set
     _, f = _flights(spark, sf_dir)
     return classification_set(f)
 
@@ -454,7 +463,6 @@ def _corr_sql(cols, src):
 
 @register("correlation_pairs", "with " + _corr_sql(_LI_NUMERIC, "lineitem")[2:])
 def q_correlation_pairs(spark, sf_dir):
-    from ontime.plans.stats import correlation_pairs
     t = Tables(spark, sf_dir)
     return correlation_pairs(t["lineitem"], _LI_NUMERIC)
 
@@ -466,7 +474,6 @@ _F_NUMERIC = ["l_orderkey", "l_linenumber", "Reporting_Airline", "Origin", "Dest
 
 @register("correlation_matrix", _sql_f(_corr_sql(_F_NUMERIC, "flights")))
 def q_correlation_matrix(spark, sf_dir):
-    from ontime.plans.stats import correlation_matrix
     _, f = _flights(spark, sf_dir)
     return correlation_matrix(f)
 
@@ -483,7 +490,6 @@ def _scale_sql(cols, src, keys):
 
 @register("min_max_scale", "with " + _scale_sql(_SCALE_COLS, "lineitem", ["l_orderkey", "l_linenumber"]))
 def q_min_max_scale(spark, sf_dir):
-    from ontime.plans.stats import min_max_scale
     t = Tables(spark, sf_dir)
     li = t["lineitem"].select("l_orderkey", "l_linenumber", *_SCALE_COLS)
     return min_max_scale(li, _SCALE_COLS)
@@ -505,7 +511,6 @@ _CLUSTER_FEATS = ["ArrDelay", "DepDelay", "Distance", "TaxiIn", "TaxiOut"]
         from g)
 , """ + _scale_sql(_CLUSTER_FEATS, "k", ["l_orderkey", "l_linenumber", "DelayCode"])))
 def q_cluster_features(spark, sf_dir):
-    from ontime.plans.cluster import cluster_features
     _, f = _flights(spark, sf_dir)
     return cluster_features(f, keys=("l_orderkey", "l_linenumber"))
 
@@ -543,10 +548,6 @@ union all select 'weightedPrecision', round(wp, 10) from w
 union all select 'accuracy', round(acc, 10) from w
 """, ot=_ON_TIME_SQL))
 def q_confusion_metrics(spark, sf_dir):
-    from pyspark.sql import functions as F
-
-    from ontime.plans.classify import classification_set
-    from ontime.plans.evaluate import confusion_metrics
     _, f = _flights(spark, sf_dir)
     scored = classification_set(f).select(
         F.col("OnTime").alias("label"),
@@ -566,10 +567,6 @@ union all select 0.0, 0.0, null
 union all select 1.0, 1.0, null
 """, ot=_ON_TIME_SQL))
 def q_roc_points(spark, sf_dir):
-    from pyspark.sql import functions as F
-
-    from ontime.plans.classify import classification_set
-    from ontime.plans.evaluate import roc_points
     _, f = _flights(spark, sf_dir)
     scored = classification_set(f).select(
         ((F.lit(40.0) - F.col("DepDelay")) + F.col("TaxiOut") / 100.0).alias("score"),
@@ -593,7 +590,6 @@ select count(*) as n_points, count(distinct la) as n_clusters,
 from s join sz on s.la = sz.label
 """)
 def q_silhouette_given_labels(spark, sf_dir):
-    from ontime.plans.evaluate import silhouette
     t = Tables(spark, sf_dir)
     return silhouette(t["embeddings"], "embedding", "label")
 
@@ -607,7 +603,6 @@ def _fitted_classifiers(spark, sf_dir):
     """Fit the four models once per session and folder; three reports read them."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FITTED:
-        from ontime.plans.classify import split_and_train
         _, f = _flights(spark, sf_dir)
         _FITTED[key] = split_and_train(f)
     return _FITTED[key]
@@ -615,21 +610,18 @@ def _fitted_classifiers(spark, sf_dir):
 
 @register("classifier_comparison")
 def q_classifier_comparison(spark, sf_dir):
-    from ontime.plans.classify import classifier_comparison
     _, preds, _ = _fitted_classifiers(spark, sf_dir)
     return classifier_comparison(preds)
 
 
 @register("classifier_roc")
 def q_classifier_roc(spark, sf_dir):
-    from ontime.plans.classify import logistic_roc
     models, _, test = _fitted_classifiers(spark, sf_dir)
     return logistic_roc(models, test)
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf_dir):
-    from ontime.plans.classify import feature_importance
     models, _, _ = _fitted_classifiers(spark, sf_dir)
     return feature_importance(spark, models)
 
@@ -637,33 +629,28 @@ def q_feature_importance(spark, sf_dir):
 # --- Clustering R16-R19 on embeddings (rows-only checks) ------------------------
 
 def _scaled_embeddings(spark, sf_dir):
-    from ontime.plans.cluster import scaled_vectors
     t = Tables(spark, sf_dir)
     return scaled_vectors(t["embeddings"], "embedding", keep=("vec_id", "label"))
 
 
 @register("pca_variance")
 def q_pca_variance(spark, sf_dir):
-    from ontime.plans.cluster import pca_variance
     return pca_variance(spark, _scaled_embeddings(spark, sf_dir))
 
 
 @register("pca_project")
 def q_pca_project(spark, sf_dir):
-    from ontime.plans.cluster import pca_project
     return pca_project(_scaled_embeddings(spark, sf_dir), keep=("vec_id", "label")).drop("pcs")
 
 
 @register("kmeans_silhouette")
 def q_kmeans_silhouette(spark, sf_dir):
-    from ontime.plans.cluster import kmeans_silhouette, pca_project
     projected = pca_project(_scaled_embeddings(spark, sf_dir), keep=("vec_id",))
     return kmeans_silhouette(spark, projected, key_cols=["vec_id"])
 
 
 @register("cluster_sample")
 def q_cluster_sample(spark, sf_dir):
-    from ontime.plans.cluster import cluster_sample, pca_project
     projected = pca_project(_scaled_embeddings(spark, sf_dir), keep=("vec_id",))
     return cluster_sample(projected, k=5, id_col="vec_id", key_cols=["vec_id"])
 
@@ -671,7 +658,6 @@ def q_cluster_sample(spark, sf_dir):
 @register("delay_cause_pca")
 def q_delay_cause_pca(spark, sf_dir):
     """R16 -> R17 on the flight view: scaled features, assembled, PCA variance."""
-    from ontime.plans.cluster import assemble, cluster_features, feature_columns, pca_variance
     _, f = _flights(spark, sf_dir)
     table = cluster_features(f)
     return pca_variance(spark, assemble(table, feature_columns(f)), n_features=len(feature_columns(f)))
