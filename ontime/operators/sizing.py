@@ -10,13 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side (rows) we hint as broadcast: ~1M narrow dimension rows.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+# Largest side (rows) we hint as broadcast: a few hundred thousand dimension rows.
+DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has <= max_rows rows. Reads at most max_rows + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has <= max_rows rows.
+
+    ``take`` scans partitions incrementally (one, then a few more, ...) and
+    stops as soon as max_rows + 1 one-byte rows are found, so a huge table
+    costs about as much as a small one: it is neither scanned whole nor
+    shuffled into one task, and at most max_rows + 1 tiny rows come back.
+    """
+    return len(df.select(F.lit(0).cast("tinyint").alias("x")).take(max_rows + 1)) <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
