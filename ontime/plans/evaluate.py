@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ontime.operators.ranking import running_total
-from ontime.operators.sizing import require_at_most
 
 METRICS = ["f1", "weightedRecall", "weightedPrecision", "accuracy"]
 
@@ -82,8 +81,9 @@ def silhouette_points(df: DataFrame, features_col: str, cluster_col: str,
 
     For a point x and cluster C, sum over y in C of |x - y|^2 is
     |C| |x|^2 + sum |y|^2 - 2 x . sum y, so only per-cluster count, sum of
-    squared norms and vector sum are needed. Those k rows (checked <=
-    max_clusters) travel as one scalar-subquery value; no pairs are formed.
+    squared norms and vector sum are needed. Those k rows are computed once
+    (one pass, checked <= max_clusters) and travel to every task as one
+    scalar-subquery value; no pairs are formed.
     Own-cluster mean uses |C| - 1; a singleton cluster scores 0.
     """
     ftype = df.schema[features_col].dataType
@@ -96,9 +96,12 @@ def silhouette_points(df: DataFrame, features_col: str, cluster_col: str,
     stats = (pts.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum("nx").alias("y"),
                                   Summarizer.sum(array_to_vector("x")).alias("z"))
              .select("c", "n", "y", vector_to_array("z").alias("z")))
-    require_at_most(stats.select("c"), max_clusters, "cluster table")
+    summary = stats.take(max_clusters + 1)
+    if len(summary) > max_clusters:
+        raise ValueError(f"more than {max_clusters} clusters")
+    small = df.sparkSession.createDataFrame(summary, stats.schema)
     table = F.col("__t")
-    pts = pts.withColumn("__t", stats.agg(F.collect_list(F.struct("c", "n", "y", "z"))).scalar())
+    pts = pts.withColumn("__t", small.agg(F.collect_list(F.struct("c", "n", "y", "z"))).scalar())
 
     def mean_dist(s):
         dot = F.aggregate(F.zip_with(F.col("x"), s["z"], lambda p, q: p * q), F.lit(0.0),
