@@ -154,37 +154,38 @@ def top_routes(flights: DataFrame, airports: DataFrame, k: int = 25) -> DataFram
         "RouteID", "longitude_deg", "latitude_deg", "name")
 
 
-def busiest_airports(flights: DataFrame, airports: DataFrame, k: int = 25,
-                     scale: float = 10000.0, coalesce_missing: bool = False) -> DataFrame:
-    """Departures (n_x), arrivals (n_y) and (n_x + n_y) / scale per
-    airport, top k by that total with ties, plus the airport's columns.
-
-    One scan: origin and destination become two tagged rows and a single
-    aggregate counts both. An airport seen on one side only has a NULL
-    count on the other and so a NULL total (never ranked) unless
-    ``coalesce_missing``.
-    """
+def airport_counts(flights: DataFrame, coalesce_missing: bool = False) -> DataFrame:
+    """Departures (n_x) and arrivals (n_y) per airport in one scan: origin
+    and destination become two tagged rows and a single aggregate counts
+    both. An airport seen on one side only gets NULL on the other side
+    (as the dashboard's full join), unless ``coalesce_missing``."""
     sides = flights.select(F.inline(F.array(
         F.struct(F.col("Origin").alias("Origin"), F.lit(1).alias("o"), F.lit(0).alias("d")),
         F.struct(F.col("Dest").alias("Origin"), F.lit(0).alias("o"), F.lit(1).alias("d")))))
     counts = (sides.where(F.col("Origin").isNotNull()).groupBy("Origin")
               .agg(F.sum("o").alias("n_x"), F.sum("d").alias("n_y")))
     if coalesce_missing:
-        total = F.col("n_x") + F.col("n_y")
-    else:
-        counts = counts.select("Origin", F.nullif(F.col("n_x"), F.lit(0)).alias("n_x"),
-                               F.nullif(F.col("n_y"), F.lit(0)).alias("n_y"))
-        total = F.col("n_x") + F.col("n_y")
-    counts = counts.withColumn("nTotal", total / F.lit(float(scale)))
+        return counts
+    return counts.select("Origin", F.nullif(F.col("n_x"), F.lit(0)).alias("n_x"),
+                         F.nullif(F.col("n_y"), F.lit(0)).alias("n_y"))
+
+
+def busiest_airports(flights: DataFrame, airports: DataFrame, k: int = 25,
+                     scale: float = 10000.0, coalesce_missing: bool = False) -> DataFrame:
+    """Departures (n_x), arrivals (n_y) and (n_x + n_y) / scale per
+    airport, top k by that total with ties, plus the airport's columns.
+    A NULL total (airport on one side only) is never ranked."""
+    counts = airport_counts(flights, coalesce_missing)
+    counts = counts.withColumn("nTotal", (F.col("n_x") + F.col("n_y")) / F.lit(float(scale)))
     top = top_k_with_ties(counts, "nTotal", k)
     return lookup(top, airports, "Origin", "iata_code")
 
 
 def event_traffic_windows(events: DataFrame, days: int = 12) -> DataFrame:
     """R3 on an event stream: clicks are departures and views are arrivals at
-    the user's 'airport'; counts per tumbling window (T4, T5)."""
-    kind = (F.when(F.col("event_type") == "click", F.lit("Departures"))
-            .when(F.col("event_type") == "view", F.lit("Arrivals")))
-    legs = events.select(F.col("user_id").alias("Airport"), "ts", kind.alias("Type")) \
-        .where(F.col("Type").isNotNull())
+    the user's 'airport'; counts per tumbling window (T4, T5). The event-type
+    filter reaches the Parquet scan."""
+    kind = F.when(F.col("event_type") == "click", F.lit("Departures")).otherwise(F.lit("Arrivals"))
+    legs = (events.where(F.col("event_type").isin("click", "view"))
+            .select(F.col("user_id").alias("Airport"), "ts", kind.alias("Type")))
     return tumbling_count(legs, "ts", days, group_cols=["Airport", "Type"])
