@@ -41,8 +41,9 @@ def session_builder(master: str | None = None, app_name: str = "ontime",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting must point at shared storage and is only read.
-    When it is unset (local tests) a private folder is created and set.
+    On a cluster the setting must point at shared storage and is only read
+    (unset is an error there). Only in local mode (tests) is a private folder
+    created and set when the setting is missing.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -52,6 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
     local = tempfile.mkdtemp(prefix="ontime-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
