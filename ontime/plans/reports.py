@@ -134,11 +134,26 @@ def delay_cause_share(flights: DataFrame, carrier=None, min_delay: float = 15.0)
 def arrival_delay_buckets(flights: DataFrame, carriers: DataFrame, splits=DELAY_SPLITS,
                           labels=DELAY_BUCKET_LABELS) -> DataFrame:
     """Share of each arrival-delay bucket among all of a carrier's flights
-    (cancelled and NULL-delay flights included in the denominator)."""
-    bucketed = flights.select(AIRLINE, bucketize(F.col("ArrDelay"), splits).alias("ArrDelayBucket"))
-    counts = frequency(bucketed, AIRLINE, "ArrDelayBucket")
-    shares = percent_of_group(counts, AIRLINE).withColumn(
-        "ArrDelayBucketMapped", label_lookup(F.col("ArrDelayBucket"), labels))
+    (cancelled and NULL-delay flights included in the denominator).
+
+    The buckets are known from the splits, so one aggregate per carrier
+    counts every bucket, the NULL bucket and the total at once: a single
+    shuffle of (carriers x tasks) partial rows, no second pass for totals.
+    Only buckets that occur produce a row, as with a group count.
+    """
+    n_buckets = len(splits) - 1
+    bucketed = flights.select(AIRLINE, bucketize(F.col("ArrDelay"), splits).alias("b"))
+    wide = bucketed.groupBy(AIRLINE).agg(
+        *[F.count_if(F.col("b") == float(i)).alias(f"b{i}") for i in range(n_buckets)],
+        F.count_if(F.col("b").isNull()).alias("b_null"),
+        F.count(F.lit(1)).alias("total"))
+    cells = [F.struct(F.lit(float(i)).alias("ArrDelayBucket"), F.col(f"b{i}").alias("n"))
+             for i in range(n_buckets)]
+    cells.append(F.struct(F.lit(None).cast("double").alias("ArrDelayBucket"), F.col("b_null").alias("n")))
+    shares = (wide.select(AIRLINE, "total", F.inline(F.array(*cells)))
+              .where(F.col("n") > 0)
+              .select(AIRLINE, (F.col("n") / F.col("total") * 100).alias("Percent"),
+                      label_lookup(F.col("ArrDelayBucket"), labels).alias("ArrDelayBucketMapped")))
     return lookup(shares, carriers, AIRLINE, "carrier").select("name", "Percent", "ArrDelayBucketMapped")
 
 
