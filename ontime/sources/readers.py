@@ -35,7 +35,7 @@ def read_csv_typed(spark: SparkSession, path: str, known_types: dict) -> DataFra
 
 
 def read_flights_csv(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv_typed(spark, path, FLIGHT_COLUMN_TYPES)
+    return with_flight_date(read_csv_typed(spark, path, FLIGHT_COLUMN_TYPES))
 
 
 def read_carriers_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -22,8 +22,9 @@ FLIGHT_COLUMN_TYPES: dict[str, T.DataType] = {
     "CarrierDelay": _D, "WeatherDelay": _D, "NASDelay": _D, "SecurityDelay": _D,
     "LateAircraftDelay": _D,
     "FirstDepTime": _I, "TotalAddGTime": _D, "LongestAddGTime": _D,
-    "Cancelled": _I, "Diverted": _I, "CancellationCode": _S,
-    "DivAirportLandings": _I, "DivReachedDest": _I,
+    # 0/1 flags are published as "1.00": read as DOUBLE, compared with 1.
+    "Cancelled": _D, "Diverted": _D, "CancellationCode": _S,
+    "DivAirportLandings": _I, "DivReachedDest": _D,
     "DivActualElapsedTime": _D, "DivArrDelay": _D, "DivDistance": _D,
     "Div1Airport": _S, "Div1AirportID": _I, "Div1AirportSeqID": _I, "Div1WheelsOn": _I,
     "Div1TotalGTime": _D, "Div1LongestGTime": _D, "Div1WheelsOff": _I, "Div1TailNum": _S,

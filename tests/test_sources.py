@@ -12,8 +12,8 @@ def test_csv_sources_typed_and_registered(spark):
     d = tempfile.mkdtemp(prefix="ontime-csv-")
     with open(os.path.join(d, "flights.csv"), "w") as fh:
         fh.write("Year,Month,DayofMonth,Reporting_Airline,Origin,Dest,WheelsOff,ArrDelay,Cancelled,Extra\n")
-        fh.write("2013,1,5,AA,JFK,LAX,1530,12.5,0,x\n")
-        fh.write("2013,1,6,AA,LAX,JFK,,,1,y\n")
+        fh.write("2013,1,5,AA,JFK,LAX,1530,12.5,0.00,x\n")
+        fh.write("2013,1,6,AA,LAX,JFK,,,1.00,y\n")
     with open(os.path.join(d, "airlines.csv"), "w") as fh:
         fh.write("carrier,name\nAA,American Airlines Inc.\n")
     with open(os.path.join(d, "airports.csv"), "w") as fh:
@@ -26,8 +26,18 @@ def test_csv_sources_typed_and_registered(spark):
     assert types["Origin"] == T.StringType() and types["Extra"] == T.StringType()
     assert flights.is_cached
     rows = spark.sql("select WheelsOff, ArrDelay, Cancelled from flights order by DayofMonth").collect()
-    assert [tuple(r) for r in rows] == [(1530, 12.5, 0), (None, None, 1)]
+    assert [tuple(r) for r in rows] == [(1530, 12.5, 0.0), (None, None, 1.0)]
     a = airports.first()
     assert (a.iata_code, a.latitude_deg, a.timezone) == ("JFK", 40.6, "America/New_York")
     assert spark.table("carriers").count() == 1
     flights.unpersist()
+
+
+def test_flight_date_only_file_gets_parts(spark):
+    d = tempfile.mkdtemp(prefix="ontime-csv-")
+    path = os.path.join(d, "f.csv")
+    with open(path, "w") as fh:
+        fh.write("FlightDate,Reporting_Airline,Cancelled\n2013-03-04,AA,1.00\n")
+    from ontime.sources import read_flights_csv
+    r = read_flights_csv(spark, path).first()
+    assert (r.Year, r.Month, r.DayofMonth, r.Cancelled) == (2013, 3, 4, 1.0)
