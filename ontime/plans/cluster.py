@@ -38,10 +38,14 @@ def with_delay_code(flights: DataFrame, min_total: float = 15.0) -> DataFrame:
             .withColumn("DelayCode", delay_code(argmax_name(CAUSE_COLUMNS))))
 
 
-def cluster_features(flights: DataFrame, min_total: float = 15.0, keys=()) -> DataFrame:
+def cluster_features(flights: DataFrame, min_total: float = 15.0, keys=(), features=None) -> DataFrame:
     """DelayCode plus the feature columns min-max scaled to [0, 1]
-    (scaler fitted on all kept rows, as the dashboard does)."""
-    feats = feature_columns(flights)
+    (scaler fitted on all kept rows, as the dashboard does).
+
+    Rows with a NULL feature are dropped; pass ``features`` to leave out
+    columns that are mostly NULL (e.g. second-diversion times), which would
+    otherwise empty the table."""
+    feats = list(features or feature_columns(flights))
     coded = with_delay_code(flights, min_total).select(*keys, "DelayCode", *feats).na.drop("any", subset=feats)
     return min_max_scale(coded, feats)
 

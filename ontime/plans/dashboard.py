@@ -16,9 +16,10 @@ from ontime.plans import classify, cluster, reports, stats
 
 class FlightReports:
     def __init__(self, spark: SparkSession, flights: DataFrame, carriers: DataFrame, airports: DataFrame,
-                 seed: int = 42):
+                 seed: int = 42, cluster_columns=None):
         self.spark, self.flights, self.carriers, self.airports = spark, flights, carriers, airports
         self.seed = seed
+        self.cluster_columns = list(cluster_columns or cluster.feature_columns(flights))
         self._classifiers = None
         self._cluster_table = None
 
@@ -75,14 +76,13 @@ class FlightReports:
     def cluster_features(self) -> DataFrame:
         """R16, assembled into a ``features`` vector and persisted once."""
         if self._cluster_table is None:
-            table = cluster.cluster_features(self.flights)
-            cols = cluster.feature_columns(self.flights)
-            self._cluster_table = cluster.assemble(table, cols).persist(StorageLevel.MEMORY_AND_DISK)
+            table = cluster.cluster_features(self.flights, features=self.cluster_columns)
+            self._cluster_table = cluster.assemble(table, self.cluster_columns) \
+                .persist(StorageLevel.MEMORY_AND_DISK)
         return self._cluster_table
 
     def pca_variance(self) -> DataFrame:
-        return cluster.pca_variance(self.spark, self.cluster_features(),
-                                    n_features=len(cluster.feature_columns(self.flights)))
+        return cluster.pca_variance(self.spark, self.cluster_features(), n_features=len(self.cluster_columns))
 
     def _projected(self) -> DataFrame:
         return cluster.pca_project(self.cluster_features(), keep=("DelayCode",))
