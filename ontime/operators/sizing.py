@@ -28,10 +28,3 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``F.broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
-def require_at_most(df: DataFrame, max_rows: int, what: str) -> DataFrame:
-    """Fail fast when a table that must stay small (k clusters, bins) is not."""
-    if not row_count_at_most(df, max_rows):
-        raise ValueError(f"{what} has more than {max_rows} rows")
-    return df

@@ -9,15 +9,15 @@ import math
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import PCA, MinMaxScaler, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime.functions.argmax import argmax_name, delay_code, sum_of
 from ontime.functions.columns import matching_columns
 from ontime.functions.keys import hash_key
-from ontime.operators.ranking import running_total, stratified_sample
+from ontime.operators.ranking import stratified_sample
 from ontime.plans.ml_common import hash_split
 from ontime.plans.stats import min_max_scale
 from ontime.sources.schemas import CAUSE_COLUMNS
@@ -59,9 +59,13 @@ def pca_variance(spark: SparkSession, features: DataFrame, features_col: str = "
     """Explained variance (percent) per component and its running total."""
     p = n_features or len(features.select(features_col).first()[0])
     model = PCA(k=p, inputCol=features_col, outputCol="__pc").fit(features)
-    rows = [(i + 1, float(v) * 100) for i, v in enumerate(model.explainedVariance.toArray())]
-    table = spark.createDataFrame(rows, "NPC int, PCValue double")
-    return running_total(table, "NPC", ["PCValue"], ["PCCum"], buckets=4)
+    # The fit already returns the p ratios to the driver; the running total
+    # of p numbers is done there, as the dashboard did.
+    rows, total = [], 0.0
+    for i, v in enumerate(model.explainedVariance.toArray()):
+        total += float(v) * 100
+        rows.append((i + 1, float(v) * 100, total))
+    return spark.createDataFrame(rows, "NPC int, PCValue double, PCCum double")
 
 
 def pca_project(features: DataFrame, features_col: str = "features", k: int = 3,
@@ -110,8 +114,6 @@ def cluster_sample(projected: DataFrame, k: int = 5, points: int = 5000, seed: i
 
 def scaled_vectors(df: DataFrame, array_col: str, keep=(), out: str = "features") -> DataFrame:
     """Dense array column -> vector -> MinMaxScaler (fitted on all rows)."""
-    from pyspark.ml.feature import MinMaxScaler
-    from pyspark.ml.functions import array_to_vector
     vec = df.select(*keep, array_to_vector(F.col(array_col)).alias("__raw"))
     model = MinMaxScaler(inputCol="__raw", outputCol=out).fit(vec)
     return model.transform(vec).drop("__raw")

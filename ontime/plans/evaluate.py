@@ -71,6 +71,14 @@ def roc_points(scored: DataFrame, score_col: str = "score", label_col: str = "la
     return curve.unionByName(ends)
 
 
+def model_roc_points(predictions: DataFrame, label_col: str = "label",
+                     probability_col: str = "probability") -> DataFrame:
+    """Exact ROC of any binary model's predictions: score = P(class 1)."""
+    scored = predictions.select(vector_to_array(F.col(probability_col))[1].alias("score"),
+                                F.col(label_col).alias("label"))
+    return roc_points(scored)
+
+
 def _as_double_array(col):
     return F.transform(col, lambda v: v.cast("double"))
 

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from ontime.plans import reports
 from ontime.plans.classify import classification_set
