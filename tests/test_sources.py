@@ -41,3 +41,17 @@ def test_flight_date_only_file_gets_parts(spark):
     from ontime.sources import read_flights_csv
     r = read_flights_csv(spark, path).first()
     assert (r.Year, r.Month, r.DayofMonth, r.Cancelled) == (2013, 3, 4, 1.0)
+
+
+def test_command_line_report(spark, tmp_path):
+    (tmp_path / "f.csv").write_text(
+        "Year,Month,DayofMonth,Reporting_Airline,Origin,Dest,WheelsOff,AirTime,ArrDelay,Cancelled\n"
+        "2013,1,5,AA,JFK,LAX,1530,300,12.5,0.00\n2013,1,6,AA,LAX,JFK,0900,280,40,0.00\n")
+    (tmp_path / "a.csv").write_text("carrier,name\nAA,American\n")
+    (tmp_path / "p.csv").write_text("iata_code,name,latitude_deg,longitude_deg,timezone\n"
+                                    "JFK,Kennedy,40.6,-73.8,America/New_York\n")
+    from ontime.__main__ import main
+    out = str(tmp_path / "out")
+    main(["--flights", str(tmp_path / "f.csv"), "--carriers", str(tmp_path / "a.csv"),
+          "--airports", str(tmp_path / "p.csv"), "--report", "top_routes", "--k", "1", "--out", out])
+    assert sorted(r.RouteID for r in spark.read.parquet(out).collect()) == ["JFKLAX", "JFKLAX", "LAXJFK", "LAXJFK"]
