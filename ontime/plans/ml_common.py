@@ -15,12 +15,18 @@ def split_label(id_col: str, fraction: float = 0.7, seed: int = 42) -> Column:
 
 
 def hash_split(df: DataFrame, key_cols=None, fraction: float = 0.7, seed: int = 42):
-    """(training, testing) by a hash of the key columns (default: all columns).
-
-    Unlike ``randomSplit`` the result does not depend on partitioning, so a
-    re-run or a recomputed partition gives the same split.
+    """(training, testing), about ``fraction`` of the rows in training.
+
+    With ``key_cols`` (a unique key) each row goes by a hash of its key and
+    the seed: the split does not depend on partitioning and is the same in
+    any engine. Without a key, rows that repeat the same values must still
+    be split one by one, so ``randomSplit`` with the seed is used (as the
+    dashboard did); it sorts each partition first, so a recomputed
+    partition after an executor loss gets the same rows.
     """
-    key_cols = list(key_cols or df.columns)
+    if not key_cols:
+        train, test = df.randomSplit([fraction, 1.0 - fraction], seed)
+        return train, test
     bucket = F.abs(F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed)) % 1_000_000)
     cut = int(round(fraction * 1_000_000))
     return df.where(bucket < cut), df.where(bucket >= cut)
