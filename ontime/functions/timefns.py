@@ -30,3 +30,16 @@ def add_minutes(ts: Column, minutes: Column) -> Column:
     """Instant plus whole minutes (the fractional part is dropped)."""
     mins = F.floor(minutes).cast("int")
     return F.try_add(ts, F.make_dt_interval(F.lit(0), F.lit(0), mins))
+
+
+def utc_instant(wall_clock_utc: Column) -> Column:
+    """A UTC wall clock (timestamp_ntz, whole seconds) as a TIMESTAMP instant,
+    whatever the session time zone is (for watermarks, which need TIMESTAMP)."""
+    c = wall_clock_utc
+    return F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                            F.second(c).cast("decimal(16,6)"), F.lit("UTC"))
+
+
+def utc_wall_clock(instant: Column, session_zone: str) -> Column:
+    """A TIMESTAMP instant as its UTC wall clock (timestamp_ntz)."""
+    return F.convert_timezone(F.lit(session_zone), F.lit("UTC"), instant.cast("timestamp_ntz"))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ontime.functions.timefns import utc_instant, utc_wall_clock
 from ontime.plans.reports import traffic_legs
 from ontime.session import checkpoint_dir
 from ontime.sources.schemas import FLIGHTS_SCHEMA
@@ -30,13 +31,17 @@ def read_flight_stream(spark: SparkSession, path: str, fmt: str = "parquet", sch
 
 def streaming_traffic_windows(flights: DataFrame, airports: DataFrame, days: int = 12,
                               allowed_lateness: str = "2 days", airport=None) -> DataFrame:
-    """Windowed counts (Airport, Type, window_start, window_end, n) over a stream."""
-    legs = traffic_legs(flights, airports, airport).withColumn("ts", F.col("ts").cast("timestamp"))
+    """Windowed counts (Airport, Type, window_start, window_end, n) over a stream.
+
+    Window bounds are UTC wall clocks (timestamp_ntz), as in the batch
+    report, whatever the session time zone."""
+    zone = flights.sparkSession.conf.get("spark.sql.session.timeZone")
+    legs = traffic_legs(flights, airports, airport).withColumn("ts", utc_instant(F.col("ts")))
     return (legs.withWatermark("ts", allowed_lateness)
             .groupBy("Airport", "Type", F.window("ts", f"{int(days)} days").alias("w"))
             .agg(F.count(F.lit(1)).alias("n"))
-            .select("Airport", "Type", F.col("w.start").alias("window_start"),
-                    F.col("w.end").alias("window_end"), "n"))
+            .select("Airport", "Type", utc_wall_clock(F.col("w.start"), zone).alias("window_start"),
+                    utc_wall_clock(F.col("w.end"), zone).alias("window_end"), "n"))
 
 
 def start_traffic_stream(counts: DataFrame, query_name: str, sink_path: str | None = None,

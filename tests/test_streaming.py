@@ -8,7 +8,20 @@ from ontime.sources.schemas import FLIGHTS_SCHEMA
 from ontime.streaming import read_flight_stream, start_traffic_stream, streaming_traffic_windows
 
 
-def test_stream_equals_batch(spark):
+import pytest
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
+def test_stream_equals_batch(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        _stream_equals_batch(spark, f"traffic_{zone.replace('/', '_')}")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def _stream_equals_batch(spark, query_name):
     src = tempfile.mkdtemp(prefix="ontime-stream-src-")
     airports = spark.createDataFrame(
         [("JFK", "Kennedy", -73.8, 40.6, "America/New_York"), ("LAX", "LA", -118.4, 33.9, "America/Los_Angeles")],
@@ -24,10 +37,10 @@ def test_stream_equals_batch(spark):
         df.write.mode("overwrite").parquet(os.path.join(src, f"batch={i}"))
     stream = read_flight_stream(spark, os.path.join(src, "*"))
     counts = streaming_traffic_windows(stream, airports, days=12)
-    q = start_traffic_stream(counts, "traffic_test", output_mode="update", available_now=True)
+    q = start_traffic_stream(counts, query_name, output_mode="update", available_now=True)
     q.awaitTermination(120)
-    got = {(r.Airport, r.Type, r.window_start.replace(tzinfo=None), r.n)
-           for r in spark.table("traffic_test").collect()}
+    got = {(r.Airport, r.Type, r.window_start, r.n)
+           for r in spark.table(query_name).collect()}
     flights = spark.read.parquet(os.path.join(src, "*"))
     want = {(r.Airport, r.Type, r.window_start, r.n)
             for r in traffic_windows(flights, airports, days=12).collect()}
