@@ -3,14 +3,13 @@
 import os
 import tempfile
 
+import pytest
+
 from ontime.plans.reports import traffic_windows
 from ontime.sources.schemas import FLIGHTS_SCHEMA
 from ontime.streaming import read_flight_stream, start_traffic_stream, streaming_traffic_windows
 
 
-import pytest
-
-
 @pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
 def test_stream_equals_batch(spark, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
