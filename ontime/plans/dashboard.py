@@ -22,6 +22,7 @@ class FlightReports:
         self.cluster_columns = list(cluster_columns or cluster.feature_columns(flights))
         self._classifiers = None
         self._cluster_table = None
+        self._projection = None
 
     # relational reports -------------------------------------------------------
     def attribute_distribution(self, column: str) -> DataFrame:
@@ -85,7 +86,10 @@ class FlightReports:
         return cluster.pca_variance(self.spark, self.cluster_features(), n_features=len(self.cluster_columns))
 
     def _projected(self) -> DataFrame:
-        return cluster.pca_project(self.cluster_features(), keep=("DelayCode",))
+        """PC1..PC3 of the clustering table; the PCA is fitted once."""
+        if self._projection is None:
+            self._projection = cluster.pca_project(self.cluster_features(), keep=("DelayCode",))
+        return self._projection
 
     def silhouette_by_k(self, ks=range(2, 9)) -> DataFrame:
         return cluster.kmeans_silhouette(self.spark, self._projected(), ks=ks, seed=self.seed)
@@ -98,3 +102,4 @@ class FlightReports:
             self._cluster_table.unpersist()
             self._cluster_table = None
         self._classifiers = None
+        self._projection = None
