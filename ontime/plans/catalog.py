@@ -151,6 +151,16 @@ def q_routes_per_carrier(spark, sf_dir):
     return reports.routes_per_carrier(f, dt.carriers_view(t))
 
 
+@register("brand_routes_per_carrier", dt.with_views("""
+, r as (select Reporting_Airline, count(*) as n
+        from (select distinct Reporting_Airline, Origin, Dest from routes) d group by 1)
+select r.Reporting_Airline, r.n, c.name from r left join carriers c on r.Reporting_Airline = c.carrier
+""", routes=dt.BRAND_ROUTE_SQL, carriers=dt.CARRIERS_SQL))
+def q_brand_routes_per_carrier(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return reports.routes_per_carrier(dt.brand_route_view(t), dt.carriers_view(t))
+
+
 @register("cancellation_causes", _sql_f(f"""
 , c as (select Reporting_Airline, CancellationCode, count(*) as n
         from flights where Cancelled = 1 group by 1, 2)

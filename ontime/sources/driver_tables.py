@@ -53,6 +53,19 @@ def flight_view(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def brand_route_view(t: dict[str, DataFrame]) -> DataFrame:
+    """Carrier with a (part brand, customer nation) 'route' per lineitem: a
+    pair with varied distinct counts per carrier (F has 25 routes for all)."""
+    part = bounded_broadcast(t["part"].select("p_partkey", "p_brand"))
+    customer = bounded_broadcast(t["customer"].select("c_custkey", "c_nationkey"))
+    oc = t["orders"].select("o_orderkey", "o_custkey").join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    li = t["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey") \
+        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+    return li.join(oc, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("l_suppkey").alias("Reporting_Airline"), F.col("p_brand").alias("Origin"),
+        F.col("c_nationkey").cast("string").alias("Dest"))
+
+
 def carriers_view(t: dict[str, DataFrame]) -> DataFrame:
     return t["supplier"].select(F.col("s_suppkey").alias("carrier"), F.col("s_name").alias("name"))
 
@@ -103,6 +116,12 @@ from lineitem join orders on l_orderkey=o_orderkey
 
 CARRIERS_SQL = "select s_suppkey as carrier, s_name as name from supplier"
 
+BRAND_ROUTE_SQL = """
+select l_suppkey as Reporting_Airline, p_brand as Origin, cast(c_nationkey as varchar) as Dest
+from lineitem join part on l_partkey = p_partkey join orders on l_orderkey = o_orderkey
+     join customer on o_custkey = c_custkey
+"""
+
 # The zone offset in hours is n_nationkey - 12 (see airports_view).
 AIRPORTS_SQL = """
 select n_nationkey as iata_code, n_name as name, n_nationkey*7.0e0 as longitude_deg,
