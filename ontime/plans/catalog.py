@@ -256,6 +256,15 @@ def q_hhmm_to_utc(spark, sf_dir):
     return timed.select("event_id", "ActualDepDate", "ActualArrDate")
 
 
+@register("missing_zones", dt.with_views("""
+select count_if(a.iata_code is null) as dropped, count(*) as flights
+from ef left join airports a on ef.Origin = a.iata_code
+""", ef=dt.EVENT_FLIGHTS_SQL, airports=dt.AIRPORTS_SQL))
+def q_missing_zones(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return reports.missing_zone_count(dt.event_flights(t), dt.airports_view(t))
+
+
 @register("airport_traffic_windows", dt.with_views("""
 , legs as (
   select ef.Origin as Airport,
