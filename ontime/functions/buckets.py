@@ -33,5 +33,5 @@ def bucketize(value: Column, splits=DELAY_SPLITS) -> Column:
 
 def sql_bucketize(expr: str, splits=DELAY_SPLITS) -> str:
     inner = splits[1:-1]
-    arms = " ".join(f"when {expr} < {e!r} then {float(i)!r}" for i, e in enumerate(inner))
-    return f"case when {expr} is null then null {arms} else {float(len(splits) - 2)!r} end"
+    arms = " ".join(f"when {expr} < {e!r} then {float(i)!r}e0" for i, e in enumerate(inner))
+    return f"case when {expr} is null then null {arms} else {float(len(splits) - 2)!r}e0 end"

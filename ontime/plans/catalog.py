@@ -257,7 +257,7 @@ def q_hhmm_to_utc(spark, sf_dir):
 
 
 @register("missing_zones", dt.with_views("""
-select count_if(a.iata_code is null) as dropped, count(*) as flights
+select cast(count_if(a.iata_code is null) as bigint) as dropped, count(*) as flights
 from ef left join airports a on ef.Origin = a.iata_code
 """, ef=dt.EVENT_FLIGHTS_SQL, airports=dt.AIRPORTS_SQL))
 def q_missing_zones(spark, sf_dir):
@@ -324,12 +324,12 @@ from lineitem
 
 
 @register("filter_predicates", dt.with_views("""
-select count_if(l_returnflag = 'R') as f1_equal,
-       count_if(l_returnflag = 'R' or l_linestatus = 'F') as f2_either,
-       count_if(l_returnflag = 'R' and l_quantity >= 15) as f3_both,
-       count_if(tax > 0) as f4_positive,
-       count_if(l_quantity + tax * 100 + discount * 100 > 15) as f5_sum,
-       count_if(l_linenumber = 1) as f6_typed,
+select cast(count_if(l_returnflag = 'R') as bigint) as f1_equal,
+       cast(count_if(l_returnflag = 'R' or l_linestatus = 'F') as bigint) as f2_either,
+       cast(count_if(l_returnflag = 'R' and l_quantity >= 15) as bigint) as f3_both,
+       cast(count_if(tax > 0) as bigint) as f4_positive,
+       cast(count_if(l_quantity + tax * 100 + discount * 100 > 15) as bigint) as f5_sum,
+       cast(count_if(l_linenumber = 1) as bigint) as f6_typed,
        sum(tax) as n2_sum, count(*) as n_rows
 from li
 """, li=_NULLED_LINEITEM))
@@ -408,9 +408,10 @@ def q_label_lookup(spark, sf_dir):
 
 @register("running_total", """
 with m as (select date_trunc('month', o_orderdate) as month, count(*) as n,
-                  sum(cast(round(o_totalprice * 100) as bigint)) as cents
+                  cast(sum(cast(round(o_totalprice * 100) as bigint)) as bigint) as cents
            from orders group by 1)
-select month, n, cents, sum(n) over (order by month) as n_cum, sum(cents) over (order by month) as cents_cum
+select month, n, cents, cast(sum(n) over (order by month) as bigint) as n_cum,
+       cast(sum(cents) over (order by month) as bigint) as cents_cum
 from m
 """)
 def q_running_total(spark, sf_dir):
@@ -455,7 +456,7 @@ def q_hash_split(spark, sf_dir):
 
 @register("on_time_label", _sql_f("""
 select OnTime, DepDelay, Distance, TaxiIn, TaxiOut from (
-  select case when ArrDelay > 15 then 0.0 when ArrDelay <= 15 then 1.0 end as OnTime,
+  select case when ArrDelay > 15 then 0.0e0 when ArrDelay <= 15 then 1.0e0 end as OnTime,
          DepDelay, Distance, TaxiIn, TaxiOut from flights) s
 where OnTime is not null and DepDelay is not null and Distance is not null
   and TaxiIn is not null and TaxiOut is not null
@@ -538,7 +539,7 @@ def q_cluster_features(spark, sf_dir):
 
 _ON_TIME_SQL = """
 select * from (
-  select case when ArrDelay > 15 then 0.0 when ArrDelay <= 15 then 1.0 end as OnTime,
+  select case when ArrDelay > 15 then 0.0e0 when ArrDelay <= 15 then 1.0e0 end as OnTime,
          DepDelay, Distance, TaxiIn, TaxiOut from flights) s
 where OnTime is not null and DepDelay is not null and Distance is not null
   and TaxiIn is not null and TaxiOut is not null

@@ -27,6 +27,11 @@ def _canon(cols, rows):
     return [cols[i] for i in order], Counter(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+# DuckDB type name -> Spark simpleString
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean"}
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
@@ -55,6 +60,9 @@ def test_query_matches_oracle(spark, duck, name):
     want = _canon([d[0] for d in cur.description], cur.fetchall())
     assert got[0] == want[0]
     assert got[1] == want[1]
+    rel = duck.sql(oracle_sql()[name])
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    assert {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)} == spark_types
 
 
 def test_ml_outputs_invariants(spark):
