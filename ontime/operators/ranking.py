@@ -12,8 +12,13 @@ from ontime.session import cut_lineage
 def _numeric_key(df: DataFrame, col: str) -> Column:
     """An order-preserving DOUBLE for a numeric, date or timestamp column."""
     dtype = df.schema[col].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+    c = F.col(col)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(dtype, T.TimestampNTZType):
+        # from the wall-clock parts: no session time zone (and no DST gap) involved
+        return (F.unix_date(F.to_date(c)) * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
+                + F.second(c)).cast("double")
     if isinstance(dtype, T.DateType):
         return F.unix_date(F.col(col)).cast("double")
     return F.col(col).cast("double")
@@ -58,7 +63,8 @@ def running_total(df: DataFrame, order_col: str, value_cols, out_cols=None, buck
                   descending: bool = False, materialize: bool = True) -> DataFrame:
     """Running sum of ``value_cols`` over distinct ``order_col`` values.
 
-    Rows are first summed per order value. Ranges of order values
+    Rows are first summed per order value (so each value is one row and a
+    hot value cannot swamp a task). Ranges of order values
     (approximate quantiles, at most ``buckets``) get a local running sum in
     parallel; the bucket totals (<= buckets rows, broadcast) give each range
     its offset. Exact, with no one-task window over all rows; the offset
@@ -81,7 +87,8 @@ def running_total(df: DataFrame, order_col: str, value_cols, out_cols=None, buck
     before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("__b", *[F.coalesce(F.sum(f"__t{i}").over(before), F.lit(0)).alias(f"__o{i}")
                                      for i in range(len(value_cols))])
-    local = Window.partitionBy("__b").orderBy("__k").rangeBetween(Window.unboundedPreceding, 0)
+    order = F.desc(order_col) if descending else F.asc(order_col)
+    local = Window.partitionBy("__b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     summed = bounded.select(order_col, *value_cols, "__b",
                             *[F.sum(c).over(local).alias(f"__l{i}") for i, c in enumerate(value_cols)])
     return (summed.join(F.broadcast(offsets), "__b")

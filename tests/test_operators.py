@@ -146,3 +146,18 @@ def test_bounded_broadcast_checks_size(spark):
     assert row_count_at_most(small, 10) and not row_count_at_most(small, 9)
     plan_df = spark.range(100).join(bounded_broadcast(small, 5), "id")
     assert plan_df.count() == 10
+
+
+def test_running_total_over_a_dst_gap(spark):
+    """Wall-clock keys across a spring-forward gap keep their order in any session zone."""
+    import datetime as dt
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        keys = [dt.datetime(2024, 3, 10, 1, 30), dt.datetime(2024, 3, 10, 2, 30), dt.datetime(2024, 3, 10, 3, 0),
+                dt.datetime(2024, 3, 10, 3, 15)]
+        df = spark.createDataFrame([(k, 1) for k in keys], "k timestamp_ntz, v int")
+        got = sorted((r.k, r.v_cum) for r in running_total(df, "k", ["v"], buckets=4).collect())
+        assert [c for _, c in got] == [1, 2, 3, 4]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
