@@ -69,19 +69,39 @@ def pca_variance(spark: SparkSession, features: DataFrame, features_col: str = "
 
 
 def pca_project(features: DataFrame, features_col: str = "features", k: int = 3,
-                keep=()) -> DataFrame:
-    """ML18: project onto the first k components, columns PC1..PCk (sign arbitrary)."""
-    model = PCA(k=k, inputCol=features_col, outputCol="__pcs").fit(features)
+                keep=(), fit_df: DataFrame | None = None) -> DataFrame:
+    """ML18: project onto the first k components, columns PC1..PCk (sign arbitrary).
+    The components come from ``fit_df`` when given (e.g. the training part)."""
+    model = PCA(k=k, inputCol=features_col, outputCol="__pcs").fit(
+        fit_df if fit_df is not None else features)
     arr = vector_to_array(F.col("__pcs"))
     return model.transform(features).select(
         *keep, F.col("__pcs").alias("pcs"), *[arr[i].alias(f"PC{i + 1}") for i in range(k)])
 
 
-def kmeans_silhouette(spark: SparkSession, projected: DataFrame, ks=range(2, 9), seed: int = 42,
-                      key_cols=None) -> DataFrame:
+def training_fitted_projection(coded: DataFrame, feature_cols, k: int = 3, seed: int = 42,
+                               fraction: float = 0.7, keep=("DelayCode",)):
+    """Q13 option: split first, then fit the min-max bounds and the PCA on the
+    training part only and apply them to both parts (no test-set leakage).
+    Returns (training, testing) projections with ``pcs`` and PC1..PCk."""
+    cols = list(feature_cols)
+    train_raw, test_raw = hash_split(coded, fraction=fraction, seed=seed)
+    train = assemble(min_max_scale(train_raw, cols, fit_df=train_raw), cols)
+    test = assemble(min_max_scale(test_raw, cols, fit_df=train_raw), cols)
+    model = PCA(k=k, inputCol="features", outputCol="__pcs").fit(train)
+    arr = vector_to_array(F.col("__pcs"))
+
+    def project(df):
+        return model.transform(df).select(*keep, F.col("__pcs").alias("pcs"),
+                                          *[arr[i].alias(f"PC{i + 1}") for i in range(k)])
+    return project(train), project(test)
+
+
+def kmeans_silhouette(spark: SparkSession, projected: DataFrame | None, ks=range(2, 9), seed: int = 42,
+                      key_cols=None, split=None) -> DataFrame:
     """Silhouette on the test part of k-means fitted on the training part,
     for each k. The features table is persisted once for all fits."""
-    train, test = hash_split(projected, key_cols=key_cols, seed=seed)
+    train, test = split or hash_split(projected, key_cols=key_cols, seed=seed)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     test = test.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -96,11 +116,11 @@ def kmeans_silhouette(spark: SparkSession, projected: DataFrame, ks=range(2, 9),
     return spark.createDataFrame(rows, "NumberCluster int, Silhouette double")
 
 
-def cluster_sample(projected: DataFrame, k: int = 5, points: int = 5000, seed: int = 42,
-                   id_col: str | None = None, key_cols=None) -> DataFrame:
+def cluster_sample(projected: DataFrame | None, k: int = 5, points: int = 5000, seed: int = 42,
+                   id_col: str | None = None, key_cols=None, split=None) -> DataFrame:
     """K-means on the training part, the test part labelled, and at most
     floor(points / k) test rows per cluster (repeatable hash order)."""
-    train, test = hash_split(projected, key_cols=key_cols, seed=seed)
+    train, test = split or hash_split(projected, key_cols=key_cols, seed=seed)
     model = KMeans(k=k, seed=seed, featuresCol="pcs").fit(train)
     pred = model.transform(test)
     order = hash_key(F.col(id_col), seed) if id_col else F.xxhash64(*[F.col(c) for c in pred.columns

@@ -16,10 +16,14 @@ from ontime.plans import classify, cluster, reports, stats
 
 class FlightReports:
     def __init__(self, spark: SparkSession, flights: DataFrame, carriers: DataFrame, airports: DataFrame,
-                 seed: int = 42, cluster_columns=None):
+                 seed: int = 42, cluster_columns=None, fit_on_training: bool = False):
         self.spark, self.flights, self.carriers, self.airports = spark, flights, carriers, airports
         self.seed = seed
         self.cluster_columns = list(cluster_columns or cluster.feature_columns(flights))
+        # False: scaler and PCA see all rows before the split, as the dashboard did;
+        # True: they are fitted on the training part only.
+        self.fit_on_training = fit_on_training
+        self._split = None
         self._classifiers = None
         self._cluster_table = None
         self._projection = None
@@ -91,10 +95,22 @@ class FlightReports:
             self._projection = cluster.pca_project(self.cluster_features(), keep=("DelayCode",))
         return self._projection
 
+    def _train_test(self):
+        """(training, testing) projections, fitted on the training part only."""
+        if self._split is None:
+            coded = cluster.with_delay_code(self.flights).select("DelayCode", *self.cluster_columns) \
+                .na.drop("any", subset=self.cluster_columns)
+            self._split = cluster.training_fitted_projection(coded, self.cluster_columns, seed=self.seed)
+        return self._split
+
     def silhouette_by_k(self, ks=range(2, 9)) -> DataFrame:
+        if self.fit_on_training:
+            return cluster.kmeans_silhouette(self.spark, None, ks=ks, seed=self.seed, split=self._train_test())
         return cluster.kmeans_silhouette(self.spark, self._projected(), ks=ks, seed=self.seed)
 
     def cluster_sample(self, k: int = 5) -> DataFrame:
+        if self.fit_on_training:
+            return cluster.cluster_sample(None, k=k, seed=self.seed, split=self._train_test())
         return cluster.cluster_sample(self._projected(), k=k, seed=self.seed)
 
     def close(self) -> None:
@@ -103,3 +119,4 @@ class FlightReports:
             self._cluster_table = None
         self._classifiers = None
         self._projection = None
+        self._split = None

@@ -37,8 +37,10 @@ def correlation_matrix(flights: DataFrame) -> DataFrame:
     return correlation_pairs(flights, non_string_columns(flights))
 
 
-def min_max_scale(df: DataFrame, cols, out_cols=None, lo: float = 0.0, hi: float = 1.0) -> DataFrame:
-    """Rescale each column to [lo, hi] with the column's min and max over all rows.
+def min_max_scale(df: DataFrame, cols, out_cols=None, lo: float = 0.0, hi: float = 1.0,
+                  fit_df: DataFrame | None = None) -> DataFrame:
+    """Rescale each column to [lo, hi] with the column's min and max over all rows
+    (or over ``fit_df``, e.g. the training part only).
 
     Same rule as ``MinMaxScaler``: a constant column maps to (lo + hi) / 2.
     Like the scaler's ``fit``, one aggregate pass finds the 2 x p bounds
@@ -46,7 +48,7 @@ def min_max_scale(df: DataFrame, cols, out_cols=None, lo: float = 0.0, hi: float
     """
     cols = list(cols)
     out_cols = list(out_cols or cols)
-    bounds = df.agg(*[F.min(c).alias(f"min{i}") for i, c in enumerate(cols)],
+    bounds = (fit_df if fit_df is not None else df).agg(*[F.min(c).alias(f"min{i}") for i, c in enumerate(cols)],
                     *[F.max(c).alias(f"max{i}") for i, c in enumerate(cols)]).first()
     scaled = {}
     for i, (c, o) in enumerate(zip(cols, out_cols)):

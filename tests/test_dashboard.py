@@ -26,6 +26,17 @@ def test_facade_runs_every_report(spark):
     r.close()
 
 
+def test_fit_on_training_only(spark):
+    t = load_tables(spark, SF_SMALL, ["lineitem", "orders", "customer", "supplier", "nation"])
+    r = FlightReports(spark, dt.flight_view(t), dt.carriers_view(t), dt.airports_view(t), fit_on_training=True)
+    sil = r.silhouette_by_k(ks=[2, 3]).collect()
+    assert [x.NumberCluster for x in sil] == [2, 3] and all(-1 <= x.Silhouette <= 1 for x in sil)
+    sample = r.cluster_sample(k=2)
+    assert set(sample.columns) >= {"PC1", "PC2", "PC3", "prediction", "Cluster"}
+    assert sample.count() > 0
+    r.close()
+
+
 def test_hot_carrier_gives_same_shares(spark):
     """One carrier holding a third of all rows: shares still sum to 100 per carrier."""
     hot = spark.range(30000).select(
