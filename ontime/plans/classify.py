@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ontime.operators.setops import union_all
 from ontime.plans.evaluate import confusion_metrics
-from ontime.plans.ml_common import hash_split
+from ontime.plans.ml_common import hash_split, right_sized
 from ontime.session import checkpoint_dir
 
 FEATURES = ["DepDelay", "Distance", "TaxiIn", "TaxiOut"]
@@ -67,16 +67,23 @@ def train_classifiers(train: DataFrame, features=FEATURES, label=LABEL, seed: in
     formula = RFormula(formula=_formula(features, label)).fit(train)
     vectors = formula.transform(train).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return {name: PipelineModel(stages=[formula, est.fit(vectors)])
+        rows = vectors.count()  # materializes the cache
+        fit_input = right_sized(vectors, rows, bytes_per_row=8 * (len(features) + 1) + 64)
+        return {name: PipelineModel(stages=[formula, est.fit(fit_input)])
                 for name, est in _estimators(seed).items()}
     finally:
         vectors.unpersist()
 
 
 def split_and_train(flights: DataFrame, seed: int = 42, fraction: float = 0.7):
-    """Label, 70/30 repeatable split, four fitted models, test predictions."""
+    """Label, 70/30 repeatable split, four fitted models, test predictions.
+
+    The test part is persisted (it is scored by four models, the ROC and the
+    metrics); the caller unpersists it when done, as ``FlightReports.close``
+    does."""
     data = classification_set(flights)
     train, test = hash_split(data, fraction=fraction, seed=seed)
+    test = test.persist(StorageLevel.MEMORY_AND_DISK)
     models = train_classifiers(train, seed=seed)
     preds = {name: m.transform(test) for name, m in models.items()}
     return models, preds, test

@@ -18,7 +18,7 @@ from ontime.functions.argmax import argmax_name, delay_code, sum_of
 from ontime.functions.columns import matching_columns
 from ontime.functions.keys import hash_key
 from ontime.operators.ranking import stratified_sample
-from ontime.plans.ml_common import hash_split
+from ontime.plans.ml_common import hash_split, right_sized
 from ontime.plans.stats import min_max_scale
 from ontime.sources.schemas import CAUSE_COLUMNS
 
@@ -102,13 +102,15 @@ def kmeans_silhouette(spark: SparkSession, projected: DataFrame | None, ks=range
     """Silhouette on the test part of k-means fitted on the training part,
     for each k. The features table is persisted once for all fits."""
     train, test = split or hash_split(projected, key_cols=key_cols, seed=seed)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.persist(StorageLevel.MEMORY_AND_DISK)
+    train = train.select("pcs").persist(StorageLevel.MEMORY_AND_DISK)
+    test = test.select("pcs").persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        fit_input = right_sized(train, train.count(), bytes_per_row=8 * 3 + 64)
+        eval_input = right_sized(test, test.count(), bytes_per_row=8 * 3 + 64)
         rows = []
         for k in ks:
-            model = KMeans(k=k, seed=seed, featuresCol="pcs").fit(train)
-            score = ClusteringEvaluator(featuresCol="pcs").evaluate(model.transform(test))
+            model = KMeans(k=k, seed=seed, featuresCol="pcs").fit(fit_input)
+            score = ClusteringEvaluator(featuresCol="pcs").evaluate(model.transform(eval_input))
             rows.append((int(k), float(score)))
     finally:
         train.unpersist()

@@ -117,6 +117,8 @@ class FlightReports:
         if self._cluster_table is not None:
             self._cluster_table.unpersist()
             self._cluster_table = None
+        if self._classifiers is not None:
+            self._classifiers[2].unpersist()
         self._classifiers = None
         self._projection = None
         self._split = None

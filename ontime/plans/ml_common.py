@@ -30,3 +30,22 @@ def hash_split(df: DataFrame, key_cols=None, fraction: float = 0.7, seed: int =
     bucket = F.abs(F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed)) % 1_000_000)
     cut = int(round(fraction * 1_000_000))
     return df.where(bucket < cut), df.where(bucket >= cut)
+
+
+# Target size of one partition of cached model input.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def right_sized(cached: DataFrame, rows: int, bytes_per_row: int) -> DataFrame:
+    """Fewer, fuller partitions over an already cached input for iterative fits.
+
+    Every iteration of an ML fit runs one task per partition; a small input
+    spread thin pays that per-task cost many times. Merges partitions
+    (narrow ``coalesce`` over the cached blocks, no shuffle) down to
+    max(cores, size / 128 MB); a large input keeps its partitioning.
+    """
+    spark = cached.sparkSession
+    target = max(spark.sparkContext.defaultParallelism,
+                 -(-rows * bytes_per_row // TARGET_PARTITION_BYTES))
+    current = cached.rdd.getNumPartitions()
+    return cached.coalesce(target) if target < current else cached
