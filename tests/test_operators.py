@@ -161,3 +161,17 @@ def test_running_total_over_a_dst_gap(spark):
         assert [c for _, c in got] == [1, 2, 3, 4]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_lookup_same_rows_with_or_without_broadcast(spark):
+    from ontime.operators import lookup
+
+    def key(t):
+        return tuple((x is None, "" if x is None else str(x)) for x in t)
+
+    facts = spark.createDataFrame([("a", 1), ("b", 2), ("z", 3), (None, 4)], "k string, v int")
+    dim = spark.createDataFrame([("a", "A"), ("b", "B")], "code string, name string")
+    small = sorted((tuple(r) for r in lookup(facts, dim, "k", "code").collect()), key=key)
+    forced = sorted((tuple(r) for r in lookup(facts, dim, "k", "code", max_broadcast_rows=1).collect()), key=key)
+    assert small == forced
+    assert small == sorted([("a", 1, "A"), ("b", 2, "B"), ("z", 3, None), (None, 4, None)], key=key)
