@@ -40,6 +40,17 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
             F.hash(F.col(text_col), F.col(id_col)).alias("_k2")]
 
 
+def with_row(df: DataFrame, *more: Column) -> DataFrame:
+    """The whole row as the struct ``_row`` beside ``more``, so that no column name can clash."""
+    return df.select(F.struct("*").alias("_row"), *more)
+
+
+def row_with(df: DataFrame, names: list[str], results: str) -> DataFrame:
+    """``_row.*`` and the fields of the struct ``results``; a result replaces an input column of its name."""
+    new = [f.name for f in df.schema[results].dataType.fields]
+    return df.select(*(F.col("_row").getField(c).alias(c) for c in names if c not in new), f"{results}.*")
+
+
 def learnable(id_col: Column | str) -> Column:
     """True unless crc32(id as text) mod 3 is 1 (the held-out rows); a NULL id is held out."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ontime.llm.common import hash_sample, learnable
+from ontime.llm.common import hash_sample, learnable, row_with, with_row
 
 UND = "und"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -267,6 +267,5 @@ def language(model: LanguageModel | None):
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
     """Every input row with lang_pred, score and runs (the languages of a code-switched text in order)."""
-    rest = [c for c in docs.columns if c not in ("lang_pred", "score", "runs")]
     model = learn_languages(docs, id_col, text_col, lang_col, **options)
-    return docs.select(*rest, language(model)(F.col(text_col)).alias("_l")).select(*rest, "_l.*")
+    return row_with(with_row(docs, language(model)(F.col(text_col)).alias("_l")), docs.columns, "_l")

@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ontime.llm.common import hash_sample, learnable
+from ontime.llm.common import hash_sample, learnable, with_row
 from ontime.llm.quality_rules import stats_table
-from ontime.llm.text_stats import COUNTS, FEATURES, feature_matrix, text_stats
+from ontime.llm.text_stats import COUNTS, feature_matrix, text_stats
 
 RIDGE = 1.0  # added to the second derivatives
 
@@ -180,5 +180,5 @@ def filter_by_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"
                       min_score: float = 0.5, **options) -> DataFrame:
     """The documents with a score of at least ``min_score``; all columns stay."""
     model = learn_quality(stats_table(docs, id_col, text_col), labels, id_col, **options)
-    return (docs.withColumn("_score", quality_score(model)(text_stats(F.col(text_col))))
-            .where(F.col("_score") >= min_score).drop("_score"))
+    return (with_row(docs, quality_score(model)(text_stats(F.col(text_col))).alias("_score"))
+            .where(F.col("_score") >= min_score).select("_row.*"))

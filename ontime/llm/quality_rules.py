@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ontime.llm.common import hash_sample
-from ontime.llm.text_stats import COUNTS, FEATURES, feature_matrix, text_stats
+from ontime.llm.common import hash_sample, with_row
+from ontime.llm.text_stats import COUNTS, feature_matrix, text_stats
 from ontime.session import cut_lineage
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
@@ -159,6 +159,6 @@ def filter_by_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                     **options) -> DataFrame:
     """The documents that pass the base rules and the calibrated forest; all columns stay."""
     model = fit_rules(stats_table(docs, id_col, text_col), labels, id_col, **options)
-    judged = docs.withColumn("_s", text_stats(F.col(text_col)))
+    judged = with_row(docs, text_stats(F.col(text_col)).alias("_s"))
     ok = ~(base_failed("_s.")) & (_anomaly(model.forest)(F.col("_s")) <= model.threshold)
-    return judged.where(ok).drop("_s")
+    return judged.where(ok).select("_row.*")

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ontime.llm.common import row_key, utf8
+from ontime.llm.common import row_key, utf8, with_row
 from ontime.llm.graph import connected_components
 from ontime.session import cut_lineage
 
@@ -359,5 +359,5 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "_k1", "_k2"))
     stay = (_components(docs, id_col, text_col, shingle, max_distance)
             .groupBy("root").agg(first.alias("first")).select("first._k1", "first._k2"))
-    keyed = docs.select("*", *row_key(id_col, text_col))
-    return keyed.join(stay, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).drop("_k1", "_k2")
+    keyed = with_row(docs, *row_key(id_col, text_col))
+    return keyed.join(stay, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select("_row.*")

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ontime.llm.common import row_key, utf8, windows_of
+from ontime.llm.common import row_key, row_with, utf8, windows_of, with_row
 from ontime.session import cut_lineage
 
 SEED = 8
@@ -221,7 +221,7 @@ def remove_duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """Every input row with n_words, n_removed and kept_text (the kept words joined by one space)."""
     spans = (duplicate_spans(docs, id_col, text_col, width).groupBy("_k1", "_k2")
              .agg(F.collect_list(F.struct("p0", "n")).alias("_spans")))
-    cut = _cut_column(width)
-    rest = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
-    return (docs.select(*rest, *row_key(id_col, text_col)).join(spans, ["_k1", "_k2"], "left")
-            .select(*rest, cut(utf8(text_col), "_spans").alias("_cut")).select(*rest, "_cut.*"))
+    text = utf8(F.col("_row").getField(text_col))
+    cut = (with_row(docs, *row_key(id_col, text_col)).join(spans, ["_k1", "_k2"], "left")
+           .select("_row", _cut_column(width)(text, "_spans").alias("_cut")))
+    return row_with(cut, docs.columns, "_cut")

@@ -30,6 +30,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ontime.llm.common import row_with, with_row
+
 TOKEN = "[a-z0-9]+"
 _SEPARATOR = r"(?:[^a-z0-9_.%-]|$)"
 
@@ -131,21 +133,21 @@ def judge_urls(urls: DataFrame, host_rules: list[HostRule], patterns: list[Patte
 
     url = F.col(url_col)
     index = F.from_json(F.lit(json.dumps(buckets)), _ENTRY)
-    own = F.array_union(url_tokens(url), F.array(F.lit("")))  # rules without a token are filed under ''
+    own = F.array_union(url_tokens(F.col("_url")), F.array(F.lit("")))  # rules without a token are filed under ''
     place = lambda t: F.get(index, (F.crc32(t.cast("binary")) % len(buckets)).cast("int"))
     fetched = F.flatten(F.transform(own, lambda t: F.filter(place(t), lambda e: e["token"] == t)))
     # host and path are parted by NUL, so that a host rule cannot match across them
     split = F.concat("_host", F.lit("\x00"), "_path")
     fits = lambda e: F.regexp_like(
-        F.when(e["host_rule"], split).otherwise(F.lower(F.coalesce(url, F.lit("")))), e["regex"])
+        F.when(e["host_rule"], split).otherwise(F.lower(F.coalesce("_url", F.lit("")))), e["regex"])
     hits = F.filter(fetched, lambda e: F.when(e["host_rule"], F.col("_host") != "").otherwise(F.lit(True)) & fits(e))
     order = lambda e: F.struct(e["size"], e["host_size"], e["verdict"], e["name"])
     best = F.array_max(F.transform(F.filter("_hits", lambda e: e["host_rule"]), order))
     pattern = F.array_min(F.transform(F.filter("_hits", lambda e: ~e["host_rule"]), lambda e: e["name"]))
-    rest = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict", "pattern")]
-    return (urls.select(*rest, host_of(url).alias("_host"), path_of(url).alias("_path"))
-            .withColumn("_hits", hits).withColumn("_best", best).withColumn("pattern", pattern)
-            .select(*rest, F.col("_host").alias("host"), F.col("_path").alias("path"),
-                    F.col("_best.name").alias("rule"),
-                    F.coalesce("_best.verdict", F.when(F.col("pattern").isNotNull(), "block").otherwise("allow"))
-                    .alias("verdict"), "pattern"))
+    verdict = F.coalesce("_best.verdict", F.when(F.col("_pattern").isNotNull(), "block").otherwise("allow"))
+    judged = (with_row(urls, url.alias("_url"), host_of(url).alias("_host"), path_of(url).alias("_path"))
+              .withColumn("_hits", hits).withColumn("_best", best).withColumn("_pattern", pattern)
+              .select("_row", F.struct(F.col("_host").alias("host"), F.col("_path").alias("path"),
+                                       F.col("_best.name").alias("rule"), verdict.alias("verdict"),
+                                       F.col("_pattern").alias("pattern")).alias("_judged")))
+    return row_with(judged, urls.columns, "_judged")
