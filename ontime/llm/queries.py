@@ -6,7 +6,6 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 from ontime.llm import (
     ann,
     langid,

@@ -1,0 +1,123 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ontime.llm import graph, simhash
+
+
+def reference_fingerprint(text, shingle=3):
+    words = (text or "").encode().lower().split()
+    rows = [b" ".join(words[i:i + shingle]) for i in range(len(words) - shingle + 1)] if len(words) >= shingle else (
+        [b" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(r, 42) for r in rows]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)) if hashes else 0
+
+
+def reference_components(fps, distance=3):
+    """Smallest id of each row's component; fps: [(id, fingerprint)]."""
+    label = list(range(len(fps)))
+    changed = True
+    while changed:
+        changed = False
+        for i in range(len(fps)):
+            for j in range(len(fps)):
+                if bin(fps[i][1] ^ fps[j][1]).count("1") <= distance and label[i] < label[j]:
+                    label[j], changed = label[i], True
+    out = []
+    for i in range(len(fps)):
+        ids = [fps[j][0] for j in range(len(fps)) if label[j] == label[i] and fps[j][0] is not None]
+        out.append(min(ids) if ids else None)
+    return out
+
+
+@settings(deadline=None)
+@given(st.text(alphabet="aB é\n\x0b", max_size=60))
+def test_fingerprint_equals_bit_counting(text):
+    assert simhash.simhash_bytes(text.encode(), 3) == reference_fingerprint(text)
+
+
+def test_components_of_odd_rows(odd_docs, no_docs):
+    rows = odd_docs.select("doc_id", "text").collect()
+    fps = [(r.doc_id, reference_fingerprint(r.text)) for r in rows]
+    want = sorted(zip(fps, reference_components(fps)), key=str)
+    got = simhash.simhash_components(odd_docs).collect()
+    assert sorted((((r.doc_id, r.fp & (2 ** 64 - 1)), r.component_id) for r in got), key=str) == want
+    assert simhash.simhash_components(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("distance", [0, 1, 3, 5])
+def test_links_of_planted_groups(spark, distance, monkeypatch):
+    """Near fingerprints around a few centres, a chain, and far ones; small chunks split the buckets."""
+    monkeypatch.setattr(simhash, "CHUNK", 8)
+    rnd = random.Random(distance)
+    fps = {0}
+    for _ in range(4):
+        centre = rnd.getrandbits(64)
+        fps |= {centre ^ sum(1 << b for b in rnd.sample(range(64), rnd.randint(0, 4))) for _ in range(40)}
+    chain = rnd.getrandbits(64)
+    for _ in range(10):
+        fps.add(chain)
+        chain ^= 1 << rnd.randrange(64)
+    fps |= {rnd.getrandbits(64) for _ in range(50)}
+    fps = sorted(fps)
+    signed = np.array(fps, np.uint64).view(np.int64).tolist()
+    df = spark.createDataFrame([(f,) for f in signed], "fp bigint").repartition(3)
+    roots = {r.node: r.root for r in graph.connected_components(simhash.fingerprint_links(df, distance)).collect()}
+    want = reference_components(list(zip(signed, fps)), distance)
+    groups = lambda labels: {frozenset(f for f, g in zip(signed, labels) if g == x) for x in labels}
+    assert groups([roots.get(f, f) for f in signed]) == groups(want)
+
+
+@pytest.mark.parametrize("parts", simhash.PARTITIONINGS)
+def test_thresholds_sum_and_are_complete(parts):
+    rng = np.random.default_rng(3)
+    blocks = [list(range(16 * b, 16 * b + 16)) for b in range(4)]
+    hist = rng.integers(0, 50, (4, 1 << 16)).astype(float)
+    plan = simhash.Plan(blocks, hist, 3)
+    plan.parts = parts
+    values = rng.integers(0, 1 << 16, (200, 4))
+    t = plan.thresholds(values)
+    assert (t.sum(axis=1) == 3 - len(parts) + 1).all() and t.min() >= -1
+    # pigeonhole: every split of three flipped bits over the partitions meets some threshold
+    for row in t[:20]:
+        for flips in np.ndindex(*[4] * len(parts)):
+            if sum(flips) <= 3:
+                assert any(f <= limit for f, limit in zip(flips, row))
+
+
+def test_bit_blocks_group_correlated_bits(spark):
+    rng = np.random.default_rng(0)
+    bits = rng.integers(0, 2, (2000, 64))
+    for k in range(1, 6):
+        bits[:, 7 * k] = bits[:, 0]  # six bits that agree
+    fps = np.packbits(bits.astype(np.uint8), axis=1, bitorder="little").view(np.int64).ravel().tolist()
+    blocks = simhash.bit_blocks(spark.createDataFrame([(f,) for f in fps], "fp bigint"))
+    assert sorted(b for block in blocks for b in block) == list(range(64)) and all(len(b) == 16 for b in blocks)
+    home = next(set(b) for b in blocks if 0 in b)
+    assert {7 * k for k in range(6)} <= home
+
+
+def test_near_dedup_keeps_one_row_each(odd_docs, no_docs):
+    kept = simhash.near_dedup(odd_docs)
+    assert kept.columns == odd_docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    comp = {r.component_id for r in simhash.simhash_components(odd_docs).collect()}
+    assert sorted(ids, key=str) == sorted(comp, key=str) and len(ids) == len(set(ids))
+    assert simhash.near_dedup(no_docs).count() == 0
+
+
+def test_connected_components(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (102, 100), (7, 7), (None, 3)]
+    got = {r.node: r.root for r in graph.connected_components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    assert got == {**{i: 0 for i in range(1, 41)}, 101: 100, 102: 100}
+    assert graph.connected_components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_hex(spark):
+    row = spark.createDataFrame([(-1,), (10,)], "fp bigint").select(simhash.hex_fingerprint(F.col("fp")).alias("h")).collect()
+    assert [r.h for r in row] == ["f" * 16, "0" * 15 + "a"]
