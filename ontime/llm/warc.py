@@ -97,6 +97,8 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes, int]:
         headers[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
     if not headers.get("content-length", "").isdigit():
         raise BadRecord("no Content-Length")
+    if not all(headers.get(name) for name in ("warc-record-id", "warc-type", "warc-date")):
+        raise BadRecord("mandatory header missing")
     start, size = end + 4, int(headers["content-length"])
     block = data[start:start + size]
     if len(block) < size or data[start + size:start + size + 4] != b"\r\n\r\n":
