@@ -29,6 +29,7 @@ def main(argv=None) -> None:
     ap.add_argument("--column", help="attribute_distribution: column name")
     ap.add_argument("--airport", help="traffic_windows: one airport code")
     ap.add_argument("--carrier", help="delay_cause_share: one carrier code")
+    ap.add_argument("--columns", help="correlation and clustering reports: comma-separated column names")
     ap.add_argument("--days", type=int, default=12)
     ap.add_argument("--k", type=int, default=None)
     ap.add_argument("--out")
@@ -38,7 +39,8 @@ def main(argv=None) -> None:
 
     spark = session_builder(args.master).getOrCreate()
     flights, carriers, airports = load_flight_sources(spark, args.flights, args.carriers, args.airports)
-    reports = FlightReports(spark, flights, carriers, airports)
+    columns = [c for c in (args.columns or "").split(",") if c]
+    reports = FlightReports(spark, flights, carriers, airports, columns=columns or None)
     method = getattr(reports, args.report)
     kwargs = {}
     params = inspect.signature(method).parameters

@@ -12,9 +12,13 @@ from pyspark.sql import functions as F
 HASH_SPACE = 2 ** 32
 
 
-def hash_key(id_col: Column, seed: int = 42) -> Column:
-    """First 32 bits of md5('<id>|<seed>') as a non-negative BIGINT."""
-    digest = F.md5(F.concat(id_col.cast("string"), F.lit(f"|{seed}")))
+def hash_key(cols: Column | list[Column], seed: int = 42) -> Column:
+    """First 32 bits of md5('<values>|<seed>') as a non-negative BIGINT; several
+    values are joined by '|', a NULL among them counts as an empty text."""
+    cols = cols if isinstance(cols, (list, tuple)) else [cols]
+    text = cols[0].cast("string") if len(cols) == 1 else F.concat_ws(
+        "|", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
+    digest = F.md5(F.concat(text, F.lit(f"|{seed}")))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 

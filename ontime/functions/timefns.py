@@ -22,8 +22,9 @@ def hhmm_timestamp(year: Column, month: Column, day: Column, hhmm: Column) -> Co
 
 
 def local_to_utc(local_ts: Column, zone: Column) -> Column:
-    """Wall clock in ``zone`` -> UTC wall clock (timestamp_ntz). NULL zone -> NULL."""
-    return F.to_utc_timestamp(local_ts, zone).cast("timestamp_ntz")
+    """Wall clock in ``zone`` -> UTC wall clock (both timestamp_ntz, so the
+    session time zone plays no part). NULL zone -> NULL."""
+    return F.convert_timezone(zone, F.lit("UTC"), local_ts)
 
 
 def add_minutes(ts: Column, minutes: Column) -> Column:

@@ -25,14 +25,14 @@ def distinct_tuple_count(df: DataFrame, group_cols, tuple_cols, name: str = "n")
             .groupBy(*group_cols).agg(F.count(F.lit(1)).alias(name)))
 
 
-def conditional_sums(df: DataFrame, cols, predicate=lambda c: c > 0, group_cols=(),
-                     names=None) -> DataFrame:
+def conditional_sums(df: DataFrame, cols, predicate=lambda c: c > 0, group_cols=(), plain=None) -> DataFrame:
     """sum(c) over rows where predicate(c) holds, for every c in one pass.
 
-    An empty selection gives NULL, as ``sum`` over no rows does.
+    ``plain`` ({column: name}) adds plain sums to the same pass. An empty
+    selection gives NULL, as ``sum`` over no rows does.
     """
-    names = names or list(cols)
-    aggs = [F.sum(F.when(predicate(F.col(c)), F.col(c))).alias(n) for c, n in zip(cols, names)]
+    aggs = [F.sum(F.when(predicate(F.col(c)), F.col(c))).alias(c) for c in cols]
+    aggs += [F.sum(c).alias(name) for c, name in (plain or {}).items()]
     return df.groupBy(*group_cols).agg(*aggs)
 
 

@@ -9,12 +9,14 @@ from ontime.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcas
 
 
 def _suffixed(left: DataFrame, right: DataFrame, keys_left, keys_right, suffixes):
-    """Rename clashing non-key columns with the suffixes."""
+    """Rename clashing non-key columns with the suffixes (J8); the kept key
+    has the left key's name, so a right column of that name clashes, too."""
     lkeys, rkeys = set(keys_left), set(keys_right)
-    clash = (set(left.columns) - lkeys) & (set(right.columns) - rkeys)
+    lclash = (set(left.columns) - lkeys) & (set(right.columns) - rkeys)
+    rclash = set(left.columns) & (set(right.columns) - rkeys)
     lsuf, rsuf = suffixes
-    left = left.select(*[F.col(c).alias(c + lsuf) if c in clash else F.col(c) for c in left.columns])
-    right = right.select(*[F.col(c).alias(c + rsuf) if c in clash else F.col(c) for c in right.columns])
+    left = left.select(*[F.col(c).alias(c + lsuf) if c in lclash else F.col(c) for c in left.columns])
+    right = right.select(*[F.col(c).alias(c + rsuf) if c in rclash else F.col(c) for c in right.columns])
     return left, right
 
 

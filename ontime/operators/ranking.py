@@ -4,43 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ontime.session import cut_lineage
 
 
-def _numeric_key(df: DataFrame, col: str) -> Column:
-    """An order-preserving DOUBLE for a numeric, date or timestamp column."""
-    dtype = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):
-        # from the wall-clock parts: no session time zone (and no DST gap) involved
-        return (F.unix_date(F.to_date(c)) * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
-                + F.second(c)).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(F.col(col)).cast("double")
-    return F.col(col).cast("double")
-
-
-def top_k_with_ties(df: DataFrame, order_col: str, k: int, materialize: bool = True) -> DataFrame:
+def top_k_with_ties(df: DataFrame, order_col: str, k: int) -> DataFrame:
     """Rows whose ``rank() over (order by order_col desc)`` is <= k.
 
     Same rows as the rank filter, computed without a one-partition window:
     the k-th largest value is found with a bounded top-k (k rows per task),
     then every partition filters ``value >= threshold`` in parallel, so even
     a table where every row ties is never gathered into one task. Ties at
-    the border are all kept; NULL values are never ranked.
-
-    The input (normally an aggregate) is checkpointed to the shared
-    checkpoint folder first, so the threshold and the filter read it once
-    instead of recomputing the aggregate and its joins twice.
+    the border are all kept; NULL values are never ranked. The threshold and
+    the filter read the same aggregate: its exchange is reused.
     """
     if k <= 0:
         return df.limit(0)
-    if materialize:
-        df = cut_lineage(df)
     threshold = (df.where(F.col(order_col).isNotNull())
                  .select(order_col).orderBy(F.desc(order_col)).limit(k)
                  .agg(F.min(order_col)))
@@ -59,38 +38,31 @@ def stratified_sample(df: DataFrame, by, n: int, order_key: Column) -> DataFrame
             .where(F.col("__rn") <= n).drop("__rn"))
 
 
-def running_total(df: DataFrame, order_col: str, value_cols, out_cols=None, buckets: int = 64,
-                  descending: bool = False, materialize: bool = True) -> DataFrame:
+def running_total(df: DataFrame, order_col: str, value_cols, out_cols=None, keys_per_bucket: int = 500_000,
+                  descending: bool = False) -> DataFrame:
     """Running sum of ``value_cols`` over distinct ``order_col`` values.
 
     Rows are first summed per order value (so each value is one row and a
-    hot value cannot swamp a task). Ranges of order values
-    (approximate quantiles, at most ``buckets``) get a local running sum in
-    parallel; the bucket totals (<= buckets rows, broadcast) give each range
-    its offset. Exact, with no one-task window over all rows; the offset
-    table has at most ``buckets`` rows by construction. The per-value sums
-    are checkpointed once since three branches read them.
+    hot value cannot swamp a task). The values are then range-partitioned
+    into buckets of about ``keys_per_bucket``, as many as their number asks
+    for; each bucket gets a local running sum in parallel, and the bucket
+    totals (one row each) give it its offset. Any orderable column works; a
+    NULL value is one more row and comes last. The per-value sums with their
+    bucket are checkpointed, so all branches see the same ranges.
     """
     value_cols = [value_cols] if isinstance(value_cols, str) else list(value_cols)
     out_cols = out_cols or [f"{c}_cum" for c in value_cols]
-    per_key = df.groupBy(order_col).agg(*[F.sum(c).alias(c) for c in value_cols])
-    if materialize:
-        per_key = cut_lineage(per_key)
-    key = _numeric_key(per_key, order_col)
-    per_key = per_key.withColumn("__k", -key if descending else key)
-    fractions = [i / buckets for i in range(1, buckets)]
-    bounds = per_key.agg(F.percentile_approx("__k", fractions, 10_000))
-    bounded = (per_key.withColumn("__bounds", bounds.scalar())
-               .withColumn("__b", F.size(F.filter("__bounds", lambda b: b < F.col("__k"))))
-               .drop("__bounds"))
+    order = F.desc_nulls_last(order_col) if descending else F.asc_nulls_last(order_col)
+    per_key = cut_lineage(df.groupBy(order_col).agg(*[F.sum(c).alias(c) for c in value_cols]))
+    buckets = max(1, -(-per_key.count() // keys_per_bucket))
+    bounded = cut_lineage(per_key.repartitionByRange(buckets, order).withColumn("__b", F.spark_partition_id()))
     totals = bounded.groupBy("__b").agg(*[F.sum(c).alias(f"__t{i}") for i, c in enumerate(value_cols)])
     before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("__b", *[F.coalesce(F.sum(f"__t{i}").over(before), F.lit(0)).alias(f"__o{i}")
                                      for i in range(len(value_cols))])
-    order = F.desc(order_col) if descending else F.asc(order_col)
     local = Window.partitionBy("__b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     summed = bounded.select(order_col, *value_cols, "__b",
                             *[F.sum(c).over(local).alias(f"__l{i}") for i, c in enumerate(value_cols)])
-    return (summed.join(F.broadcast(offsets), "__b")
+    return (summed.join(offsets, "__b")
             .select(order_col, *value_cols,
                     *[(F.col(f"__l{i}") + F.col(f"__o{i}")).alias(o) for i, o in enumerate(out_cols)]))

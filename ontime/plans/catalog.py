@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime.functions.buckets import bucketize, sql_bucketize
+from ontime.functions.columns import drop_matching, select_matching
 from ontime.functions.keys import fraction_threshold, hash_key, sql_hash_key
 from ontime.functions.labels import CANCELLATION_LABELS, DELAY_BUCKET_LABELS, label_lookup, sql_case
 from ontime.operators import (
@@ -21,6 +24,7 @@ from ontime.operators import (
     running_total,
     stratified_sample,
     top_k_with_ties,
+    union_all,
 )
 from ontime.plans import reports
 from ontime.plans.classify import (
@@ -42,7 +46,7 @@ from ontime.plans.cluster import (
     with_delay_code,
 )
 from ontime.plans.evaluate import confusion_metrics, roc_points, silhouette
-from ontime.plans.ml_common import split_label
+from ontime.plans.ml_common import fit_layout, hash_split
 from ontime.plans.relational import predicate_counts
 from ontime.plans.stats import correlation_matrix, correlation_pairs, min_max_scale
 from ontime.sources import driver_tables as dt
@@ -75,18 +79,20 @@ class Tables(dict):
 
 
 _FACTS: dict = {}
-# Session setting: "false" reads the fact view lazily in every query instead.
+# Session setting: "true" builds the fact view once per session and keeps it,
+# as the dashboard did; by default every query reads its own columns and rows.
 CACHE_FACT_CONF = "spark.ontime.cacheFact"
 
 
 def _flights(spark, sf_dir):
     """Driver tables and the flight-shaped fact view F.
 
-    As in the dashboard, the fact table is built once per session and kept
-    (memory, spilling to disk); dimensions stay uncached (S6, S9).
+    Lazy by default, so pruning and push-down reach the scans. With the
+    setting on, F is kept (memory, spilling to disk) until
+    :func:`release_facts`; dimensions stay uncached (S6, S9).
     """
     t = Tables(spark, sf_dir)
-    if spark.conf.get(CACHE_FACT_CONF, "true").lower() != "true":
+    if spark.conf.get(CACHE_FACT_CONF, "false").lower() != "true":
         return t, dt.flight_view(t)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FACTS:
@@ -94,10 +100,23 @@ def _flights(spark, sf_dir):
     return t, _FACTS[key]
 
 
+def release_facts() -> None:
+    """Drop the kept fact views and the test parts of fitted models."""
+    for df in _FACTS.values():
+        df.unpersist()
+    for _, test in _FITTED.values():
+        test.unpersist()
+    _FACTS.clear()
+    _FITTED.clear()
+
+
 def _sql_f(q: str, **extra) -> str:
     return dt.with_views(q, flights=dt.FLIGHT_SQL, **extra)
 
 
+_FITTED: dict = {}
+
+
 # --- R8 (flagship) ---------------------------------------------------------
 
 @register("arrival_delay_buckets", _sql_f(f"""
@@ -195,6 +214,25 @@ def q_delay_cause_share(spark, sf_dir):
     return reports.delay_cause_share(f)
 
 
+def _one_carrier_sql(name: str, code: str) -> str:
+    return f"""{name} as (select '{code}' as Reporting_Airline, sum(ArrDelay) as tot,
+          sum(case when CarrierDelay > 0 then CarrierDelay end) as c0,
+          sum(case when WeatherDelay > 0 then WeatherDelay end) as c1,
+          sum(case when NASDelay > 0 then NASDelay end) as c2,
+          sum(case when SecurityDelay > 0 then SecurityDelay end) as c3,
+          sum(case when LateAircraftDelay > 0 then LateAircraftDelay end) as c4
+        from flights where ArrDelay >= 15 and Reporting_Airline = '{code}')"""
+
+
+@register("one_carrier_delay_cause_share", _sql_f(
+    f", {_one_carrier_sql('s', '3')}, {_one_carrier_sql('u', 'none')}\n" + _cause_union("s") + "\nunion all\n"
+    + _cause_union("u")))
+def q_one_carrier_delay_cause_share(spark, sf_dir):
+    """One carrier, and one without a late flight (five rows with NULL)."""
+    _, f = _flights(spark, sf_dir)
+    return union_all(reports.delay_cause_share(f, "3"), reports.delay_cause_share(f, "none"))
+
+
 # --- R9, R10 -----------------------------------------------------------------
 
 @register("top_routes", _sql_f("""
@@ -212,30 +250,40 @@ def q_top_routes(spark, sf_dir):
     return reports.top_routes(f, dt.airports_view(t), k=25)
 
 
-@register("busiest_airports", _sql_f("""
+def _busiest_sql(k: int) -> str:
+    return _sql_f(f"""
 , o as (select Origin, count(*) as n_x from flights group by 1)
 , d as (select Dest, count(*) as n_y from flights group by 1)
-, j as (select coalesce(o.Origin, d.Dest) as Origin, n_x, n_y, (n_x + n_y) / 10000 as nTotal
+, j as (select coalesce(o.Origin, d.Dest) as Origin, n_x, n_y, n_x + n_y as nSum, (n_x + n_y) / 10000 as nTotal
         from o full join d on o.Origin = d.Dest)
 , r as (select *, rank() over (order by nTotal desc) as rk from j where nTotal is not null)
-select r.Origin, r.n_x, r.n_y, r.nTotal, a.name, a.longitude_deg, a.latitude_deg, a.timezone
-from r left join airports a on r.Origin = a.iata_code where rk <= 25
-""", airports=dt.AIRPORTS_SQL))
+select r.Origin, r.n_x, r.n_y, r.nSum, r.nTotal, a.name, a.longitude_deg, a.latitude_deg, a.timezone
+from r left join airports a on r.Origin = a.iata_code where rk <= {k}
+""", airports=dt.AIRPORTS_SQL)
+
+
+@register("busiest_airports", _busiest_sql(25))
 def q_busiest_airports(spark, sf_dir):
     t, f = _flights(spark, sf_dir)
     return reports.busiest_airports(f, dt.airports_view(t), k=25)
 
 
+@register("busiest_airports_top10", _busiest_sql(10))
+def q_busiest_airports_top10(spark, sf_dir):
+    t, f = _flights(spark, sf_dir)
+    return reports.busiest_airports(f, dt.airports_view(t), k=10)
+
+
 # --- R3 and the time path T1-T5 ---------------------------------------------
 
 @register("traffic_windows", """
 select user_id as Airport, time_bucket(interval 12 days, ts, timestamp '1970-01-01') as window_start,
        count(*) as n, 'Departures' as Type
-from events where event_type = 'click' group by 1, 2
+from events where event_type in ('click', 'signup') group by 1, 2
 union all
 select user_id as Airport, time_bucket(interval 12 days, ts, timestamp '1970-01-01') as window_start,
        count(*) as n, 'Arrivals' as Type
-from events where event_type = 'view' group by 1, 2
+from events where event_type not in ('click', 'signup') or event_type is null group by 1, 2
 """)
 def q_traffic_windows(spark, sf_dir):
     t = Tables(spark, sf_dir)
@@ -265,7 +313,7 @@ def q_missing_zones(spark, sf_dir):
     return reports.missing_zone_count(dt.event_flights(t), dt.airports_view(t))
 
 
-@register("airport_traffic_windows", dt.with_views("""
+_LEGS_SQL = """
 , legs as (
   select ef.Origin as Airport,
          make_timestamp(ef.Year, ef.Month, ef.DayofMonth, ef.WheelsOff // 100, ef.WheelsOff % 100, 0)
@@ -278,13 +326,24 @@ def q_missing_zones(spark, sf_dir):
          'Arrivals' as Type
   from ef left join airports a on ef.Origin = a.iata_code)
 select Airport, time_bucket(interval 5 days, ts, timestamp '1970-01-01') as window_start, count(*) as n, Type
-from legs where Airport is not null and ts is not null group by Airport, Type, 2
-""", ef=dt.EVENT_FLIGHTS_SQL, airports=dt.AIRPORTS_SQL))
+from legs where Airport is not null and ts is not null{only} group by Airport, Type, 2
+"""
+
+
+@register("airport_traffic_windows", dt.with_views(_LEGS_SQL.format(only=""), ef=dt.EVENT_FLIGHTS_SQL,
+                                                   airports=dt.AIRPORTS_SQL))
 def q_airport_traffic_windows(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return reports.traffic_windows(dt.event_flights(t), dt.airports_view(t), days=5)
 
 
+@register("one_airport_traffic_windows", dt.with_views(_LEGS_SQL.format(only=" and Airport = '7'"),
+                                                       ef=dt.EVENT_FLIGHTS_SQL, airports=dt.AIRPORTS_SQL))
+def q_one_airport_traffic_windows(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return reports.traffic_windows(dt.event_flights(t), dt.airports_view(t), days=5, airport="7")
+
+
 # --- Joins J1-J8 --------------------------------------------------------------
 
 @register("lookup_left_join", _sql_f("""
@@ -362,7 +421,27 @@ select ArrDelay, DepDelay, Distance, TaxiIn, TaxiOut from flights
 """))
 def q_select_patterns(spark, sf_dir):
     _, f = _flights(spark, sf_dir)
-    return f.select(*feature_columns(f))
+    names = feature_columns(f)
+    return select_matching(f, names=names)
+
+
+@register("drop_patterns", _sql_f("""
+select l_orderkey, l_linenumber, Reporting_Airline, Origin, Dest, Year, Month, DayofMonth, Distance, CancellationCode
+from flights
+"""))
+def q_drop_patterns(spark, sf_dir):
+    _, f = _flights(spark, sf_dir)
+    return drop_matching(f, ends_with=("Delay",), starts_with=("Taxi",)).drop("Cancelled")
+
+
+@register("union_by_name", _sql_f("""
+select Reporting_Airline, null as Origin, count(*) as n from flights group by 1
+union all
+select null as Reporting_Airline, Origin, count(*) as n from flights group by 2
+"""))
+def q_union_by_name(spark, sf_dir):
+    _, f = _flights(spark, sf_dir)
+    return union_all(frequency(f, "Reporting_Airline"), frequency(f, "Origin"))
 
 
 # --- Row-wise argmax, buckets, labels ------------------------------------------
@@ -451,7 +530,8 @@ from orders
 """)
 def q_hash_split(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return t["orders"].select("o_orderkey", split_label("o_orderkey", 0.7).alias("split"))
+    train, test = hash_split(t["orders"].select("o_orderkey"), ["o_orderkey"], 0.7)
+    return union_all(train.withColumn("split", F.lit("training")), test.withColumn("split", F.lit("testing")))
 
 
 @register("on_time_label", _sql_f("""
@@ -487,15 +567,27 @@ def q_correlation_pairs(spark, sf_dir):
     return correlation_pairs(t["lineitem"], _LI_NUMERIC)
 
 
-_F_NUMERIC = ["l_orderkey", "l_linenumber", "Reporting_Airline", "Origin", "Dest", "Year", "Month",
-              "DayofMonth", "ArrDelay", "DepDelay", "Distance", "TaxiIn", "TaxiOut", "Cancelled",
+_F_NUMERIC = ["Year", "Month", "DayofMonth", "ArrDelay", "DepDelay", "Distance", "TaxiIn", "TaxiOut", "Cancelled",
               "CarrierDelay", "WeatherDelay", "NASDelay", "SecurityDelay", "LateAircraftDelay"]
 
 
 @register("correlation_matrix", _sql_f(_corr_sql(_F_NUMERIC, "flights")))
 def q_correlation_matrix(spark, sf_dir):
     _, f = _flights(spark, sf_dir)
-    return correlation_matrix(f)
+    return correlation_matrix(f.drop("l_orderkey", "l_linenumber"))
+
+
+_SPARSE = ["ArrDelay", "DepDelay", "Distance", "DivTime"]
+
+
+@register("sparse_correlation", _sql_f(_corr_sql(_SPARSE, "sparse"), sparse="""
+select ArrDelay, DepDelay, Distance, nullif(TaxiIn, 0) as DivTime, cast(null as double) as Div2Time from flights
+"""))
+def q_sparse_correlation(spark, sf_dir):
+    """R11 with named columns on a fact table with a sparse and an empty column."""
+    _, f = _flights(spark, sf_dir)
+    sparse = f.withColumns({"DivTime": F.nullif(F.col("TaxiIn"), F.lit(0.0)), "Div2Time": F.lit(None).cast("double")})
+    return correlation_matrix(sparse, _SPARSE)
 
 
 _SCALE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -616,9 +708,6 @@ def q_silhouette_given_labels(spark, sf_dir):
 
 # --- Classification R12-R15 (fitted models: rows-only checks) ------------------
 
-_FITTED: dict = {}
-
-
 def _fitted_classifiers(spark, sf_dir):
     """Fit the four models once per session and folder; three reports read them."""
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -630,20 +719,17 @@ def _fitted_classifiers(spark, sf_dir):
 
 @register("classifier_comparison")
 def q_classifier_comparison(spark, sf_dir):
-    _, preds, _ = _fitted_classifiers(spark, sf_dir)
-    return classifier_comparison(preds)
+    return classifier_comparison(*_fitted_classifiers(spark, sf_dir))
 
 
 @register("classifier_roc")
 def q_classifier_roc(spark, sf_dir):
-    models, _, test = _fitted_classifiers(spark, sf_dir)
-    return logistic_roc(models, test)
+    return logistic_roc(*_fitted_classifiers(spark, sf_dir))
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf_dir):
-    models, _, _ = _fitted_classifiers(spark, sf_dir)
-    return feature_importance(spark, models)
+    return feature_importance(spark, _fitted_classifiers(spark, sf_dir)[0])
 
 
 # --- Clustering R16-R19 on embeddings (rows-only checks) ------------------------
@@ -681,3 +767,80 @@ def q_delay_cause_pca(spark, sf_dir):
     _, f = _flights(spark, sf_dir)
     table = cluster_features(f)
     return pca_variance(spark, assemble(table, feature_columns(f)), n_features=len(feature_columns(f)))
+
+
+# --- What the fitted models must satisfy, in SQL ---------------------------------
+
+_SPLIT_COLUMNS = ["OnTime", "DepDelay", "Distance", "TaxiIn", "TaxiOut"]
+
+
+@register("classifier_split_counts", _sql_f(f"""
+, c as (select {', '.join(_SPLIT_COLUMNS)}, count(*) as n from ot group by all)
+, r as (select *, unnest(generate_series(1, n)) as i from c)
+, k as (select OnTime, ('0x' || substr(md5(concat_ws('|', {', '.join(f'cast({c} as varchar)' for c in _SPLIT_COLUMNS)},
+               cast(i as varchar)) || '|42'), 1, 8))::bigint as h from r)
+select case when h < {fraction_threshold(0.7)} then 'training' else 'testing' end as split, OnTime, count(*) as n
+from k group by all
+""", ot=_ON_TIME_SQL))
+def q_classifier_split_counts(spark, sf_dir):
+    """The repeatable split without a key, counted by label."""
+    _, f = _flights(spark, sf_dir)
+    parts = hash_split(classification_set(f))
+    return union_all(*[frequency(p, "OnTime").withColumn("split", F.lit(name))
+                       for p, name in zip(parts, ("training", "testing"))])
+
+
+@register("classifier_checks", """
+select unnest(['Decision Tree', 'Gradient Boosted Trees', 'Logistic', 'Random Forest']) as Classifier,
+       true as in_range, true as recall_is_accuracy, true as beats_majority
+""")
+def q_classifier_checks(spark, sf_dir):
+    """Each model's metrics lie in [0, 1], weighted recall is accuracy, and no
+    model is worse than always naming the larger class."""
+    models, test = _fitted_classifiers(spark, sf_dir)
+    wide = classifier_comparison(models, test).groupBy("Classifier").pivot(
+        "Metric", ["accuracy", "f1", "weightedPrecision", "weightedRecall"]).agg(F.first("Performance"))
+    late = test.agg(F.avg("OnTime").alias("p")).select(F.greatest("p", 1 - F.col("p"))).scalar()
+    return wide.select("Classifier", F.forall(F.array("accuracy", "f1", "weightedPrecision", "weightedRecall"),
+                                              lambda m: m.between(0, 1)).alias("in_range"),
+                       (F.abs(F.col("accuracy") - F.col("weightedRecall")) < 1e-9).alias("recall_is_accuracy"),
+                       (F.col("accuracy") >= late - 1e-9).alias("beats_majority"))
+
+
+@register("pca_inertia", """
+with x as (select unnest(cast(embedding as double[])) as v, generate_subscripts(embedding, 1) as d from embeddings)
+, b as (select d, min(v) as mn, max(v) as mx from x group by 1)
+, s as (select x.d, var_samp((v - mn) / (mx - mn)) as var from x join b on x.d = b.d group by 1)
+select count(*) as components, round(sum(var), 6) as inertia from s
+""")
+def q_pca_inertia(spark, sf_dir):
+    """R17, ML18: a full-rank projection keeps the total variance of the scaled features."""
+    scaled = _scaled_embeddings(spark, sf_dir)
+    k = scaled.select(F.size(vector_to_array("features"))).first()[0]
+    parts = pca_project(scaled, k=k).agg(*[F.var_samp(f"PC{i + 1}").alias(f"v{i}") for i in range(k)])
+    total = sum((F.col(f"v{i}") for i in range(1, k)), F.col("v0"))
+    return parts.select(F.lit(k).cast("bigint").alias("components"), F.round(total, 6).alias("inertia"))
+
+
+@register("kmeans_assignment", """
+select count(*) as n_points, cast(5 as bigint) as n_clusters, cast(0 as bigint) as misplaced from embeddings
+""")
+def q_kmeans_assignment(spark, sf_dir):
+    """Every point is counted in one of k clusters, and that of its nearest centre."""
+    projected = pca_project(_scaled_embeddings(spark, sf_dir), keep=("vec_id",))
+    model = KMeans(k=5, seed=42, featuresCol="pcs").fit(fit_layout(projected, ["PC1", "PC2", "PC3"]))
+    distance = [sum(((F.col(f"PC{i + 1}") - float(c[i])) ** 2 for i in range(1, 3)), (F.col("PC1") - float(c[0])) ** 2)
+                for c in model.clusterCenters()]
+    own = F.element_at(F.array(*distance), F.col("prediction") + 1)
+    return model.transform(projected).agg(
+        F.count(F.lit(1)).alias("n_points"), F.count_distinct("prediction").alias("n_clusters"),
+        F.count_if(own > F.least(*distance) + 1e-9).alias("misplaced"))
+
+
+@register("cluster_sample_counts", """
+select cast(unnest(range(5)) as integer) as prediction, cast(10 as bigint) as n
+""")
+def q_cluster_sample_counts(spark, sf_dir):
+    """R19 with a limit that bites: ten test rows of each cluster."""
+    projected = pca_project(_scaled_embeddings(spark, sf_dir), keep=("vec_id",))
+    return frequency(cluster_sample(projected, k=5, points=50, id_col="vec_id", key_cols=["vec_id"]), "prediction")

@@ -16,14 +16,15 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import RFormula
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ontime.operators.setops import union_all
-from ontime.plans.evaluate import confusion_metrics
-from ontime.plans.ml_common import hash_split, right_sized
+from ontime.plans.evaluate import confusion_metrics, roc_points
+from ontime.plans.ml_common import fit_layout, hash_split
 from ontime.session import checkpoint_dir
 
+# The report's features.
 FEATURES = ["DepDelay", "Distance", "TaxiIn", "TaxiOut"]
 LABEL = "OnTime"
 
@@ -58,41 +59,57 @@ def _estimators(seed: int):
 def train_classifiers(train: DataFrame, features=FEATURES, label=LABEL, seed: int = 42) -> dict:
     """Fit the four models (library defaults, as the dashboard) on ``train``.
 
-    The formula is fitted once and the (features, label) vectors are
-    persisted once for all four fits, so every iteration of every model
-    reads compact cached vectors instead of re-deriving them from rows.
+    The formula is fitted once and the (features, label) vectors are dealt by
+    content and persisted once for all four fits, so every iteration reads
+    compact cached vectors and the models do not depend on the input's layout.
     Each result is a ``PipelineModel`` (formula, classifier).
     """
     checkpoint_dir(train.sparkSession)
-    formula = RFormula(formula=_formula(features, label)).fit(train)
-    vectors = formula.transform(train).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    laid_out = fit_layout(train.select(label, *features), [label, *features])
+    formula = RFormula(formula=_formula(features, label)).fit(laid_out)
+    vectors = formula.transform(laid_out).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = vectors.count()  # materializes the cache
-        fit_input = right_sized(vectors, rows, bytes_per_row=8 * (len(features) + 1) + 64)
-        return {name: PipelineModel(stages=[formula, est.fit(fit_input)])
+        return {name: PipelineModel(stages=[formula, est.fit(vectors)])
                 for name, est in _estimators(seed).items()}
     finally:
         vectors.unpersist()
 
 
 def split_and_train(flights: DataFrame, seed: int = 42, fraction: float = 0.7):
-    """Label, 70/30 repeatable split, four fitted models, test predictions.
+    """Label, 70/30 repeatable split, four fitted models.
+
+    Returns (models, test). The data are persisted for the split and the test
+    part for scoring; the caller unpersists the test part when done, as
+    ``FlightReports.close`` does."""
+    data = classification_set(flights).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        train, test = hash_split(data, fraction=fraction, seed=seed)
+        test = test.persist(StorageLevel.MEMORY_AND_DISK)
+        test.count()
+        return train_classifiers(train, seed=seed), test
+    finally:
+        data.unpersist()
 
-    The test part is persisted (it is scored by four models, the ROC and the
-    metrics); the caller unpersists it when done, as ``FlightReports.close``
-    does."""
-    data = classification_set(flights)
-    train, test = hash_split(data, fraction=fraction, seed=seed)
-    test = test.persist(StorageLevel.MEMORY_AND_DISK)
-    models = train_classifiers(train, seed=seed)
-    preds = {name: m.transform(test) for name, m in models.items()}
-    return models, preds, test
 
+def scored_by_all(models: dict, test: DataFrame) -> DataFrame:
+    """(Classifier, label, prediction, probability of class 1): every model applied
+    in one pass over the test rows, one output row per model."""
+    formula = next(iter(models.values())).stages[0]
+    rows = formula.transform(test).select("features", "label")
+    cells = []
+    for i, (name, model) in enumerate(models.items()):
+        fitted = model.stages[-1].copy({
+            model.stages[-1].predictionCol: f"p{i}", model.stages[-1].rawPredictionCol: f"r{i}",
+            model.stages[-1].probabilityCol: f"q{i}"})
+        rows = fitted.transform(rows)
+        cells.append(F.struct(F.lit(name).alias("Classifier"), F.col("label"), F.col(f"p{i}").alias("prediction"),
+                              vector_to_array(F.col(f"q{i}"))[1].alias("score")))
+    return rows.select(F.inline(F.array(*cells)))
 
-def classifier_comparison(preds: dict) -> DataFrame:
-    """(Classifier, Metric, Performance), four metrics per model."""
-    return union_all(*[confusion_metrics(p, "label", "prediction").select(F.lit(name).alias("Classifier"), "*")
-                       for name, p in preds.items()])
+
+def classifier_comparison(models: dict, test: DataFrame) -> DataFrame:
+    """(Classifier, Metric, Performance), four metrics per model, one aggregate."""
+    return confusion_metrics(scored_by_all(models, test), "label", "prediction", by=["Classifier"])
 
 
 def logistic_roc(models: dict, test: DataFrame) -> DataFrame:
@@ -102,6 +119,11 @@ def logistic_roc(models: dict, test: DataFrame) -> DataFrame:
     return pipe.stages[-1].evaluate(prepared).roc
 
 
+def exact_roc(models: dict, test: DataFrame, name: str = "Logistic") -> DataFrame:
+    """Every point of one model's ROC (FPR, TPR, threshold), without down-sampling."""
+    return roc_points(scored_by_all({name: models[name]}, test))
+
+
 def feature_importance(spark: SparkSession, models: dict, features=FEATURES) -> DataFrame:
     """(Model, feature, importance) for the three tree models, largest first.
 

@@ -18,8 +18,8 @@ from ontime.functions.argmax import argmax_name, delay_code, sum_of
 from ontime.functions.columns import matching_columns
 from ontime.functions.keys import hash_key
 from ontime.operators.ranking import stratified_sample
-from ontime.plans.ml_common import hash_split, right_sized
-from ontime.plans.stats import min_max_scale
+from ontime.plans.ml_common import fit_layout, hash_split
+from ontime.plans.stats import complete_rows, min_max_scale
 from ontime.sources.schemas import CAUSE_COLUMNS
 
 
@@ -43,11 +43,11 @@ def cluster_features(flights: DataFrame, min_total: float = 15.0, keys=(), featu
     (scaler fitted on all kept rows, as the dashboard does).
 
     Rows with a NULL feature are dropped; pass ``features`` to leave out
-    columns that are mostly NULL (e.g. second-diversion times), which would
-    otherwise empty the table."""
+    columns that are mostly NULL (e.g. second-diversion times). If they
+    empty the table, the error names the NULL count of each column."""
     feats = list(features or feature_columns(flights))
-    coded = with_delay_code(flights, min_total).select(*keys, "DelayCode", *feats).na.drop("any", subset=feats)
-    return min_max_scale(coded, feats)
+    coded = with_delay_code(flights, min_total).select(*keys, "DelayCode", *feats)
+    return min_max_scale(complete_rows(coded, feats), feats)
 
 
 def assemble(df: DataFrame, cols, out: str = "features") -> DataFrame:
@@ -85,7 +85,7 @@ def training_fitted_projection(coded: DataFrame, feature_cols, k: int = 3, seed:
     training part only and apply them to both parts (no test-set leakage).
     Returns (training, testing) projections with ``pcs`` and PC1..PCk."""
     cols = list(feature_cols)
-    train_raw, test_raw = hash_split(coded, fraction=fraction, seed=seed)
+    train_raw, test_raw = hash_split(complete_rows(coded, cols), fraction=fraction, seed=seed)
     train = assemble(min_max_scale(train_raw, cols, fit_df=train_raw), cols)
     test = assemble(min_max_scale(test_raw, cols, fit_df=train_raw), cols)
     model = PCA(k=k, inputCol="features", outputCol="__pcs").fit(train)
@@ -97,24 +97,41 @@ def training_fitted_projection(coded: DataFrame, feature_cols, k: int = 3, seed:
     return project(train), project(test)
 
 
+def _split_pcs(projected, key_cols, seed, split):
+    """(training, testing) rows with PC1..PCk; the split key is the row where there is no other."""
+    if split:
+        return split
+    if key_cols:
+        return hash_split(projected, key_cols=key_cols, seed=seed)
+    names = [c for c in projected.columns if c != "pcs"]  # a vector has no grouping order
+    pcs = F.array(*[F.col(c) for c in names if c.startswith("PC")])
+    return tuple(part.withColumn("pcs", array_to_vector(pcs)) for part in hash_split(projected.select(*names), seed=seed))
+
+
+def _pc_columns(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c.startswith("PC")]
+
+
 def kmeans_silhouette(spark: SparkSession, projected: DataFrame | None, ks=range(2, 9), seed: int = 42,
                       key_cols=None, split=None) -> DataFrame:
     """Silhouette on the test part of k-means fitted on the training part,
-    for each k. The features table is persisted once for all fits."""
-    train, test = split or hash_split(projected, key_cols=key_cols, seed=seed)
-    train = train.select("pcs").persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.select("pcs").persist(StorageLevel.MEMORY_AND_DISK)
+    for each k. The projection is persisted before the split and each part
+    once for all fits; a fit depends on the rows alone, not on their layout."""
+    source = None if split else projected.persist(StorageLevel.MEMORY_AND_DISK)
+    train, test = _split_pcs(source, key_cols, seed, split)
+    train = fit_layout(train, _pc_columns(train)).select("pcs").persist(StorageLevel.MEMORY_AND_DISK)
+    test = fit_layout(test, _pc_columns(test)).select("pcs").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fit_input = right_sized(train, train.count(), bytes_per_row=8 * 3 + 64)
-        eval_input = right_sized(test, test.count(), bytes_per_row=8 * 3 + 64)
         rows = []
         for k in ks:
-            model = KMeans(k=k, seed=seed, featuresCol="pcs").fit(fit_input)
-            score = ClusteringEvaluator(featuresCol="pcs").evaluate(model.transform(eval_input))
+            model = KMeans(k=k, seed=seed, featuresCol="pcs").fit(train)
+            score = ClusteringEvaluator(featuresCol="pcs").evaluate(model.transform(test))
             rows.append((int(k), float(score)))
     finally:
         train.unpersist()
         test.unpersist()
+        if source is not None:
+            source.unpersist()
     return spark.createDataFrame(rows, "NumberCluster int, Silhouette double")
 
 
@@ -122,15 +139,18 @@ def cluster_sample(projected: DataFrame | None, k: int = 5, points: int = 5000,
                    id_col: str | None = None, key_cols=None, split=None) -> DataFrame:
     """K-means on the training part, the test part labelled, and at most
     floor(points / k) test rows per cluster (repeatable hash order)."""
-    train, test = split or hash_split(projected, key_cols=key_cols, seed=seed)
-    model = KMeans(k=k, seed=seed, featuresCol="pcs").fit(train)
+    train, test = _split_pcs(projected, key_cols, seed, split)
+    train = fit_layout(train, _pc_columns(train)).select("pcs").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = KMeans(k=k, seed=seed, featuresCol="pcs").fit(train)
+    finally:
+        train.unpersist()
     pred = model.transform(test)
-    order = hash_key(F.col(id_col), seed) if id_col else F.xxhash64(*[F.col(c) for c in pred.columns
-                                                                     if c.startswith("PC")])
+    order = hash_key(F.col(id_col), seed) if id_col else F.xxhash64(*[F.col(c) for c in _pc_columns(pred)])
     per_cluster = int(math.floor(points / k))
     sample = stratified_sample(pred, "prediction", per_cluster, order)
     return sample.select(
-        *([id_col] if id_col else []), *[c for c in pred.columns if c.startswith("PC")], "prediction",
+        *([id_col] if id_col else []), *_pc_columns(pred), "prediction",
         F.concat(F.lit("Cluster "), (F.col("prediction") + 1).cast("string")).alias("Cluster"))
 
 

@@ -3,7 +3,8 @@
 ``FlightReports`` holds the three sources and keeps the expensive shared
 pieces (fitted classifiers and their test predictions, the clustering
 feature table) after first use, as the dashboard's reactive store did.
-Every method returns a DataFrame; nothing is collected here.
+Every method returns a DataFrame. Relational reports run at most small size
+probes while they are built; the statistics and model reports fit when called.
 """
 
 from __future__ import annotations
@@ -16,10 +17,13 @@ from ontime.plans import classify, cluster, reports, stats
 
 class FlightReports:
     def __init__(self, spark: SparkSession, flights: DataFrame, carriers: DataFrame, airports: DataFrame,
-                 seed: int = 42, cluster_columns=None, fit_on_training: bool = False):
+                 seed: int = 42, cluster_columns=None, fit_on_training: bool = False, columns=None):
         self.spark, self.flights, self.carriers, self.airports = spark, flights, carriers, airports
         self.seed = seed
-        self.cluster_columns = list(cluster_columns or cluster.feature_columns(flights))
+        # ``columns``: the columns for R11 and R16-R19 (only those that hold features are clustered)
+        self.columns = list(columns) if columns else None
+        features = [c for c in cluster.feature_columns(flights) if not columns or c in columns]
+        self.cluster_columns = list(cluster_columns or features)
         # False: scaler and PCA see all rows before the split, as the dashboard did;
         # True: they are fitted on the training part only.
         self.fit_on_training = fit_on_training
@@ -61,7 +65,7 @@ class FlightReports:
 
     # statistics and ML ---------------------------------------------------------
     def correlation_matrix(self) -> DataFrame:
-        return stats.correlation_matrix(self.flights)
+        return stats.correlation_matrix(self.flights, self.columns)
 
     def _fitted(self):
         if self._classifiers is None:
@@ -69,11 +73,10 @@ class FlightReports:
         return self._classifiers
 
     def classifier_comparison(self) -> DataFrame:
-        return classify.classifier_comparison(self._fitted()[1])
+        return classify.classifier_comparison(*self._fitted())
 
     def classifier_roc(self) -> DataFrame:
-        models, _, test = self._fitted()
-        return classify.logistic_roc(models, test)
+        return classify.logistic_roc(*self._fitted())
 
     def feature_importance(self) -> DataFrame:
         return classify.feature_importance(self.spark, self._fitted()[0])
@@ -98,8 +101,7 @@ class FlightReports:
     def _train_test(self):
         """(training, testing) projections, fitted on the training part only."""
         if self._split is None:
-            coded = cluster.with_delay_code(self.flights).select("DelayCode", *self.cluster_columns) \
-                .na.drop("any", subset=self.cluster_columns)
+            coded = cluster.with_delay_code(self.flights).select("DelayCode", *self.cluster_columns)
             self._split = cluster.training_fitted_projection(coded, self.cluster_columns, seed=self.seed)
         return self._split
 
@@ -118,7 +120,7 @@ class FlightReports:
             self._cluster_table.unpersist()
             self._cluster_table = None
         if self._classifiers is not None:
-            self._classifiers[2].unpersist()
+            self._classifiers[1].unpersist()
         self._classifiers = None
         self._projection = None
         self._split = None

@@ -14,38 +14,42 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ontime.operators.ranking import running_total
+from ontime.session import cut_lineage
 
+# Metric names in report order.
 METRICS = ["f1", "weightedRecall", "weightedPrecision", "accuracy"]
 
 
 def confusion_metrics(pred: DataFrame, label_col: str = "label", pred_col: str = "prediction",
-                      digits: int = 10) -> DataFrame:
-    """(Metric, Performance) for f1, weightedRecall, weightedPrecision and accuracy,
+                      digits: int = 10, by=()) -> DataFrame:
+    """(*by, Metric, Performance) for f1, weightedRecall, weightedPrecision and accuracy,
     with the definitions of ``MulticlassClassificationEvaluator``:
-    per-class precision / recall / F1 weighted by the class's true count."""
-    cm = pred.groupBy(F.col(label_col).alias("l"), F.col(pred_col).alias("p")).agg(
+    per-class precision / recall / F1 weighted by the class's true count.
+    ``by`` gives one set of metrics per group (e.g. per model) in the same pass."""
+    by = list(by)
+    cm = pred.groupBy(*by, F.col(label_col).alias("l"), F.col(pred_col).alias("p")).agg(
         F.count(F.lit(1)).cast("double").alias("n"))
-    per_class = (cm.select(F.inline(F.array(
+    per_class = (cm.select(*by, F.inline(F.array(
         F.struct(F.col("l").alias("c"), F.col("n").alias("actual"), F.lit(0.0).alias("predicted"),
                  F.when(F.col("l") == F.col("p"), F.col("n")).otherwise(0.0).alias("tp")),
         F.struct(F.col("p").alias("c"), F.lit(0.0).alias("actual"), F.col("n").alias("predicted"),
                  F.lit(0.0).alias("tp")))))
-        .groupBy("c").agg(F.sum("actual").alias("actual"), F.sum("predicted").alias("predicted"),
+        .groupBy(*by, "c").agg(F.sum("actual").alias("actual"), F.sum("predicted").alias("predicted"),
                           F.sum("tp").alias("tp")))
     prec = F.when(F.col("predicted") == 0, 0.0).otherwise(F.col("tp") / F.col("predicted"))
     rec = F.when(F.col("actual") == 0, 0.0).otherwise(F.col("tp") / F.col("actual"))
-    scored = per_class.select("actual", "tp", prec.alias("prec"), rec.alias("rec"))
+    scored = per_class.select(*by, "actual", "tp", prec.alias("prec"), rec.alias("rec"))
     f1 = F.when(F.col("prec") + F.col("rec") == 0, 0.0) \
         .otherwise(2 * F.col("prec") * F.col("rec") / (F.col("prec") + F.col("rec")))
     total = F.sum("actual")
-    wide = scored.agg(
+    wide = scored.groupBy(*by).agg(
         (F.sum(f1 * F.col("actual")) / total).alias("f1"),
         (F.sum(F.col("rec") * F.col("actual")) / total).alias("weightedRecall"),
         (F.sum(F.col("prec") * F.col("actual")) / total).alias("weightedPrecision"),
         (F.sum("tp") / total).alias("accuracy"))
     rows = F.array(*[F.struct(F.lit(m).alias("Metric"), F.round(F.col(m), digits).alias("Performance"))
                      for m in METRICS])
-    return wide.select(F.inline(rows))
+    return wide.select(*by, F.inline(rows))
 
 
 def roc_points(scored: DataFrame, score_col: str = "score", label_col: str = "label",
@@ -54,8 +58,10 @@ def roc_points(scored: DataFrame, score_col: str = "score", label_col: str = "la
     plus (0, 0) first and (1, 1) last, as Spark's binary metrics emit.
 
     Scores are reduced to (positives, negatives) per distinct value, then a
-    bucketed running sum walks them from the highest score down.
+    bucketed running sum walks them from the highest score down. A row
+    without a score or a label is on no point of the curve.
     """
+    scored = scored.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
     per_score = scored.groupBy(F.col(score_col).alias("threshold")).agg(
         F.sum(F.when(F.col(label_col) == 1, 1).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col(label_col) == 1, 0).otherwise(1)).alias("neg"))
@@ -71,27 +77,19 @@ def roc_points(scored: DataFrame, score_col: str = "score", label_col: str = "la
     return curve.unionByName(ends)
 
 
-def model_roc_points(predictions: DataFrame, label_col: str = "label",
-                     probability_col: str = "probability") -> DataFrame:
-    """Exact ROC of any binary model's predictions: score = P(class 1)."""
-    scored = predictions.select(vector_to_array(F.col(probability_col))[1].alias("score"),
-                                F.col(label_col).alias("label"))
-    return roc_points(scored)
-
-
 def _as_double_array(col):
     return F.transform(col, lambda v: v.cast("double"))
 
 
-def silhouette_points(df: DataFrame, features_col: str, cluster_col: str,
-                      max_clusters: int = 10_000) -> DataFrame:
+def silhouette_points(df: DataFrame, features_col: str, cluster_col: str, centres_per_block: int = 256) -> DataFrame:
     """Per-point silhouette with squared Euclidean distance (ML20).
 
     For a point x and cluster C, sum over y in C of |x - y|^2 is
     |C| |x|^2 + sum |y|^2 - 2 x . sum y, so only per-cluster count, sum of
-    squared norms and vector sum are needed. Those k rows are computed once
-    (one pass, checked <= max_clusters) and travel to every task as one
-    scalar-subquery value; no pairs are formed.
+    squared norms and vector sum are needed; no pairs of points are formed.
+    Those k rows are packed into blocks of ``centres_per_block``; a point
+    meets every block once, and its own mean and its nearest other mean are
+    the smallest over the blocks, whatever k is.
     Own-cluster mean uses |C| - 1; a singleton cluster scores 0.
     """
     ftype = df.schema[features_col].dataType
@@ -101,29 +99,33 @@ def silhouette_points(df: DataFrame, features_col: str, cluster_col: str,
     pts = df.select(F.col(cluster_col).alias("c"), _as_double_array(feats).alias("x"))
     pts = pts.withColumn("nx", F.aggregate(F.transform("x", lambda v: v * v), F.lit(0.0),
                                            lambda a, v: a + v))
-    stats = (pts.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum("nx").alias("y"),
-                                  Summarizer.sum(array_to_vector("x")).alias("z"))
-             .select("c", "n", "y", vector_to_array("z").alias("z")))
-    summary = stats.take(max_clusters + 1)
-    if len(summary) > max_clusters:
-        raise ValueError(f"more than {max_clusters} clusters")
-    small = df.sparkSession.createDataFrame(summary, stats.schema)
-    table = F.col("__t")
-    pts = pts.withColumn("__t", small.agg(F.collect_list(F.struct("c", "n", "y", "z"))).scalar())
+    stats = cut_lineage(pts.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum("nx").alias("y"),
+                                             Summarizer.sum(array_to_vector("x")).alias("z"))
+                        .select("c", "n", "y", vector_to_array("z").alias("z")))
+    n_blocks = max(1, -(-stats.count() // centres_per_block))
+    blocks = (stats.groupBy(F.pmod(F.xxhash64("c"), F.lit(n_blocks)).alias("__block"))
+              .agg(F.collect_list(F.struct("c", "n", "y", "z")).alias("__t")))
 
     def mean_dist(s):
         dot = F.aggregate(F.zip_with(F.col("x"), s["z"], lambda p, q: p * q), F.lit(0.0),
                           lambda a, v: a + v)
         return s["n"] * F.col("nx") + s["y"] - 2 * dot
 
-    per = pts.withColumn("d", F.transform(table, lambda s: F.struct(
+    met = (pts.withColumn("__id", F.monotonically_increasing_id())
+           .withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint"))))
+           .join(blocks, "__block"))
+    per = met.withColumn("d", F.transform("__t", lambda s: F.struct(
         s["c"].alias("c"), s["n"].alias("n"), mean_dist(s).alias("sum"))))
-    own = F.filter("d", lambda e: e["c"] == F.col("c"))[0]
+    own = F.get(F.filter("d", lambda e: e["c"] == F.col("c")), 0)
     others = F.transform(F.filter("d", lambda e: e["c"] != F.col("c")),
                          lambda e: e["sum"] / e["n"])
-    a = own["sum"] / (own["n"] - 1)
-    b = F.array_min(others)
-    s = (F.when(own["n"] <= 1, F.lit(0.0))
+    per = per.select("__id", "c", own.alias("own"), F.array_min(others).alias("b"))
+    if n_blocks > 1:
+        per = per.groupBy("__id").agg(F.first("c").alias("c"), F.max("own").alias("own"), F.min("b").alias("b"))
+    size = F.col("own.n")
+    a = F.col("own.sum") / (size - 1)
+    b = F.col("b")
+    s = (F.when(size <= 1, F.lit(0.0))
          .when(a < b, 1 - a / b).when(a > b, b / a - 1).otherwise(F.lit(0.0)))
     return per.select("c", s.alias("silhouette"))
 

@@ -1,4 +1,4 @@
-"""Repeatable train/test split (ML1) shared by the ML plans."""
+"""Repeatable train/test split (ML1) and fit layout shared by the ML plans."""
 
 from __future__ import annotations
 
@@ -8,44 +8,52 @@ from pyspark.sql import functions as F
 from ontime.functions.keys import fraction_threshold, hash_key
 
 
-def split_label(id_col: str, fraction: float = 0.7, seed: int = 42) -> Column:
-    """'training' for ~fraction of ids (by md5 of id and seed), else 'testing'."""
-    return F.when(hash_key(F.col(id_col), seed) < F.lit(fraction_threshold(fraction)),
+def split_label(key_cols, fraction: float = 0.7, seed: int = 42) -> Column:
+    """'training' for ~fraction of keys (by md5 of key and seed), else 'testing'."""
+    key_cols = [key_cols] if isinstance(key_cols, str) else list(key_cols)
+    return F.when(hash_key([F.col(c) for c in key_cols], seed) < F.lit(fraction_threshold(fraction)),
                   F.lit("training")).otherwise(F.lit("testing"))
 
 
+def numbered_rows(df: DataFrame, name: str = "__copy") -> DataFrame:
+    """Every row with its occurrence number (from 1) among equal rows.
+
+    Equal rows are counted with a map-side step and written out again, so no
+    task gathers a frequent row's copies, and the numbers do not depend on
+    the layout.
+    """
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    return counted.withColumn(name, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n")))).drop("__n")
+
+
 def hash_split(df: DataFrame, key_cols=None, fraction: float = 0.7, seed: int = 42):
     """(training, testing), about ``fraction`` of the rows in training.
 
-    With ``key_cols`` (a unique key) each row goes by a hash of its key and
-    the seed: the split does not depend on partitioning and is the same in
-    any engine. Without a key, rows that repeat the same values must still
-    be split one by one, so ``randomSplit`` with the seed is used (as the
-    dashboard did); it sorts each partition first, so a recomputed
-    partition after an executor loss gets the same rows.
+    Each row goes by md5 of its key and the seed (:func:`split_label`), so the
+    split does not depend on partitioning and is the same in any engine.
+    Without a unique key, the whole row and its occurrence number are the key.
     """
-    if not key_cols:
-        train, test = df.randomSplit([fraction, 1.0 - fraction], seed)
-        return train, test
-    bucket = F.abs(F.xxhash64(*[F.col(c) for c in key_cols], F.lit(seed)) % 1_000_000)
-    cut = int(round(fraction * 1_000_000))
-    return df.where(bucket < cut), df.where(bucket >= cut)
+    keyed = df if key_cols else numbered_rows(df)
+    label = split_label(key_cols or keyed.columns, fraction, seed)
+    train, test = keyed.where(label == "training"), keyed.where(label == "testing")
+    return (train, test) if key_cols else (train.drop("__copy"), test.drop("__copy"))
+
+
+# Rows in one partition of a fit input; beyond 2,000 partitions they grow.
+ROWS_PER_PARTITION = 50_000
 
 
-# Target size of one partition of cached model input.
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+def fit_partitions(rows: int) -> int:
+    """Number of partitions of a fit input: a function of its size alone."""
+    return max(1, min(-(-rows // ROWS_PER_PARTITION), max(2_000, rows // 5_000_000)))
 
 
-def right_sized(cached: DataFrame, rows: int, bytes_per_row: int) -> DataFrame:
-    """Fewer, fuller partitions over an already cached input for iterative fits.
+def fit_layout(df: DataFrame, key_cols, partitions: int | None = None) -> DataFrame:
+    """Rows dealt by a hash of their values and sorted within each partition.
 
-    Every iteration of an ML fit runs one task per partition; a small input
-    spread thin pays that per-task cost many times. Merges partitions
-    (narrow ``coalesce`` over the cached blocks, no shuffle) down to
-    max(cores, size / 128 MB); a large input keeps its partitioning.
+    Bagging and random starts draw per partition and in row order, so a fit
+    on this layout gives the same model whatever the input's layout was.
     """
-    spark = cached.sparkSession
-    target = max(spark.sparkContext.defaultParallelism,
-                 -(-rows * bytes_per_row // TARGET_PARTITION_BYTES))
-    current = cached.rdd.getNumPartitions()
-    return cached.coalesce(target) if target < current else cached
+    key_cols = list(key_cols)
+    n = partitions or fit_partitions(df.count())
+    return df.repartition(n, *key_cols).sortWithinPartitions(*key_cols)

@@ -2,7 +2,8 @@
 
 Inputs: ``flights`` (fact), ``carriers`` (carrier, name), ``airports``
 (iata_code, name, longitude_deg, latitude_deg, timezone). Each report
-returns a lazy DataFrame; the caller decides when to collect.
+returns a DataFrame; nothing fact-sized is collected. Building one may run
+small jobs: the bounded size probe of a lookup table before a broadcast.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from ontime.functions.labels import (
 )
 from ontime.functions.timefns import add_minutes, hhmm_timestamp, local_to_utc
 from ontime.operators.aggregates import (
+    conditional_sums,
     distinct_tuple_count,
     frequency,
     percent_of_group,
@@ -120,13 +122,15 @@ def cancellation_causes(flights: DataFrame, carriers: DataFrame) -> DataFrame:
 def delay_cause_share(flights: DataFrame, carrier=None, min_delay: float = 15.0) -> DataFrame:
     """Per carrier, each cause's positive minutes as % of total ArrDelay
     over flights with ArrDelay >= min_delay. One pass for all five causes
-    (and all carriers unless ``carrier`` is given)."""
+    (and all carriers unless ``carrier`` is given). One carrier always has
+    five rows, with NULL shares if none of its flights is late."""
     late = flights.where(F.col("ArrDelay") >= min_delay)
-    if carrier is not None:
-        late = late.where(F.col(AIRLINE) == F.lit(carrier))
-    sums = late.groupBy(AIRLINE).agg(
-        F.sum("ArrDelay").alias("__total"),
-        *[F.sum(F.when(F.col(c) > 0, F.col(c))).alias(c) for c in CAUSE_COLUMNS])
+    total = {"ArrDelay": "__total"}
+    if carrier is None:
+        sums = conditional_sums(late, CAUSE_COLUMNS, group_cols=[AIRLINE], plain=total)
+    else:
+        code = F.lit(carrier).cast(flights.schema[AIRLINE].dataType)
+        sums = conditional_sums(late.where(F.col(AIRLINE) == code), CAUSE_COLUMNS, plain=total).withColumn(AIRLINE, code)
     shares = sums.select(AIRLINE, *[share_of(F.col(c), F.col("__total")).alias(c) for c in CAUSE_COLUMNS])
     return unpivot(shares, [AIRLINE], CAUSE_COLUMNS, CAUSE_NAMES, "group", "value")
 
@@ -187,20 +191,19 @@ def airport_counts(flights: DataFrame, coalesce_missing: bool = False) -> DataFr
 
 def busiest_airports(flights: DataFrame, airports: DataFrame, k: int = 25,
                      scale: float = 10000.0, coalesce_missing: bool = False) -> DataFrame:
-    """Departures (n_x), arrivals (n_y) and (n_x + n_y) / scale per
-    airport, top k by that total with ties, plus the airport's columns.
+    """Departures (n_x), arrivals (n_y), their sum (nSum) and nSum / scale
+    per airport, top k by that total with ties, plus the airport's columns.
     A NULL total (airport on one side only) is never ranked."""
     counts = airport_counts(flights, coalesce_missing)
-    counts = counts.withColumn("nTotal", (F.col("n_x") + F.col("n_y")) / F.lit(float(scale)))
+    counts = counts.withColumn("nSum", F.col("n_x") + F.col("n_y"))
+    counts = counts.withColumn("nTotal", F.col("nSum") / F.lit(float(scale)))
     top = top_k_with_ties(counts, "nTotal", k)
     return lookup(top, airports, "Origin", "iata_code")
 
 
 def event_traffic_windows(events: DataFrame, days: int = 12) -> DataFrame:
-    """R3 on an event stream: clicks are departures and views are arrivals at
-    the user's 'airport'; counts per tumbling window (T4, T5). The event-type
-    filter reaches the Parquet scan."""
-    kind = F.when(F.col("event_type") == "click", F.lit("Departures")).otherwise(F.lit("Arrivals"))
-    legs = (events.where(F.col("event_type").isin("click", "view"))
-            .select(F.col("user_id").alias("Airport"), "ts", kind.alias("Type")))
+    """R3 on an event stream: clicks and sign-ups are departures, all other
+    events arrivals at the user's 'airport'; counts per tumbling window (T4, T5)."""
+    kind = F.when(F.col("event_type").isin("click", "signup"), F.lit("Departures")).otherwise(F.lit("Arrivals"))
+    legs = events.select(F.col("user_id").alias("Airport"), "ts", kind.alias("Type"))
     return tumbling_count(legs, "ts", days, group_cols=["Airport", "Type"])

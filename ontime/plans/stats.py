@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
@@ -12,6 +13,20 @@ from pyspark.sql import functions as F
 from ontime.functions.columns import non_string_columns
 
 
+def complete_rows(df: DataFrame, cols) -> DataFrame:
+    """Listwise deletion over ``cols`` (N1); an error that names the NULL count of
+    each column if no row is left, instead of a fit that fails without a reason."""
+    cols = list(cols)
+    kept = df.na.drop("any", subset=cols)
+    if kept.isEmpty():
+        n = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+        if n["rows"]:
+            nulls = ", ".join(f"{c}: {n[c]}" for c in cols if n[c])
+            raise ValueError(f"no row of {n['rows']} is complete; NULLs by column: {nulls}. Name the columns to use.")
+        raise ValueError("the table has no rows")
+    return kept
+
+
 def correlation_pairs(df: DataFrame, cols=None, digits: int = 6) -> DataFrame:
     """Pearson r for every pair below the diagonal, as rows (x, y, r).
 
@@ -21,9 +36,13 @@ def correlation_pairs(df: DataFrame, cols=None, digits: int = 6) -> DataFrame:
     column gives NULL r.
     """
     cols = list(cols or non_string_columns(df))
-    clean = df.select(*[F.col(c).cast("double") for c in cols]).na.drop("any")
+    clean = complete_rows(df.select(*[F.col(c).cast("double") for c in cols]), cols)
     vectors = VectorAssembler(inputCols=cols, outputCol="__v").transform(clean).select("__v")
-    matrix = Correlation.corr(vectors, "__v").first()[0].toArray()
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)  # the fit reads it twice
+    try:
+        matrix = Correlation.corr(vectors, "__v").first()[0].toArray()
+    finally:
+        vectors.unpersist()
     rows = []
     for i in range(len(cols)):
         for j in range(i):
@@ -32,9 +51,10 @@ def correlation_pairs(df: DataFrame, cols=None, digits: int = 6) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "x string, y string, r double")
 
 
-def correlation_matrix(flights: DataFrame) -> DataFrame:
-    """Every non-string column of the fact table."""
-    return correlation_pairs(flights, non_string_columns(flights))
+def correlation_matrix(flights: DataFrame, columns=None) -> DataFrame:
+    """Every non-string column of the fact table, or ``columns`` (needed where
+    some columns are mostly NULL, since rows must be complete)."""
+    return correlation_pairs(flights, columns or non_string_columns(flights))
 
 
 def min_max_scale(df: DataFrame, cols, out_cols=None, lo: float = 0.0, hi: float = 1.0,

@@ -6,8 +6,9 @@ S2-S6: scan, name as a view, cache the fact table, leave dimensions lazy.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ontime.sources.schemas import (
     AIRPORT_COLUMN_TYPES,
@@ -23,15 +24,44 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "conversations")
 
 
+def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
+    """A headed CSV with every column as text, in header order."""
+    header = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    return spark.read.options(**CSV_OPTIONS).schema(schema_for_header(header, {})).csv(path)
+
+
+def _typed(name: str, dtype: T.DataType) -> Column:
+    """Text to its documented type; whole numbers may be written with decimals ('1530.00')."""
+    if isinstance(dtype, T.StringType):
+        return F.col(name)
+    if isinstance(dtype, T.IntegerType):
+        number = F.col(name).try_cast("double")
+        return F.when(number == F.floor(number), number.try_cast("int"))
+    return F.col(name).try_cast(dtype)
+
+
+def typed_columns(text: DataFrame, known_types: dict) -> DataFrame:
+    """Known columns of a text table in their types; others stay text."""
+    return text.select(*[_typed(c, known_types[c]).alias(c) if c in known_types else F.col(c) for c in text.columns])
+
+
+def unreadable_counts(text: DataFrame, known_types: dict) -> DataFrame:
+    """(column, n): non-empty values of a text table that do not fit their type and read as NULL."""
+    known = [c for c in text.columns if c in known_types and not isinstance(known_types[c], T.StringType)]
+    if not known:
+        return text.sparkSession.createDataFrame([], "column string, n bigint")
+    lost = text.agg(*[F.count_if((F.trim(F.col(c)) != "") & _typed(c, known_types[c]).isNull()).alias(c) for c in known])
+    return lost.unpivot([], known, "column", "n")
+
+
 def read_csv_typed(spark: SparkSession, path: str, known_types: dict) -> DataFrame:
     """Read a headed CSV with explicit types.
 
     Only the header line is read to learn the column order (no inference
-    pass over the data); known columns get their documented type.
+    pass over the data); known columns get their documented type. A value
+    that does not fit its type is NULL; :func:`unreadable_counts` counts them.
     """
-    header = spark.read.options(**CSV_OPTIONS).csv(path).columns
-    schema = schema_for_header(header, known_types)
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    return typed_columns(read_csv_text(spark, path), known_types)
 
 
 def read_flights_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -15,18 +15,25 @@ from pyspark.sql.streaming import StreamingQuery
 from ontime.functions.timefns import utc_instant, utc_wall_clock
 from ontime.plans.reports import traffic_legs
 from ontime.session import checkpoint_dir
-from ontime.sources.schemas import FLIGHTS_SCHEMA
+from ontime.sources.readers import CSV_OPTIONS, typed_columns, with_flight_date
+from ontime.sources.schemas import FLIGHTS_SCHEMA, schema_for_header
 
 
 def read_flight_stream(spark: SparkSession, path: str, fmt: str = "parquet", schema=FLIGHTS_SCHEMA,
                        max_files_per_trigger: int | None = None) -> DataFrame:
-    """Flight files landing in ``path`` as a stream (explicit schema, no inference)."""
-    reader = spark.readStream.format(fmt).schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", "true")
+    """Flight files landing in ``path`` as a stream (explicit schema, no inference).
+
+    CSV files are read by header name: the column order is that of the files
+    already there, and a file with another header is an error.
+    """
+    reader = spark.readStream.format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path)
+    if fmt != "csv":
+        return reader.schema(schema).load(path)
+    header = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    text = reader.options(**CSV_OPTIONS).option("enforceSchema", "false").schema(schema_for_header(header, {})).load(path)
+    return with_flight_date(typed_columns(text, {f.name: f.dataType for f in schema.fields}))
 
 
 def streaming_traffic_windows(flights: DataFrame, airports: DataFrame, days: int = 12,
@@ -46,13 +53,17 @@ def streaming_traffic_windows(flights: DataFrame, airports: DataFrame, days: int
 
 def start_traffic_stream(counts: DataFrame, query_name: str, sink_path: str | None = None,
                          output_mode: str = "append", available_now: bool = False,
-                         checkpoint_location: str | None = None) -> StreamingQuery:
-    """Run the windowed counts into Parquet (append: finished windows only)
-    or, without ``sink_path``, into an in-memory table named ``query_name``.
+                         checkpoint_location: str | None = None, memory_table: bool = False) -> StreamingQuery:
+    """Run the windowed counts into Parquet (append: finished windows only).
+
+    ``memory_table`` collects them in a driver table named ``query_name``
+    instead; that is for tests, since it grows with every window.
 
     Progress and window state live under the shared checkpoint folder, so a
     restarted query resumes where it stopped.
     """
+    if not sink_path and not memory_table:
+        raise ValueError("name a sink_path, or ask for a memory_table")
     spark = counts.sparkSession
     location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/streams/{query_name}"
     writer = counts.writeStream.queryName(query_name).outputMode(output_mode) \

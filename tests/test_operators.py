@@ -41,11 +41,11 @@ def test_top_k_all_ties(spark):
 def test_running_total_equals_window(spark):
     rnd = random.Random(3)
     df = spark.createDataFrame([(rnd.randint(0, 500), rnd.randint(1, 9)) for _ in range(2000)], "k int, v int")
-    got = {r.k: r.v_cum for r in running_total(df, "k", ["v"], buckets=8).collect()}
+    got = {r.k: r.v_cum for r in running_total(df, "k", ["v"], keys_per_bucket=60).collect()}
     per = df.groupBy("k").agg(F.sum("v").alias("v"))
     want = {r.k: r.c for r in per.select("k", F.sum("v").over(Window.orderBy("k")).alias("c")).collect()}
     assert got == want
-    down = {r.k: r.v_cum for r in running_total(df, "k", ["v"], buckets=8, descending=True).collect()}
+    down = {r.k: r.v_cum for r in running_total(df, "k", ["v"], keys_per_bucket=60, descending=True).collect()}
     want_down = {r.k: r.c for r in per.select("k", F.sum("v").over(Window.orderBy(F.desc("k"))).alias("c")).collect()}
     assert down == want_down
 
@@ -157,7 +157,7 @@ def test_running_total_over_a_dst_gap(spark):
         keys = [dt.datetime(2024, 3, 10, 1, 30), dt.datetime(2024, 3, 10, 2, 30), dt.datetime(2024, 3, 10, 3, 0),
                 dt.datetime(2024, 3, 10, 3, 15)]
         df = spark.createDataFrame([(k, 1) for k in keys], "k timestamp_ntz, v int")
-        got = sorted((r.k, r.v_cum) for r in running_total(df, "k", ["v"], buckets=4).collect())
+        got = sorted((r.k, r.v_cum) for r in running_total(df, "k", ["v"], keys_per_bucket=1).collect())
         assert [c for _, c in got] == [1, 2, 3, 4]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)

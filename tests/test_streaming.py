@@ -36,7 +36,8 @@ def _stream_equals_batch(spark, query_name):
         df.write.mode("overwrite").parquet(os.path.join(src, f"batch={i}"))
     stream = read_flight_stream(spark, os.path.join(src, "*"))
     counts = streaming_traffic_windows(stream, airports, days=12)
-    q = start_traffic_stream(counts, query_name, output_mode="update", available_now=True)
+    q = start_traffic_stream(counts, query_name, output_mode="update", available_now=True,
+                             memory_table=True)
     q.awaitTermination(120)
     got = {(r.Airport, r.Type, r.window_start, r.n)
            for r in spark.table(query_name).collect()}
