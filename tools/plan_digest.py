@@ -16,7 +16,7 @@ import sys
 
 sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
 
-from __spark_entry__ import queries  # noqa: E402
+from ontime.plans.catalog import QUERIES  # noqa: E402
 from ontime.session import session_builder  # noqa: E402
 
 
@@ -58,9 +58,11 @@ def digest(text: str) -> dict:
         "broadcasts": len(re.findall(r"BroadcastExchange", tree)),
         "windows": len(re.findall(r"\bWindow \(\d+\)", tree)),
         "group_limits": len(re.findall(r"WindowGroupLimit", tree)),
-        "cached_fact": "yes" if "InMemoryTableScan" in tree else "no",
+        "scans": len(re.findall(r"\bScan parquet", tree)),
+        "columns": sum(s.count(":") for s in re.findall(r"ReadSchema: struct<([^>]*)>", text)),
+        "filters": len(re.findall(r"PushedFilters: \[[^\]]*(?!IsNotNull)(?:EqualTo|In|GreaterThan|LessThan)", text)),
         "subqueries": subq,
-        "python": "yes" if re.search(r"EvalPython|PythonUDF|MapInPandas|FlatMapGroupsInPandas", text) else "no",
+        "python": "yes" if re.search(r"EvalPython|PythonUDF|MapInPandas|MapInArrow|FlatMapGroupsInPandas", text) else "no",
     }
 
 
@@ -71,15 +73,15 @@ def main() -> None:
     print("# Physical plans of the registered queries\n")
     print(f"Generated by `tools/plan_digest.py` on `{sf_dir}` (local[8]). Counts are for the query's own")
     print("plan; model fitting (classifiers, PCA, k-means) runs as separate Spark ML jobs before it.")
-    print("Shuffles and broadcasts inside the cached fact view (built once per session) are not counted;")
-    print("`fact` says whether the query reads that cached view.\n")
-    print("| query | fact | shuffles | broadcasts | windows | group limits | scalar subqueries | Python |")
-    print("|---|---|---|---|---|---|---|---|")
-    for name, fn in queries().items():
+    print("The fact view is lazy, so its joins are counted in every query that reads it. `columns` is the number")
+    print("of columns in the ReadSchema of all scans, `value filters` the scans with a pushed filter on a value.\n")
+    print("| query | scans | columns | value filters | shuffles | broadcasts | windows | group limits | scalar subqueries | Python |")
+    print("|---|---|---|---|---|---|---|---|---|---|")
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         d = digest(plan_text(df))
-        print(f"| {name} | {d['cached_fact']} | {d['shuffles']} | {d['broadcasts']} | {d['windows']} | "
+        print(f"| {name} | {d['scans']} | {d['columns']} | {d['filters']} | {d['shuffles']} | {d['broadcasts']} | {d['windows']} | "
               f"{d['group_limits']} | {d['subqueries']} | {d['python']} |")
 
 
