@@ -17,7 +17,7 @@ from ontime.operators import (
     top_k_with_ties,
     tumbling_count,
 )
-from ontime.operators.sizing import bounded_broadcast, row_count_at_most
+from ontime.operators.sizing import bounded_broadcast, fits, row_count_at_most
 from ontime.plans.evaluate import confusion_metrics, roc_points, silhouette
 from ontime.plans.ml_common import hash_split
 from ontime.plans.stats import correlation_pairs, min_max_scale
@@ -144,6 +144,9 @@ def test_tumbling_count_alignment(spark):
 def test_bounded_broadcast_checks_size(spark):
     small = spark.range(10)
     assert row_count_at_most(small, 10) and not row_count_at_most(small, 9)
+    wide = small.select("id", F.repeat(F.lit("x"), 1000).alias("text"))
+    assert fits(wide, 10, 20_000) and not fits(wide, 10, 5_000) and not fits(wide, 9)
+    assert not fits(small.select(F.lit(None).alias("a b")), 10, 79) and fits(small.select(F.lit(None).alias("a b")), 10, 80)
     plan_df = spark.range(100).join(bounded_broadcast(small, 5), "id")
     assert plan_df.count() == 10
 
