@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime.llm import packing, quality_gam, quality_rules, simhash, substring
-from ontime.llm.common import ship_package
+from ontime.llm.common import prepare
 from ontime.session import checkpoint_dir
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
@@ -34,13 +34,13 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays."""
-    ship_package(spark)
+    prepare(spark)
     return simhash.near_dedup(docs, shingle=3, max_distance=3)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of repeated 35-word windows go; a text that loses none stays as it is."""
-    ship_package(spark)
+    prepare(spark)
     cut = substring.remove_duplicate_spans(docs, width=35)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     return (cut.withColumn("text", text).select(*docs.columns)
@@ -49,7 +49,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Power-of-two pieces of the texts that are left, one sequence each."""
-    ship_package(spark)
+    prepare(spark)
     return packing.pack_documents(docs)
 
 

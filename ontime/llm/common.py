@@ -18,8 +18,16 @@ WORD_SQL = r"[^\x20\x09-\x0D]+"  # the words of every contract; bytes.split() sp
 _shipped: set[str] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors (once per application), as ``--py-files`` would."""
+# Texts are long, so the Arrow batches of a task are bounded by bytes, well below Spark's default.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m")
+
+
+def prepare(spark: SparkSession) -> None:
+    """Send this package to the executors (once per application, as ``--py-files`` would)
+    and bound Arrow batches, unless the session already sets another bound."""
+    name, default, ours = BATCH_BYTES
+    if spark.conf.get(name) == default:
+        spark.conf.set(name, ours)
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         root = os.path.dirname(os.path.dirname(os.path.abspath(ontime.__file__)))

@@ -18,7 +18,7 @@ from ontime.llm import (
     url_filters,
     warc,
 )
-from ontime.llm.common import held_out, ship_package
+from ontime.llm.common import held_out, prepare
 from ontime.llm.url_filters import HostRule, PatternRule
 
 HOST_RULES = [HostRule("allow", "com/"), HostRule("block", "example.com/en/"), HostRule("allow", "www.example.com/en/"),
@@ -27,7 +27,7 @@ SPAM_PATTERNS = [PatternRule(p) for p in ("*casino-win.*", "*free-bets.*", "*ads
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

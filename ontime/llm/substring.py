@@ -38,7 +38,7 @@ from ontime.llm.common import row_key, row_with, utf8, windows_of, with_row
 from ontime.session import cut_lineage
 
 SEED = 8
-_SLICE_WORDS = 1 << 20
+_SLICE_WORDS = 1 << 18
 _P = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 _P_INV = pow(_P, -1, 1 << 64)
 

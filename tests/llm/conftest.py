@@ -1,6 +1,6 @@
 import pytest
 
-from ontime.llm.common import ship_package
+from ontime.llm.common import prepare
 
 LONG = " ".join(f"w{i % 977}x{i}" for i in range(30_000))
 TEXTS = [
@@ -22,7 +22,7 @@ SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigin
 
 @pytest.fixture(scope="session", autouse=True)
 def shipped(spark):
-    ship_package(spark)
+    prepare(spark)
 
 
 @pytest.fixture(scope="session")
