@@ -27,25 +27,28 @@ from pyspark.sql import functions as F
 END_ID = 1
 _RUN_OF_SPACE = re.compile(r"\s\s")
 _LOOKAHEAD = r"|\s+(?!\S)"
-_encoders: dict[str, tuple] = {}
+_encoders: dict[tuple[str, bool], tiktoken.Encoding] = {}
+
+
+def _encoding(ranks_path: str, lookahead: bool) -> tiktoken.Encoding:
+    """The encoding of a rank file, loaded once per worker and only if a text needs it."""
+    key = (ranks_path, lookahead)
+    if key not in _encoders:
+        with open(ranks_path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        pattern = public_tokenizers.PATTERN if lookahead else public_tokenizers.PATTERN.replace(_LOOKAHEAD, "")
+        _encoders[key] = tiktoken.Encoding(f"ranks-{lookahead}", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return _encoders[key]
 
 
 def encoder(ranks_path: str):
-    """text -> ids for a byte-level BPE rank file; loaded once per worker.
+    """text -> ids for a byte-level BPE rank file.
 
     The look-ahead of the splitting pattern matters only for runs of two or
     more white-space characters; other texts take the pattern without it,
     which is several times faster and splits them alike.
     """
-    if ranks_path not in _encoders:
-        with open(ranks_path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        full = public_tokenizers.PATTERN
-        make = lambda name, pattern: tiktoken.Encoding(
-            name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        _encoders[ranks_path] = make("full", full), make("plain", full.replace(_LOOKAHEAD, ""))
-    exact, plain = _encoders[ranks_path]
-    return lambda text: (exact if _RUN_OF_SPACE.search(text) else plain)(text)
+    return lambda text: _encoding(ranks_path, bool(_RUN_OF_SPACE.search(text))).encode_ordinary(text)
 
 
 def piece_lengths(n: int, max_length: int) -> list[int]:
