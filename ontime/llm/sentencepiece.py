@@ -37,7 +37,7 @@ MARK = "\u2581"  # stands for a space
 _NORMAL, _UNKNOWN, _USER_DEFINED, _BYTE = 1, 2, 4, 6
 _UNIGRAM, _BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
-_TABLE_LIMIT, _PAIR_LIMIT, _PAIR_BITS, _SHORT = 400_000, 1_000_000, 20, 64
+_TABLE_LIMIT, _PAIR_LIMIT, _PAIR_BITS, _SHORT = 400_000, 1_000_000, 22, 64
 _BATCH_CHARS = 1 << 20
 _STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _models: dict[str, "PieceModel"] = {}
@@ -111,6 +111,8 @@ class PieceModel:
                     else spec.unk_surface.encode() if p.type == _UNKNOWN else b"" for p in proto.pieces]
         self.floor = min((self.score[i] for i in self.ids.values()), default=0.0) - UNKNOWN_PENALTY
         self.breaks_at_mark = not any(MARK in t.lstrip(MARK) for t in self.ids)
+        self.starts = dict.fromkeys((t[:k] for t in self.ids for k in range(1, len(t))), -1) | self.ids
+        self.characters = frozenset(t for t in self.ids if len(t) == 1)
         self.lookup = _PieceTable(self.ids)
         self.pair_key = np.full(1 << _PAIR_BITS, np.iinfo(np.uint64).max)
         self.pair_open = np.zeros(1 << _PAIR_BITS, bool)
@@ -146,13 +148,36 @@ class PieceModel:
 
     def pieces(self, chars):
         """Yield (piece id, or -1 and an unknown character) of an iterable of characters, as they are committed."""
-        # position k of the buffer is the boundary after its k characters; path[k] = (start, id, score)
-        text, path, longest, since = "", [(0, None, 0.0)], self.longest, 0
+        # path[k] = (start, id, score) of the best way to the boundary after k characters of the buffer;
+        # open_at: starts from which the buffer's end is still inside some piece
+        text, path, longest, since, get = "", [(0, None, 0.0)], self.longest, 0, self.starts.get
+        open_at: list[int] = []
         for c in chars:
             text += c
-            path.append(self._best(text, path))
+            n = len(text)
+            open_at.append(n - 1)
+            best, still = None, []
+            for start in open_at:
+                i = get(text[start:])
+                if i is None:
+                    continue
+                still.append(start)
+                if i >= 0:
+                    before = path[start]
+                    if not self.bpe:
+                        total = before[2] + self.score[i]
+                        if best is None or total > best[2]:
+                            best = (start, i, total)
+                    elif best is None and (before[1] is None or before[1] < 0 or self.may_follow(before[1], i)):
+                        best = (start, i, 0.0)
+            if best is None or (not self.bpe and c not in self.ids):
+                unknown = (n - 1, -1, path[n - 1][2] + self.floor)
+                if best is None or unknown[2] > best[2]:
+                    best = unknown
+            path.append(best)
+            open_at = still
             since += 1
-            if since >= longest and len(path) > longest:
+            if since >= longest and n >= longest:
                 cut = self._meeting(path, longest)
                 since = 0
                 if cut:
@@ -161,31 +186,9 @@ class PieceModel:
                     head = (0, path[cut][1], path[cut][2])
                     path = [head] + [(start - cut, i, s) for start, i, s in path[cut + 1:]]
                     text = text[cut:]
+                    open_at = [start - cut for start in open_at if start >= cut]
         yield from self._trace(text, path, len(text))
 
-    def _best(self, text: str, path) -> tuple[int, int, float]:
-        n = len(text)
-        best = None
-        for start in range(max(0, n - self.longest), n):
-            i = self.ids.get(text[start:])
-            if i is None:
-                continue
-            before = path[start]
-            if before is None:
-                continue
-            if self.bpe:
-                if before[1] is None or before[1] < 0 or self.may_follow(before[1], i):
-                    return start, i, 0.0
-            else:
-                total = before[2] + self.score[i]
-                if best is None or total > best[2]:
-                    best = (start, i, total)
-        if self.bpe or text[-1] not in self.ids:
-            unknown = (n - 1, -1, path[n - 1][2] + self.floor)
-            if best is None or unknown[2] > best[2]:
-                best = unknown
-        return best
-
     @staticmethod
     def _meeting(path, longest: int) -> int:
         """The last boundary that the paths of all positions of the window share."""
@@ -303,7 +306,7 @@ class PieceModel:
         if len(table) > _TABLE_LIMIT:
             table.clear()
         new = {p for part in parts for p in part if p not in table}
-        plain = [p for p in new if self.bpe and len(p) <= _SHORT and self.only_known(p)]
+        plain = [p for p in new if self.bpe and len(p) <= _SHORT and self.characters.issuperset(p)]
         solved = dict(zip(plain, self._solve(plain))) if plain else {}
         solved.update((p, self._encode_stretch(p)) for p in new if p not in solved)
         table.update((p, ids) for p, ids in solved.items() if len(p) <= _SHORT)
@@ -311,9 +314,6 @@ class PieceModel:
             len(p) > _SHORT for p in solved) else table.__getitem__
         return [b"".join(map(get, part)) for part in parts]
 
-    def only_known(self, text: str) -> bool:
-        return all(c in self.ids for c in text)
-
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
 
