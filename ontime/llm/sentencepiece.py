@@ -26,6 +26,7 @@ empty tables give empty results.
 from __future__ import annotations
 
 import re
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,9 @@ MARK = "\u2581"  # stands for a space
 _NORMAL, _UNKNOWN, _USER_DEFINED, _BYTE = 1, 2, 4, 6
 _UNIGRAM, _BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
-_TABLE_LIMIT, _PAIR_LIMIT, _PAIR_BITS, _SHORT = 400_000, 1_000_000, 22, 64
-_BATCH_CHARS = 1 << 20
+_TABLE_LIMIT, _PAIR_LIMIT, _PAIR_BITS, _SHORT = 1_000_000, 1_000_000, 20, 192
+_KEEP = 32  # longest stretch in the table
+_BATCH_CHARS = 1 << 21
 _STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _models: dict[str, "PieceModel"] = {}
 
@@ -57,20 +59,19 @@ class _PieceTable:
         self.back = np.multiply.accumulate(np.append(np.uint64(1), np.full(_SHORT, pow(base, -1, 1 << 64), np.uint64)))
         self.shifts = (np.uint64(64 - bits), np.uint64(20))
         self.mask = np.uint64((1 << bits) - 1)
-        self.keys, self.places = [], []
+        self.keys, self.places = np.zeros(max(ids.values(), default=0) + 1, np.uint64), []
         value = {i: sum((ord(c) + 1) * int(self.power[k]) for k, c in enumerate(t)) % (1 << 64)
                  for t, i in ids.items() if len(t) <= _SHORT}
         for shift in self.shifts:
-            keys, places, rest = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1), {}
+            places, rest = np.full(1 << bits, -1, np.int32), {}
             if value:
                 mixed = _spread(np.array(list(value.values()), np.uint64))
                 slots = ((mixed >> shift) & self.mask).astype(np.int64)
                 for (i, v), slot in zip(value.items(), slots.tolist()):
                     if places[slot] < 0:
-                        keys[slot], places[slot] = v, i
+                        self.keys[i], places[slot] = v, i
                     else:
                         rest[i] = v
-            self.keys.append(keys)
             self.places.append(places)
             value = rest
         if value:
@@ -80,9 +81,9 @@ class _PieceTable:
         """Piece ids of hashes, -1 where there is none."""
         mixed = _spread(value)
         out = np.full(len(value), -1)
-        for shift, keys, places in zip(self.shifts, self.keys, self.places):
-            slot = ((mixed >> shift) & self.mask).astype(np.int64)
-            out = np.where((keys[slot] == value) & (places[slot] >= 0), places[slot], out)
+        for shift, places in zip(self.shifts, self.places):
+            place = places[((mixed >> shift) & self.mask).astype(np.int64)]
+            out = np.where((place >= 0) & (self.keys[place] == value), place, out)
         return out
 
 
@@ -215,7 +216,7 @@ class PieceModel:
         size = np.fromiter(map(len, stretches), np.int64, len(stretches))
         out: list[bytes] = [b""] * len(stretches)
         order, lo = np.argsort(size, kind="stable"), 0
-        for width in (6, 9, 12, 16, 24, _SHORT):
+        for width in (6, 9, 12, 16, 24, 40, 64, _SHORT):
             hi = int(np.searchsorted(size[order], width, "right"))
             if hi > lo:
                 lanes = order[lo:hi]
@@ -276,6 +277,10 @@ class PieceModel:
 
     # ---- whole texts ----
 
+    def _unknown(self, run: str) -> bytes:
+        ids = [self.byte_ids[b] for b in run.encode("utf-8", "replace")] if self.byte_ids else [self.unknown]
+        return np.array(ids, np.uint32).tobytes()
+
     def _encode_stretch(self, text: str) -> bytes:
         out, was_unknown = [], False
         for i, piece in self.pieces(text):
@@ -305,14 +310,27 @@ class PieceModel:
         parts, table = [self._stretches_of(t) for t in texts], self.stretches
         if len(table) > _TABLE_LIMIT:
             table.clear()
-        new = {p for part in parts for p in part if p not in table}
-        plain = [p for p in new if self.bpe and len(p) <= _SHORT and self.characters.issuperset(p)]
-        solved = dict(zip(plain, self._solve(plain))) if plain else {}
-        solved.update((p, self._encode_stretch(p)) for p in new if p not in solved)
-        table.update((p, ids) for p, ids in solved.items() if len(p) <= _SHORT)
-        get = (table | {p: ids for p, ids in solved.items() if len(p) > _SHORT}).__getitem__ if any(
-            len(p) > _SHORT for p in solved) else table.__getitem__
-        return [b"".join(map(get, part)) for part in parts]
+        new = set().union(*parts).difference(table)
+        solved, runs, mixed = {}, set(), {}
+        for p in new:
+            if not self.bpe or len(p) > _SHORT:
+                solved[p] = self._encode_stretch(p)
+            elif self.characters.issuperset(p):
+                runs.add(p)
+            else:  # no piece holds an unknown character, so all paths meet on both sides of it
+                mixed[p] = [(known, "".join(run)) for known, run in groupby(p, self.characters.__contains__)]
+                runs.update(run for known, run in mixed[p] if known)
+        plain = list(runs)
+        ids_of = dict(zip(plain, self._solve(plain))) if plain else {}
+        solved.update((p, b"".join(ids_of[run] if known else self._unknown(run) for known, run in parts))
+                      for p, parts in mixed.items())
+        solved.update((p, ids_of[p]) for p in new if p not in solved)
+        table.update(solved)
+        out = [b"".join(map(table.__getitem__, part)) for part in parts]
+        for p in new:  # long stretches hardly repeat
+            if len(p) > _KEEP:
+                del table[p]
+        return out
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
