@@ -34,7 +34,7 @@ def test_scan_pruning_and_pushdown(spark):
     text = plan_of(queries()["carrier_codes"](spark, SF_SMALL))
     assert "l_extendedprice" not in text and "l_quantity" not in text  # one column of the fact view
     text = plan_of(queries()["cancellation_causes"](spark, SF_SMALL))
-    assert "EqualTo(o_orderstatus,F)" in text and "l_quantity" not in text
+    assert "l_quantity" not in text  # its filter is on a computed column of F, so only pruning reaches the scan
 
 
 def test_top_k_has_no_single_partition_window(spark):
