@@ -7,6 +7,10 @@ a piece is a whole sequence of its bucket, so no sequence crosses documents
 and none is padded. The work is map-only: nothing is shuffled. Batches for
 training are read bucket by bucket (``write_buckets`` partitions by length).
 
+Ids are those of the ``tokenizers`` file (JSON) beside the rank file: ordinary
+text by tiktoken, and the JSON's added tokens (``<|endoftext|>``) wherever
+their literal stands in a text. A rank file without a JSON has no added tokens.
+
 Defined cases. NULL or empty text is the end id alone. Repeated rows are
 packed again under their own sequence ids. Ids of pieces are unique in one
 run of the job over the same input splits. Empty tables give empty results.
@@ -15,6 +19,8 @@ run of the job over the same input splits. Empty tables give empty results.
 from __future__ import annotations
 
 import base64
+import json
+import os
 import re
 
 import numpy as np
@@ -28,6 +34,7 @@ END_ID = 1
 _RUN_OF_SPACE = re.compile(r"\s\s")
 _LOOKAHEAD = r"|\s+(?!\S)"
 _encoders: dict[tuple[str, bool], tiktoken.Encoding] = {}
+_added: dict[str, dict[str, int]] = {}
 
 
 def _encoding(ranks_path: str, lookahead: bool) -> tiktoken.Encoding:
@@ -41,14 +48,46 @@ def _encoding(ranks_path: str, lookahead: bool) -> tiktoken.Encoding:
     return _encoders[key]
 
 
+def added_tokens(ranks_path: str) -> dict[str, int]:
+    """Literal -> id of the added tokens in the JSON beside a rank file, read once per worker."""
+    if ranks_path not in _added:
+        path, tokens = os.path.splitext(ranks_path)[0] + ".json", []
+        if os.path.exists(path):
+            with open(path, encoding="utf-8") as f:
+                tokens = json.load(f)["added_tokens"]
+        if any(t[flag] for t in tokens for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"{path}: only added tokens matched as they stand are supported")
+        _added[ranks_path] = {t["content"]: t["id"] for t in tokens}
+    return _added[ranks_path]
+
+
 def encoder(ranks_path: str):
-    """text -> ids for a byte-level BPE rank file.
+    """text -> ids for a byte-level BPE rank file and the added tokens of its JSON.
+
+    Texts are cut at the literals of added tokens (the longest where several
+    start), and the stretches between are encoded on their own, as tokenizers does.
 
     The look-ahead of the splitting pattern matters only for runs of two or
     more white-space characters; other texts take the pattern without it,
     which is several times faster and splits them alike.
     """
-    return lambda text: _encoding(ranks_path, bool(_RUN_OF_SPACE.search(text))).encode_ordinary(text)
+    added = added_tokens(ranks_path)
+    literals = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
+
+    def ordinary(text: str) -> list[int]:
+        return _encoding(ranks_path, bool(_RUN_OF_SPACE.search(text))).encode_ordinary(text)
+
+    def encode(text: str) -> list[int]:
+        if literals is None or not literals.search(text):
+            return ordinary(text)
+        ids, at = [], 0
+        for m in literals.finditer(text):
+            ids += ordinary(text[at:m.start()])
+            ids.append(added[m.group()])
+            at = m.end()
+        return ids + ordinary(text[at:])
+
+    return encode
 
 
 def piece_lengths(n: int, max_length: int) -> list[int]:

@@ -29,6 +29,32 @@ def test_encoder_equals_the_tokenizer(tokenizer, text):
     assert ids == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+ADDED = ["end of one <|endoftext|> start", "<|endoftext|>", "a  <|endoftext|><|endoftext|>\n\n b", "x<|endoftext|", "<<|endoftext|>>  "]
+
+
+@pytest.mark.parametrize("text", ADDED)
+def test_added_tokens_in_plain_text(tokenizer, text):
+    ids = packing.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))(text)
+    assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@settings(deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(parts=st.lists(st.sampled_from(["<|endoftext|>", " ", "\n", "ab", "<|", "|>", "é", "\t"]), max_size=12))
+def test_added_tokens_among_odd_parts(tokenizer, parts):
+    ids = packing.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"))("".join(parts))
+    assert ids == tokenizer.encode("".join(parts), add_special_tokens=False).ids
+
+
+def test_pieces_hold_added_tokens(spark, tokenizer):
+    docs = spark.createDataFrame(list(enumerate(ADDED)), "doc_id bigint, text string")
+    got = {}
+    for r in packing.pack_documents(docs).orderBy("doc_id", "start").collect():
+        got.setdefault(r.doc_id, b"")
+        got[r.doc_id] += r.tokens
+    want = [tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in ADDED]
+    assert [got[i] for i in range(len(ADDED))] == [np.array(w, np.uint32).tobytes() for w in want]
+
+
 def test_pieces_of_odd_rows(odd_docs, no_docs, tokenizer):
     got = packing.pack_documents(odd_docs, max_length=64).collect()
     assert len({r.sequence_id for r in got}) == len(got) and {r.offset for r in got} == {0}
