@@ -3,9 +3,10 @@
 Both halves of the vectors are quantised on their own (k-means on a bounded
 sample); a cell is a pair of centroids. A query sorts the centroids of each
 half by inner product and walks the pairs in order of their sum with a heap,
-until the cells hold ``candidates`` rows (or all rows are reached). The
-entries of the visited cells are ranked by the exact inner product of the
-original vectors in double precision.
+until the cells hold ``candidates`` distinct vectors (or all are reached);
+copies of a vector count once, so that a hot vector does not end the walk. The
+entries of the visited cells, all copies too, are ranked by the exact inner
+product of the original vectors in double precision.
 
 Scale. Every row is indexed. Rows are dealt into blocks of about
 ``block_rows`` neighbouring cells; a cell with more rows (many copies of one
@@ -14,8 +15,8 @@ of the cells they visit, and a task scores one block of queries against one
 block of rows, only where a query visits a cell. It returns at most ``k`` rows
 for a query; the rest is a ranked top-k with a map-side limit.
 
-Bounds. k-means sees at most ``sample_rows`` vectors, the smallest by a seeded
-hash of the id. Cell counts (``centroids`` squared) come to the driver.
+Bounds. k-means sees the distinct ones of at most ``sample_rows`` vectors, the
+smallest by a seeded hash of the id. Cell counts (``centroids`` squared) come to the driver.
 
 Defined cases. Vectors that are NULL, zero, hold a NULL or non-finite
 component, or differ in length from the most frequent length (ties: the
@@ -57,10 +58,11 @@ def nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 @dataclass
 class MultiIndex:
-    """Centroids of both halves, rows per cell, and the blocks of the cells."""
+    """Centroids of both halves, distinct vectors and rows per cell."""
     first: np.ndarray
     second: np.ndarray
-    counts: np.ndarray | None = None  # rows of each cell, flat
+    counts: np.ndarray | None = None  # distinct vectors of each cell, flat
+    rows: np.ndarray | None = None  # rows of each cell, flat
 
     @property
     def cells(self) -> int:
@@ -71,7 +73,7 @@ class MultiIndex:
         return nearest(x[:, :half], self.first) * len(self.second) + nearest(x[:, half:], self.second)
 
     def visited(self, q: np.ndarray, wanted: int) -> np.ndarray:
-        """Bitmap of the cells a query visits: pairs by falling sum, until they hold ``wanted`` rows."""
+        """Bitmap of the cells a query visits: pairs by falling sum, until they hold ``wanted`` distinct vectors."""
         half = self.first.shape[1]
         a, b = self.first @ q[:half], self.second @ q[half:]
         ia, ib = np.argsort(-a, kind="stable").tolist(), np.argsort(-b, kind="stable").tolist()
@@ -116,16 +118,18 @@ def _usual_width(rows: DataFrame, vec_col: str) -> int:
 
 
 def build_index(rows: DataFrame, id_col: str, vec_col: str, centroids: int, sample_rows: int) -> MultiIndex | None:
-    """Centroids from a bounded sample and the number of rows in each cell, over all usable rows."""
+    """Centroids from a bounded sample; distinct vectors (by a 64-bit hash) and rows of each cell, over all usable rows."""
     sample = hash_sample(rows.select(id_col, vec_col), id_col, sample_rows).toPandas()
     if not len(sample):
         return None
     x = np.stack(sample.sort_values(id_col, kind="stable")[vec_col].to_numpy()).astype(np.float64)
+    x = x[np.sort(np.unique(x, axis=0, return_index=True)[1])]  # copies would take up centroids
     half = x.shape[1] // 2
     index = MultiIndex(kmeans(x[:, :half], centroids), kmeans(x[:, half:], centroids, seed=43))
-    n = rows.groupBy(_cell_column(index, x.shape[1])(vec_col).alias("cell")).count().toPandas()
-    index.counts = np.zeros(index.cells, np.int64)
-    index.counts[n["cell"]] = n["count"]
+    vectors = rows.groupBy(_cell_column(index, x.shape[1])(vec_col).alias("cell"), F.xxhash64(vec_col).alias("vector")).count()
+    n = vectors.groupBy("cell").agg(F.count("*").alias("distinct"), F.sum("count").alias("rows")).toPandas()
+    index.counts, index.rows = np.zeros(index.cells, np.int64), np.zeros(index.cells, np.int64)
+    index.counts[n["cell"]], index.rows[n["cell"]] = n["distinct"], n["rows"]
     return index
 
 
@@ -154,7 +158,7 @@ def search(rows: DataFrame, queries: Column, id_col: str = "vec_id", vec_col: st
     """The ``k`` rows of largest inner product for every row where ``queries`` holds.
 
     Returns query_id, rank (from 1), ``id_col``, score. ``candidates`` is the
-    share of all rows whose cells a query visits at least. Recall rises with
+    share of all distinct vectors whose cells a query visits at least. Recall rises with
     it; embeddings without clusters need a large one.
     """
     schema = f"query_id bigint, rank int, {id_col} bigint, score double"
@@ -166,7 +170,7 @@ def search(rows: DataFrame, queries: Column, id_col: str = "vec_id", vec_col: st
         return spark.createDataFrame([], schema)
     total = int(index.counts.sum())
     wanted = min(total, max(k + 1, int(np.ceil(candidates * total))))
-    start, parts, n_blocks = _block_layout(index.counts, block_rows)
+    start, parts, n_blocks = _block_layout(index.rows, block_rows)
     n_query_blocks = max(1, -(-good.where(queries).count() // query_block))
     cell = _cell_column(index, width)
 

@@ -37,6 +37,38 @@ def test_recall_on_embeddings(spark):
         assert [m[0] for m in mine] == list(range(1, 21)) and mine == sorted(mine, key=lambda m: m[1:])
 
 
+def hot_recall(spark, rows, queries):
+    """Recall of the queries that are not copies, on a table where one vector is a third of the rows."""
+    top = max(i for i, _ in rows) + 1
+    hot = rows + [(top + i, rows[1][1]) for i in range(len(rows) // 2)]
+    df = spark.createDataFrame(hot, "vec_id bigint, embedding array<float>").repartition(4)
+    ids, x = np.array([i for i, _ in hot]), np.array([v for _, v in hot], np.float64)
+    got, recalls = {}, []
+    for r in ann.search(df, F.col("vec_id").isin(queries), k=20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    for q in queries:
+        score = ann.inner_products(x[ids == q], x)[0]
+        score[ids == q] = -np.inf
+        recalls.append(len(got[q] & set(ids[np.lexsort((ids, -score))[:20]].tolist())) / 20)
+    return np.mean(recalls)
+
+
+def test_recall_beside_a_hot_vector(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    queries = [i for i, _ in rows if i % 4 == 0 and i != rows[1][0]]
+    assert hot_recall(spark, rows, queries) >= 0.93
+
+
+def test_copies_count_once(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(50)]
+    df = spark.createDataFrame(rows + [(100 + i, rows[7][1]) for i in range(70)], "vec_id bigint, embedding array<float>")
+    index = ann.build_index(df, "vec_id", "embedding", 4, 1000)
+    assert index.counts.sum() == 50 and index.rows.sum() == 120
+    hot = index.cell_of(np.array([rows[7][1]]))[0]
+    assert index.rows[hot] - index.counts[hot] == 70
+
+
 def odd_vectors():
     rng = np.random.default_rng(5)
     rows = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(60)]
