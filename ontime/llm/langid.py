@@ -8,11 +8,15 @@ Forward-backward gives every word its probability of each language, so a text
 that switches languages is labelled word by word; the document's language is
 the one with the largest mean probability, and that mean is its score.
 
-Training. Up to ``max_rows`` documents (smallest by a seeded hash of the id),
-only those whose crc32(id as text) mod 3 is not 1 and whose language is known,
-each give spans of ``span`` words at hashed places; spans of different documents
-follow each other in the training chains, which is where switches are learned.
-The languages are all values of those documents. Prediction reads whole texts.
+Training. Learnable are documents with a letter whose crc32(id as text) mod 3
+is not 1 and whose language is known. Up to ``max_rows`` of them, a quota for
+each language (smallest by a seeded hash of the id), each give spans of ``span``
+words at hashed places; spans of different documents follow each other in the
+training chains, which is where switches are learned. Half of the rows are
+dealt evenly, the rest by the languages' counts in the whole table; each has one
+row at least (more than ``max_rows`` only if there are more languages). So the
+languages are all learnable values. Their counts come to the driver.
+Prediction reads whole texts.
 
 Defined cases. NULL text or text without a letter is ``und`` with score 0;
 so is every text if nothing can be learned. Ties go to the first language in
@@ -27,10 +31,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ontime.llm.common import hash_sample, learnable, row_with, with_row
+from ontime.llm.common import learnable, row_with, with_row
 
 UND = "und"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -218,9 +223,17 @@ def fit_crf(spans: list[tuple[str, list[str]]], chain: int = 128, chains_a_step:
     return model
 
 
+def quotas(counts: list[int], max_rows: int) -> list[int]:
+    """Rows to learn from each language: half dealt evenly, the rest by count, one at least."""
+    even = max(1, max_rows // (2 * max(1, len(counts))))
+    first = [min(n, even) for n in counts]
+    left, rest = max(0, max_rows - sum(first)), sum(counts) - sum(first)
+    return [f + min(n - f, left * (n - f) // max(1, rest)) for n, f in zip(counts, first)]
+
+
 def learn_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                     max_rows: int = 4000, span: int = 40, **options) -> LanguageModel | None:
-    """Fit on spans of at most ``max_rows`` learnable documents; only the spans reach the driver."""
+    """Fit on spans of at most ``max_rows`` learnable documents of all languages; spans and counts reach the driver."""
     @F.arrow_udf("array<string>")
     def spans_of(texts: pa.Array, salt: pa.Array) -> pa.Array:
         out = []
@@ -230,12 +243,26 @@ def learn_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             out.append([" ".join(words[a:a + span]) for a in sorted(starts)] if words else [])
         return pa.array(out, pa.list_(pa.string()))
 
-    known = docs.where(learnable(id_col) & F.col(lang_col).isNotNull()).select(id_col, text_col, lang_col)
-    salt = F.shiftrightunsigned(F.xxhash64(F.lit(5), id_col), 1)
-    sample = hash_sample(known.select(id_col, lang_col, text_col), id_col, max_rows)
-    rows = sample.select(id_col, lang_col, F.explode(spans_of(text_col, salt)).alias("span")).toPandas()
-    rows = rows.sort_values([id_col, lang_col, "span"], kind="stable")
-    return fit_crf([(lang, text.split()) for lang, text in zip(rows[lang_col], rows["span"])], **options)
+    known = (docs.where(learnable(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+             .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+             .withColumn("h", F.xxhash64(F.lit(42), "id")))
+    seen = known.groupBy("lang").agg(F.count("*").alias("n"), F.min("h").alias("least")).orderBy("lang").collect()
+    if not seen:
+        return None
+    quota = quotas([r.n for r in seen], max_rows)
+    # a cut at the share of hashes that the quota needs, with a margin, so that few rows are ranked
+    share = [min(1.0, (q + 10 * q ** 0.5 + 100) / r.n) for q, r in zip(quota, seen)]
+    cut = [max(r.least, min(int(s * 2 ** 64) - 2 ** 63, 2 ** 63 - 1)) for s, r in zip(share, seen)]
+    schema = T.StructType([known.schema["lang"], T.StructField("cut", T.LongType()), T.StructField("quota", T.LongType())])
+    bounds = docs.sparkSession.createDataFrame([(r.lang, c, q) for r, c, q in zip(seen, cut, quota)], schema)
+    salt = F.shiftrightunsigned(F.xxhash64(F.lit(5), "id"), 1)
+    near = (known.join(F.broadcast(bounds), "lang").where(F.col("h") <= F.col("cut"))
+            .select("id", "lang", "quota", "h", spans_of("text", salt).alias("spans")))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id", "spans"))
+    sample = near.withColumn("rank", rank).where((F.col("rank") <= max(quota)) & (F.col("rank") <= F.col("quota")))
+    rows = sample.select("id", "lang", F.explode("spans").alias("span")).toPandas()
+    rows = rows.sort_values(["id", "lang", "span"], kind="stable")
+    return fit_crf([(lang, text.split()) for lang, text in zip(rows["lang"], rows["span"])], **options)
 
 
 def language(model: LanguageModel | None):

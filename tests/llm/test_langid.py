@@ -51,6 +51,25 @@ def test_held_out_accuracy_and_switches(spark):
     assert [r.lang for r in runs] == ["en", "de"] and abs(runs[1].word - 60) < 12
 
 
+def test_quotas():
+    assert langid.quotas([5, 3], 100) == [5, 3] and langid.quotas([], 10) == []
+    got = langid.quotas([100_000, 50_000, 1, 7], 4000)
+    assert got[2:] == [1, 7] and sum(got) <= 4000 and got[0] > got[1] >= 500
+    assert langid.quotas([9] * 30, 10) == [1] * 30
+
+
+def test_rare_languages_are_labels(spark):
+    docs = [(i, f"the house and the garden number {i} of the town", "en") for i in range(400)]
+    docs += [(1000 + i, "talo ja puutarha kaupungin keskellä yöllä", "fi") for i in range(3)]
+    docs += [(2000 + i, "1234 !", "cy") for i in range(40)] + [(2100, "tŷ a gardd yng nghanol y dref", "cy")]
+    docs += [(3000, "dom i ogród w środku miasta", "pl")] * 500  # one id only
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string").repartition(4)
+    from ontime.llm.common import learnable
+    assert {r.lang for r in df.where(learnable("doc_id") & (F.length("text") > 6)).select("lang").distinct().collect()} == {"en", "fi", "cy", "pl"}
+    model = langid.learn_languages(df, max_rows=16)
+    assert model.languages == ["cy", "en", "fi", "pl"]
+
+
 def test_odd_rows(odd_docs, no_docs, spark):
     for docs in (odd_docs, odd_docs.withColumn("lang", F.lit(None).cast("string"))):
         got = langid.identify(docs)
