@@ -1,4 +1,4 @@
-"""Duplicate spans by relative Lempel-Ziv parsing against content-defined reference blocks.
+"""Duplicate spans by minimum-hash anchors and window counting over content-defined blocks.
 
 A window is ``width`` consecutive words. Every window has an anchor: the
 smallest hash of the ``SEED``-word sequences inside it. Equal windows have
@@ -6,12 +6,10 @@ equal anchors, wherever they stand. A reference block is a longest run of
 consecutive windows of a document with one anchor value; the corpus is the
 sequence of its blocks, and the anchors are the index over all of them.
 
-Parsing. A block whose anchor occurs once holds no repeated window. Where
-every block of an anchor has the same words, the document's block is one
-long factor copied from the reference, and all its windows are duplicates.
-Consecutive such blocks join into longer factors. All other blocks of a
-repeated anchor lie at factor boundaries: there the factor ends inside the
-block. One document of each distinct block text gives its windows, and each
+Finding. No factors are parsed. A block whose anchor occurs once holds no repeated window. Where
+every block of an anchor has the same words, all windows of the block are
+duplicates. In all other blocks of a repeated anchor a copy may end inside
+the block. One document of each distinct block text gives its windows, and each
 window is looked up among the windows of every reference block with that
 anchor, so boundaries are exact to the word.
 
