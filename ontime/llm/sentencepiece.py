@@ -15,7 +15,9 @@ survivor and the committed ids equal those of the merge procedure.
 
 If no piece holds a space mark after another character, every path has a
 boundary before such a mark. The stretches between these boundaries repeat
-over a corpus, so their ids are kept in a bounded table per worker.
+over a corpus, so their ids are kept in a bounded table per worker. In a BPE
+model, stretches up to ``_SHORT`` characters are searched whole, side by side,
+without window or commits; longer ones take the streaming search.
 
 Defined cases. NULL stays NULL in decoding and has no ids in encoding; empty
 text has no ids. Characters outside the vocabulary become byte pieces, or, in
