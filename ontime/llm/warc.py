@@ -14,7 +14,8 @@ pass its checks: the gzip checksum, the version line, Content-Length, the
 block digest. After a failed check the reader looks for the next place where
 a gzip member decompresses to a version line (or, in plain archives, for the
 next version line), goes on there, and logs the bytes in between as a
-quarantined gap.
+quarantined gap. A member of several records is read like a plain archive; its
+records and gaps all have the offsets of the member.
 
 Defined cases. A NULL payload is empty. Rows that share the largest id of
 their payload are all responses; a NULL id counts as smaller than any other,
@@ -26,9 +27,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import io
 import re
 import uuid
 import zlib
+from itertools import chain
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -145,11 +148,11 @@ def _member(w: _Window, probe: bool = False) -> tuple[bytes, int]:
         raise BadRecord("gzip checksum or data") from e
 
 
-def _next_start(w: _Window) -> None:
+def _next_start(w: _Window, packed: bool = True) -> None:
     """Move the window past its first byte to the next place where a record may start, or the end."""
     skip = 1
     while True:
-        gz = w.data.find(_GZIP, skip)
+        gz = w.data.find(_GZIP, skip) if packed else -1
         plain = _ANY_VERSION.search(w.data, skip)
         found = [x for x in (gz if gz >= 0 else None, plain.start() if plain else None) if x is not None]
         if found:
@@ -171,10 +174,23 @@ def _next_start(w: _Window) -> None:
             return
 
 
-def salvage(stream):
+def _records_of(raw: bytes):
+    """Records and gaps of the bytes of a member that is not one whole record; fails if no record is whole."""
+    items, head, first = salvage(io.BytesIO(raw), packed=False), [], None
+    for first in items:
+        if first[0] == "record":
+            break
+        head.append(first)
+    if first is None or first[0] == "gap":
+        raise BadRecord(head[0][3] if head else "no version line")
+    return chain(head, [first], items)
+
+
+def salvage(stream, packed: bool = True):
     """Yield ("record", offset, end, headers, block) and ("gap", offset, end, reason, None) of one archive.
 
-    Offsets are those of the file; every byte belongs to one record or gap.
+    Offsets are those of the file; every byte belongs to one record or gap, or to one member whose records and
+    gaps share its offsets. Without ``packed`` the stream holds no gzip members.
     """
     w = _Window(stream)
     gap, reason = None, ""
@@ -184,11 +200,15 @@ def salvage(stream):
 
     while w.data or w.more():
         try:
-            if w.data[:2] == _GZIP[:2] or (len(w.data) < 2 and w.more() and w.data[:2] == _GZIP[:2]):
+            several = None
+            if packed and (w.data[:2] == _GZIP[:2] or (len(w.data) < 2 and w.more() and w.data[:2] == _GZIP[:2])):
                 raw, size = _member(w)
-                headers, block, used = parse_record(raw)
+                try:
+                    headers, block, used = parse_record(raw)
+                except BadRecord:
+                    used = -1
                 if used != len(raw):
-                    raise BadRecord("bytes after the record")
+                    several = _records_of(raw)
             else:
                 while True:  # a plain record: read on while it seems cut off
                     try:
@@ -201,14 +221,17 @@ def salvage(stream):
         except BadRecord as e:
             if gap is None:
                 gap, reason = w.at, str(e)
-            _next_start(w)
+            _next_start(w, packed)
             continue
         if gap is not None:
             yield close()
             gap = None
         start = w.at
         w.drop(size)
-        yield ("record", start, w.at, headers, block)
+        if several is None:
+            yield ("record", start, w.at, headers, block)
+        else:
+            yield from ((kind, start, w.at, what, body) for kind, _, _, what, body in several)
     if gap is not None:
         yield close()
 

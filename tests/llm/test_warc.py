@@ -102,3 +102,22 @@ def test_gap_reasons():
     wrong = warc.record_bytes("response", "urn:x:9", "u", b"abc", "X", 3, None).replace(b"abc", b"abd")
     assert read(wrong + b)[1] == [(0, len(wrong), "block digest differs")]
     assert read(a[:-3])[1][0][2] == "truncated record"
+
+
+def test_member_of_several_records():
+    parts = records()
+    whole, one = warc.gzip_member(b"".join(parts)), warc.gzip_member(parts[0])
+
+    def ids(items):
+        return [i[3]["warc-record-id"] for i in items if i[0] == "record"]
+
+    items = list(warc.salvage(io.BytesIO(whole + one)))
+    assert ids(items) == [f"<urn:x:{i}>" for i in range(30)] + ["<urn:x:0>"] and len(items) == 31
+    assert {i[1:3] for i in items[:30]} == {(0, len(whole))} and items[30][1:3] == (len(whole), len(whole) + len(one))
+    for broken in (0, 4, 29):
+        hurt = [b"junk" + p[20:] if i == broken else p for i, p in enumerate(parts)]
+        items = list(warc.salvage(io.BytesIO(warc.gzip_member(b"".join(hurt)) + one)))
+        assert ids(items) == [f"<urn:x:{i}>" for i in range(30) if i != broken] + ["<urn:x:0>"]
+        assert len([i for i in items if i[0] == "gap"]) == 1
+    items = list(warc.salvage(io.BytesIO(warc.gzip_member(parts[0] + b"tail"))))
+    assert [i[0] for i in items] == ["record", "gap"] and items[0][4] == warc.parse_record(parts[0])[1]
