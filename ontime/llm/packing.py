@@ -61,6 +61,20 @@ def added_tokens(ranks_path: str) -> dict[str, int]:
     return _added[ranks_path]
 
 
+def ordinary_encoder(ranks_path: str):
+    """(text -> ids without added tokens, bytes of every id) of a byte-level BPE rank file.
+
+    The look-ahead of the splitting pattern matters only for runs of two or
+    more white-space characters; other texts take the pattern without it,
+    which is several times faster and splits them alike.
+    """
+    def encode(text: str) -> list[int]:
+        return _encoding(ranks_path, bool(_RUN_OF_SPACE.search(text))).encode_ordinary(text)
+
+    full = _encoding(ranks_path, True)
+    return encode, [full.decode_single_token_bytes(i) for i in range(full.max_token_value + 1)]
+
+
 def encoder(ranks_path: str):
     """text -> ids for a byte-level BPE rank file and the added tokens of its JSON.
 
@@ -125,7 +139,8 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         flat = pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields)], [f for f, _ in fields])
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
 
-    return (docs.select(id_col, pieces(F.col(text_col)).alias("_pieces")).select(id_col, F.inline("_pieces"))
+    # inlined at once: a filter that Spark infers from a named generator input would run the function again
+    return (docs.select(id_col, F.inline(pieces(F.col(text_col))))
             .withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("bigint")))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime.llm import (
+    alignment,
     ann,
     langid,
     packing,
@@ -92,6 +93,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("back") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_url_filters": op2_url_filters,
@@ -103,6 +108,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_language": op9_language,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_alignment": op11_alignment,
 }
 
 # op1, op3-op5 and op7-op10 have no SQL form (tokenisers, learned models, graph search) or one too
