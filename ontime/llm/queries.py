@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from ontime.llm import (
     alignment,
     ann,
+    cover_tree,
     langid,
     packing,
     quality_gam,
     quality_rules,
+    ranked_search,
     sentencepiece,
     simhash,
     substring,
@@ -97,6 +99,14 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment_report(_table(spark, sf_dir, "documents"))
 
 
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_url_filters": op2_url_filters,
@@ -109,6 +119,8 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_alignment": op11_alignment,
+    "op12_near_vectors": op12_near_vectors,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 # op1, op3-op5 and op7-op10 have no SQL form (tokenisers, learned models, graph search) or one too
@@ -137,4 +149,38 @@ ORACLE: dict[str, str] = {
                CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
                     WHEN pattern IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
         FROM ruled""",
+    "op12_near_vectors": """
+        WITH RECURSIVE vectors AS MATERIALIZED (
+          SELECT vec_id, label, cast(embedding AS double[]) AS e FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+            AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+        links AS MATERIALIZED (
+          SELECT a.vec_id AS u, b.vec_id AS v FROM vectors a JOIN vectors b
+            ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.93),
+        reached AS (SELECT vec_id AS u, vec_id AS v FROM embeddings
+                    UNION SELECT reached.u, links.v FROM reached JOIN links ON reached.v = links.u),
+        parts AS (SELECT u, min(v) AS component_id FROM reached GROUP BY u)
+        SELECT vec_id, (SELECT count(*) FROM links WHERE links.u = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings JOIN parts ON vec_id = parts.u""",
+    "op13_ranked_search": r"""
+        WITH docs AS (SELECT row_number() OVER () AS doc, doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+        items AS (SELECT row_number() OVER () AS item, item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                         'abcdefghijklmnopqrstuvwxyz') AS low FROM benchmark),
+        words AS (SELECT doc, doc_id, unnest(regexp_extract_all(low, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+        counts AS (SELECT doc, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+        lengths AS (SELECT doc, sum(tf) AS n FROM counts GROUP BY doc),
+        totals AS (SELECT cast(count(*) AS bigint) AS docs_in_all, cast(sum(n) AS bigint) AS terms_in_all FROM lengths),
+        factors AS (SELECT doc, 100 - 75 + (75 * cast(n AS bigint) * docs_in_all) // terms_in_all AS m FROM lengths, totals),
+        weights AS (SELECT term, cast(floor(1000 * ln((2 * docs_in_all + 2) / (2 * count(*) + 1))) AS bigint) AS w
+                    FROM counts, totals GROUP BY term, docs_in_all),
+        asked AS (SELECT item, item_id, term, count(*) AS times
+                  FROM (SELECT item, item_id, unnest(regexp_extract_all(low, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                        FROM items) GROUP BY ALL),
+        scored AS (SELECT item, item_id, doc, doc_id,
+                          cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS bigint) AS score
+                   FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN factors USING (doc) GROUP BY ALL),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+        SELECT item_id, cast(rank AS integer) AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
