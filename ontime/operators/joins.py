@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ontime.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from ontime.operators.skew import salted_join
 
 
 def _suffixed(left: DataFrame, right: DataFrame, keys_left, keys_right, suffixes):
@@ -21,15 +22,21 @@ def _suffixed(left: DataFrame, right: DataFrame, keys_left, keys_right, suffixes
 
 
 def join_with_suffix(left: DataFrame, right: DataFrame, left_on, right_on=None, how: str = "left",
-                     suffixes=("_x", "_y")) -> DataFrame:
+                     suffixes=("_x", "_y"), salted: bool = False, **salting) -> DataFrame:
     """Join on equal keys and keep one key column named after the left key.
 
     SQL equality: NULL keys never match. For a full join the kept key is
     ``coalesce(left, right)``. Clashing non-key columns get ``_x`` / ``_y``.
+    ``salted`` deals the rows of frequent keys over tasks (:func:`salted_join`,
+    which takes the options ``salting``): for fact-sized sides, and full joins above all.
     """
     left_on = [left_on] if isinstance(left_on, str) else list(left_on)
     right_on = left_on if right_on is None else ([right_on] if isinstance(right_on, str) else list(right_on))
     left, right = _suffixed(left, right, left_on, right_on, suffixes)
+    if salted:
+        renamed = right.select(*[F.col(r).alias(lk) for lk, r in zip(left_on, right_on)],
+                               *[c for c in right.columns if c not in right_on])
+        return salted_join(left, renamed, left_on, how, **salting)
     tmp = [f"__rk{i}" for i in range(len(right_on))]
     right = right.select(*[F.col(r).alias(t) for r, t in zip(right_on, tmp)],
                          *[c for c in right.columns if c not in right_on])

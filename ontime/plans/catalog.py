@@ -373,6 +373,27 @@ def q_full_join_counts(spark, sf_dir):
     return join_with_suffix(frequency(f, "Origin"), frequency(f, "Dest"), "Origin", "Dest", "full")
 
 
+_HOT_EVENTS_SQL = """
+select event_id, value, case when event_id % 3 = 0 then 7 when event_id % 7 = 1 then null else user_id end as user_id
+from events
+"""
+
+
+@register("skewed_full_join", dt.with_views("""
+select coalesce(ev.user_id, c.c_custkey) as user_id, ev.event_id, ev.value, c.c_nationkey, c.c_acctbal
+from ev full join customer c on ev.user_id = c.c_custkey
+""", ev=_HOT_EVENTS_SQL))
+def q_skewed_full_join(spark, sf_dir):
+    """J5, J6 on rows: events of which a third share one user and a tenth have none, full-joined to customers."""
+    t = Tables(spark, sf_dir)
+    user = (F.when(F.col("event_id") % 3 == 0, F.lit(7)).when(F.col("event_id") % 7 == 1, F.lit(None))
+            .otherwise(F.col("user_id")).cast("bigint"))
+    events = t["events"].select("event_id", "value", user.alias("user_id"))
+    customers = t["customer"].select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_nationkey", "c_acctbal")
+    return join_with_suffix(events, customers, "user_id", "c_custkey", "full", salted=True,
+                            left_unique=["event_id"], right_unique=["user_id"])
+
+
 # --- Filters and NULL handling F1-F6, N1, N2 -----------------------------------
 
 _NULLED_LINEITEM = """

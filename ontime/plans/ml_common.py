@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime.functions.keys import fraction_threshold, hash_key
+from ontime.operators.ranking import numbered_rows
 
 
 def split_label(key_cols, fraction: float = 0.7, seed: int = 42) -> Column:
@@ -15,17 +16,6 @@ def split_label(key_cols, fraction: float = 0.7, seed: int = 42) -> Column:
                   F.lit("training")).otherwise(F.lit("testing"))
 
 
-def numbered_rows(df: DataFrame, name: str = "__copy") -> DataFrame:
-    """Every row with its occurrence number (from 1) among equal rows.
-
-    Equal rows are counted with a map-side step and written out again, so no
-    task gathers a frequent row's copies, and the numbers do not depend on
-    the layout.
-    """
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
-    return counted.withColumn(name, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n")))).drop("__n")
-
-
 def hash_split(df: DataFrame, key_cols=None, fraction: float = 0.7, seed: int = 42):
     """(training, testing), about ``fraction`` of the rows in training.
 

@@ -1,0 +1,87 @@
+"""Salted joins: same rows as a plain join, and balanced tasks."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ontime.operators.joins import join_with_suffix
+from ontime.operators.skew import frequent_keys, salted_join
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("how", ["full", "left", "right", "inner"])
+@pytest.mark.parametrize("unique", [None, "id"])
+def test_equals_plain_join(spark, how, unique):
+    rng = random.Random(7)
+    keys = [1] * 300 + [2] * 80 + [None] * 200 + [9] * 150 + list(range(10, 300))
+    left = [(k, i, f"v{i % 5}") for i, k in enumerate(keys)]
+    right = [(k, 1000 + i) for i, k in enumerate([1] * 4 + [2] * 60 + [None] * 90 + [8] * 120 + list(range(200, 400)))]
+    rng.shuffle(left)
+    a = spark.createDataFrame(left, "k int, id int, v string").repartition(3)
+    b = spark.createDataFrame(right, "k int, other int")
+    options = {"left_unique": [unique], "right_unique": ["other"]} if unique else {}
+    got = salted_join(a, b, ["k"], how, share=0.05, **options)
+    want = a.join(b, ["k"], how)
+    assert got.columns == want.columns and rows(got) == rows(want)
+
+
+def test_equal_rows_and_two_keys(spark):
+    a = spark.createDataFrame([(1, None, "x")] * 50 + [(1, 1, "x")] * 90 + [(2, 1, "y")], "p int, q int, v string")
+    b = spark.createDataFrame([(1, 1, 5)] * 40 + [(3, 3, 6)] * 30 + [(None, 1, 7)] * 20, "p int, q int, w int")
+    assert rows(salted_join(a, b, ["p", "q"], "full", share=0.1)) == rows(a.join(b, ["p", "q"], "full"))
+
+
+def test_empty_sides(spark):
+    a = spark.createDataFrame([(1, "x")] * 20, "k int, v string")
+    none = spark.createDataFrame([], "k int, w int")
+    assert rows(salted_join(a, none, ["k"], "full")) == [(1, "x", None)] * 20
+    assert rows(salted_join(none, a, ["k"], "full")) == [(1, None, "x")] * 20
+    assert salted_join(none.select("k"), none, ["k"], "full").collect() == []
+
+
+def test_frequent_keys_are_bounded_by_the_share(spark):
+    a = spark.createDataFrame([(i % 7 if i % 3 else 0,) for i in range(700)], "k int")
+    found, n_left, n_right = frequent_keys(a, a.limit(0), ["k"], 0.2)
+    assert (n_left, n_right) == (700, 0) and [r.k for r in found.collect()] == [0]
+    assert frequent_keys(a, a.limit(0), ["k"], 0.9) is None
+
+
+def test_other_joins_are_refused(spark):
+    with pytest.raises(ValueError, match="left_semi"):
+        salted_join(spark.range(1), spark.range(1), ["id"], "left_semi")
+
+
+def test_suffixes_and_key_names(spark):
+    a = spark.createDataFrame([("A", 1)] * 30 + [("B", 2)], "Origin string, n int")
+    b = spark.createDataFrame([("A", 5), ("C", 6)], "Dest string, n int")
+    got = join_with_suffix(a, b, "Origin", "Dest", "full", salted=True, share=0.3)
+    assert got.columns == ["Origin", "n_x", "n_y"]
+    assert rows(got) == rows(join_with_suffix(a, b, "Origin", "Dest", "full"))
+
+
+@pytest.mark.parametrize("third", [0, None])
+def test_no_task_has_twice_the_median(spark, third):
+    """A third of the rows share a key (or have none): the full join's tasks stay even."""
+    n, options = 60_000, {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false",
+                          "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in options}
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        key = F.when(F.col("id") % 3 == 0, F.lit(third)).otherwise(1 + F.pmod(F.xxhash64("id"), F.lit(3000)))
+        left = spark.range(n).select(key.alias("k"), F.col("id").alias("v"))
+        right = spark.range(0, 4000, 2).select(F.col("id").alias("k"), F.col("id").alias("w"))
+
+        def sizes(df):
+            return sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        plain, even = sizes(left.join(right, ["k"], "full")), sizes(salted_join(left, right, ["k"], "full", left_unique=["v"]))
+        assert plain[-1] > 5 * plain[len(plain) // 2]
+        assert len(even) == 16 and even[-1] <= 2 * even[8]
+        assert sum(even) == sum(plain)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
