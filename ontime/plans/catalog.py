@@ -6,6 +6,7 @@ oracle is the same computation written as plain SQL over the same tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.clustering import KMeans
@@ -26,13 +27,16 @@ from ontime.operators import (
     top_k_with_ties,
     union_all,
 )
-from ontime.plans import reports
+from ontime.operators.partitions import argmax_batch, map_partitions, melt_batch
+from ontime.plans import certificates, reports
 from ontime.plans.classify import (
+    FEATURES,
     classification_set,
     classifier_comparison,
+    exact_roc,
     feature_importance,
     logistic_roc,
-    split_and_train,
+    stored_split_and_train,
 )
 from ontime.plans.cluster import (
     assemble,
@@ -47,10 +51,13 @@ from ontime.plans.cluster import (
 )
 from ontime.plans.evaluate import confusion_metrics, roc_points, silhouette
 from ontime.plans.ml_common import fit_layout, hash_split
+from ontime.plans.model_store import ModelStore
 from ontime.plans.relational import predicate_counts
 from ontime.plans.stats import correlation_matrix, correlation_pairs, min_max_scale
+from ontime.session import checkpoint_dir, cut_lineage
 from ontime.sources import driver_tables as dt
-from ontime.sources.readers import cache_fact, read_table
+from ontime.sources.readers import CSV_OPTIONS, cache_fact, read_csv_typed, read_table, register_views
+from ontime.sources.schemas import CAUSE_COLUMNS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -79,44 +86,52 @@ class Tables(dict):
 
 
 _FACTS: dict = {}
-# Session setting: "true" builds the fact view once per session and keeps it,
-# as the dashboard did; by default every query reads its own columns and rows.
+_KEYS: dict = {}
+# Session settings. The fact view is written once to the shared folder and then only read
+# (S2, S6); "false" joins its four tables in every query. cacheFact keeps it in memory instead.
+STORE_FACT_CONF = "spark.ontime.storeFact"
 CACHE_FACT_CONF = "spark.ontime.cacheFact"
 
 
+def _on(spark, conf: str, default: str) -> bool:
+    return spark.conf.get(conf, default).lower() == "true"
+
+
+def _key(spark, sf_dir) -> str:
+    """The stored tables' key; the source files are listed once per session."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known not in _KEYS:
+        _KEYS[known] = dt.fact_key(spark, sf_dir)
+    return _KEYS[known]
+
+
 def _flights(spark, sf_dir):
-    """Driver tables and the flight-shaped fact view F.
+    """Driver tables and the flight-shaped fact F, by default from its stored table.
 
-    Lazy by default, so pruning and push-down reach the scans. With the
-    setting on, F is kept (memory, spilling to disk) until
-    :func:`release_facts`; dimensions stay uncached (S6, S9).
+    In memory (cacheFact) F is kept until :func:`release_facts`; dimensions stay uncached.
     """
     t = Tables(spark, sf_dir)
-    if spark.conf.get(CACHE_FACT_CONF, "false").lower() != "true":
-        return t, dt.flight_view(t)
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FACTS:
-        _FACTS[key] = cache_fact(dt.flight_view(t))
-    return t, _FACTS[key]
+    if _on(spark, CACHE_FACT_CONF, "false"):
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _FACTS:
+            _FACTS[key] = cache_fact(dt.flight_view(t))
+        return t, _FACTS[key]
+    if _on(spark, STORE_FACT_CONF, "true"):
+        return t, dt.stored_flights(t, _key(spark, sf_dir))
+    return t, dt.flight_view(t)
 
 
 def release_facts() -> None:
-    """Drop the kept fact views and the test parts of fitted models."""
+    """Drop the fact views kept in memory."""
     for df in _FACTS.values():
         df.unpersist()
-    for _, test in _FITTED.values():
-        test.unpersist()
     _FACTS.clear()
-    _FITTED.clear()
 
 
 def _sql_f(q: str, **extra) -> str:
     return dt.with_views(q, flights=dt.FLIGHT_SQL, **extra)
 
 
-_FITTED: dict = {}
-
-
 # --- R8 (flagship) ---------------------------------------------------------
 
 @register("arrival_delay_buckets", _sql_f(f"""
@@ -567,6 +582,79 @@ def q_on_time_label(spark, sf_dir):
     return classification_set(f)
 
 
+# --- Stored layout S2, S6 and partition functions D1, D2 --------------------------
+
+@register("bucket_join", _sql_f("""
+select o.o_orderpriority, count(*) as n, sum(f.ArrDelay) as delay, sum(cast(round(o.o_totalprice) as bigint)) as price
+from flights f join orders o on f.l_orderkey = o.o_orderkey group by 1
+""".replace("sum(cast(round(o.o_totalprice) as bigint))", "cast(sum(cast(round(o.o_totalprice) as bigint)) as bigint)")))
+def q_bucket_join(spark, sf_dir):
+    """F and orders lie in the same buckets of the order key: their join moves no row."""
+    t, f = _flights(spark, sf_dir)
+    orders = dt.stored_orders(t, _key(spark, sf_dir))
+    joined = f.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("ArrDelay").alias("delay"),
+        F.sum(F.round("o_totalprice").cast("bigint")).alias("price"))
+
+
+@register("partial_years", _sql_f("""
+, y as (select cast(year(o_orderdate) as integer) as Year, count(*) as orders, count(distinct month(o_orderdate)) as months
+        from orders group by 1)
+select f.Year, y.months, count(*) as n, sum(f.DepDelay) as delay from flights f join y on f.Year = y.Year
+where y.months < 12 group by 1, 2
+"""))
+def q_partial_years(spark, sf_dir):
+    """Flights of the years that are not complete: the years found at run time prune the folders of F."""
+    t, f = _flights(spark, sf_dir)
+    years = (t["orders"].groupBy(F.year("o_orderdate").alias("Year"))
+             .agg(F.count_distinct(F.month("o_orderdate")).alias("months")).where(F.col("months") < 12))
+    return (f.join(F.broadcast(years), "Year").groupBy("Year", "months")  # one row per calendar year
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("DepDelay").alias("delay")))
+
+
+@register("melted_causes", _sql_f("""
+select l_orderkey, l_linenumber, "group", value from (
+""" + "\nunion all\n".join(f"select l_orderkey, l_linenumber, '{c}' as \"group\", {c} as value from flights" for c in CAUSE_COLUMNS) + ") m"))
+def q_melted_causes(spark, sf_dir):
+    """The five cause columns as rows, by a partition function."""
+    _, f = _flights(spark, sf_dir)
+    ids = ["l_orderkey", "l_linenumber"]
+    return map_partitions(f, melt_batch(ids, CAUSE_COLUMNS, "variable", "value"),
+                          "l_orderkey bigint, l_linenumber int, group string, value double", columns=ids + CAUSE_COLUMNS,
+                          names={"variable": "group"})
+
+
+@register("dominant_cause_by_partition", _sql_f("""
+select l_orderkey, l_linenumber, case greatest(CarrierDelay, WeatherDelay, NASDelay, SecurityDelay, LateAircraftDelay)
+  when CarrierDelay then 'CarrierDelay' when WeatherDelay then 'WeatherDelay' when NASDelay then 'NASDelay'
+  when SecurityDelay then 'SecurityDelay' when LateAircraftDelay then 'LateAircraftDelay' end as DelayCode
+from flights
+"""))
+def q_dominant_cause_by_partition(spark, sf_dir):
+    """The largest cause's name, by a partition function (C9 is the expression for it)."""
+    _, f = _flights(spark, sf_dir)
+    ids = ["l_orderkey", "l_linenumber"]
+    causes = f.select(*ids, *[F.col(c).cast("double").alias(c) for c in CAUSE_COLUMNS])
+    whole = map_partitions(causes, argmax_batch(CAUSE_COLUMNS, "DelayCode"),
+                           "DelayCode string, l_orderkey bigint, l_linenumber int, " + ", ".join(f"{c} double" for c in CAUSE_COLUMNS))
+    return whole.select(*ids, "DelayCode")
+
+
+@register("csv_orders", """
+select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders
+""")
+def q_csv_orders(spark, sf_dir):
+    """A table written as CSV to the shared folder and read back with explicit types, through its view."""
+    t = Tables(spark, sf_dir)
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/csv/orders-{uuid.uuid4().hex}"
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    t["orders"].select(*columns).write.options(**CSV_OPTIONS).csv(folder)
+    types = {c: t["orders"].schema[c].dataType for c in columns}
+    register_views({"orders_csv": read_csv_typed(spark, folder, types)}, prefix="ontime_")
+    return spark.table("ontime_orders_csv")
+
+
 # --- Statistics: correlation, scaling ----------------------------------------
 
 _LI_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -730,12 +818,9 @@ def q_silhouette_given_labels(spark, sf_dir):
 # --- Classification R12-R15 (fitted models: rows-only checks) ------------------
 
 def _fitted_classifiers(spark, sf_dir):
-    """Fit the four models once per session and folder; three reports read them."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FITTED:
-        _, f = _flights(spark, sf_dir)
-        _FITTED[key] = split_and_train(f)
-    return _FITTED[key]
+    """Four fits, saved on shared storage under what they were fitted on; every report and session reads them."""
+    _, f = _flights(spark, sf_dir)
+    return stored_split_and_train(f, ModelStore(spark))
 
 
 @register("classifier_comparison")
@@ -743,6 +828,117 @@ def q_classifier_comparison(spark, sf_dir):
     return classifier_comparison(*_fitted_classifiers(spark, sf_dir))
 
 
+_PARTS_SQL = f"""
+, cnt as (select {{cols}}, count(*) as copies from ot group by all)
+, rws as (select *, unnest(generate_series(1, copies)) as i from cnt)
+, parts as (select {{cols}}, ('0x' || substr(md5(concat_ws('|', {{texts}}, cast(i as varchar)) || '|42'), 1, 8))::bigint
+              < {fraction_threshold(0.7)} as training from rws)
+"""
+_SPLIT_COLUMNS = ["OnTime", "DepDelay", "Distance", "TaxiIn", "TaxiOut"]
+_PARTS_SQL = _PARTS_SQL.format(cols=", ".join(_SPLIT_COLUMNS), texts=", ".join(f"cast({c} as varchar)" for c in _SPLIT_COLUMNS))
+
+
+def _score_rows(names) -> str:
+    return "\nunion all\n".join(
+        f"select '{n}' as feature, round(sum(OnTime * {x}), 2) as observed, true as solved from parts where training"
+        for n, x in names)
+
+
+@register("logistic_score_equations", _sql_f(_PARTS_SQL + _score_rows(
+    [("(constant)", "1.0e0"), *[(f, f) for f in FEATURES]]), ot=_ON_TIME_SQL))
+def q_logistic_score_equations(spark, sf_dir):
+    """ML7, R12: sum of y * x per feature over the training part, and whether the model's sum of p * x equals it."""
+    _, f = _flights(spark, sf_dir)
+    models, _ = _fitted_classifiers(spark, sf_dir)
+    train, _ = hash_split(classification_set(f))
+    return certificates.score_equations(models["Logistic"], train, "OnTime", FEATURES).select(
+        "feature", F.round("observed", 2).alias("observed"), "solved")
+
+
+def _gini_sql(feature: str) -> str:
+    h = f"h_{feature}"
+    return f"""
+, {h} as (select {feature} as v, count(*) as n, sum(OnTime) as pos from ot group by 1)
+, c_{feature} as (select v, sum(n) over (order by v) as nl, sum(pos) over (order by v) as pl,
+                         sum(n) over () as na, sum(pos) over () as pa from {h})
+, g_{feature} as (select v, nl, na - nl as nr, round(
+     (1 - (pa / na) ** 2 - ((na - pa) / na) ** 2) - nl / na * (1 - (pl / nl) ** 2 - ((nl - pl) / nl) ** 2)
+     - (na - nl) / na * (1 - ((pa - pl) / (na - nl)) ** 2 - ((na - nl - pa + pl) / (na - nl)) ** 2), 12) as gain
+   from c_{feature} where nl < na)
+, b_{feature} as (select '{feature}' as feature, v as at_most, cast(nl as bigint) as n_left, cast(nr as bigint) as n_right,
+     round(gain, 9) as gain, true as tree_agrees from g_{feature} order by g_{feature}.gain desc, v limit 1)"""
+
+
+_GINI_FEATURES = ["DepDelay", "TaxiIn", "TaxiOut"]
+
+
+@register("best_gini_splits", _sql_f("".join(_gini_sql(f) for f in _GINI_FEATURES) + "\n" + " union all ".join(
+    f"select * from b_{f}" for f in _GINI_FEATURES), ot=_ON_TIME_SQL))
+def q_best_gini_splits(spark, sf_dir):
+    """ML8: the first split of a tree on one feature, by exhaustive search; a depth-one tree must make the same."""
+    _, f = _flights(spark, sf_dir)
+    rows = cut_lineage(classification_set(f).select("OnTime", *_GINI_FEATURES))
+    parts = []
+    for feature in _GINI_FEATURES:
+        stump = certificates.stump_left_rows(rows, feature, "OnTime").scalar()
+        parts.append(certificates.best_gini_split(rows, feature, "OnTime").select(
+            "feature", "at_most", "n_left", "n_right", F.round("gain", 9).alias("gain"), (F.col("n_left") == stump).alias("tree_agrees")))
+    return union_all(*parts)
+
+
+@register("importance_from_nodes")
+def q_importance_from_nodes(spark, sf_dir):
+    """ML14, R15: importances from the saved trees' node tables, beside those the models state."""
+    _, f = _flights(spark, sf_dir)
+    models, _ = _fitted_classifiers(spark, sf_dir)
+    tables = ModelStore(spark).node_tables("classifiers", classification_set(f), seed=42, fraction=0.7)
+    stated = feature_importance(spark, models).withColumnRenamed("importance", "stated")
+    return certificates.importance_from_nodes(tables, FEATURES).join(stated, ["Model", "feature"])
+
+
+_SCORES_SQL = """
+, s as (select (40.0 - DepDelay) + TaxiOut / 100.0 as score, OnTime as label from ot)
+, g as (select score, sum(case when label = 1 then 1 else 0 end) as pos, count(*) as n from s group by 1)
+, c as (select *, sum(n) over (order by score desc) - n as before, sum(n) over () as total,
+               sum(pos) over (order by score desc) as tp from g)
+, b as (select cast(floor(before * {bins} / total) as integer) as bin, min(score) as threshold, sum(pos) as pos,
+               sum(n) - sum(pos) as neg from c group by 1)
+"""
+
+
+def _scored_flights(f):
+    return classification_set(f).select(
+        ((F.lit(40.0) - F.col("DepDelay")) + F.col("TaxiOut") / 100.0).alias("score"), F.col("OnTime").alias("label"))
+
+
+@register("binned_roc", _sql_f(_SCORES_SQL.format(bins=200) + """
+select round(sum(neg) over (order by bin) / sum(neg) over (), 10) as FPR, round(sum(pos) over (order by bin) / sum(pos) over (), 10) as TPR,
+       threshold from b
+""", ot=_ON_TIME_SQL))
+def q_binned_roc(spark, sf_dir):
+    """ML13, R14: the curve of a fixed score from a summary of 200 bins of equal weight."""
+    _, f = _flights(spark, sf_dir)
+    return certificates.roc_from_bins(certificates.binned_scores(_scored_flights(f), bins=200))
+
+
+@register("roc_areas", _sql_f(_SCORES_SQL.format(bins=200) + """
+select round(sum((n - pos) * (tp - pos / 2)) / (sum(n - pos) * sum(pos)), 9) as exact, true as binned_within from c
+""", ot=_ON_TIME_SQL))
+def q_roc_areas(spark, sf_dir):
+    """ML13: the exact area under the curve, and whether the binned one is within 0.001."""
+    _, f = _flights(spark, sf_dir)
+    scored = cut_lineage(_scored_flights(f))
+    exact = certificates.exact_auc(scored).scalar()
+    binned = certificates.auc_from_bins(certificates.binned_scores(scored, bins=200))
+    return binned.select(F.round(exact, 9).alias("exact"), (F.abs(exact - F.col("auc")) <= 1e-3).alias("binned_within"))
+
+
+@register("classifier_exact_roc")
+def q_classifier_exact_roc(spark, sf_dir):
+    """Every point of the logistic model's curve on the test part."""
+    return exact_roc(*_fitted_classifiers(spark, sf_dir))
+
+
 @register("classifier_roc")
 def q_classifier_roc(spark, sf_dir):
     return logistic_roc(*_fitted_classifiers(spark, sf_dir))
@@ -792,9 +988,6 @@ def q_delay_cause_pca(spark, sf_dir):
 
 # --- What the fitted models must satisfy, in SQL ---------------------------------
 
-_SPLIT_COLUMNS = ["OnTime", "DepDelay", "Distance", "TaxiIn", "TaxiOut"]
-
-
 @register("classifier_split_counts", _sql_f(f"""
 , c as (select {', '.join(_SPLIT_COLUMNS)}, count(*) as n from ot group by all)
 , r as (select *, unnest(generate_series(1, n)) as i from c)
@@ -843,19 +1036,37 @@ def q_pca_inertia(spark, sf_dir):
     return parts.select(F.lit(k).cast("bigint").alias("components"), F.round(total, 6).alias("inertia"))
 
 
+@register("pca_spectrum", """
+with x as (select vec_id, unnest(cast(embedding as double[])) as v, generate_subscripts(embedding, 1) as d from embeddings)
+, b as (select d, min(v) as mn, max(v) as mx from x group by 1)
+, z as (select vec_id, x.d, (v - mn) / (mx - mn) as v from x join b on x.d = b.d)
+, m as (select p.d as i, q.d as j, covar_samp(p.v, q.v) as c from z p join z q on p.vec_id = q.vec_id group by 1, 2)
+select count(distinct i) as components, 1.0e0 as first, round(sum(c * c) / (sum(case when i = j then c end) ** 2), 9) as second from m
+""")
+def q_pca_spectrum(spark, sf_dir):
+    """ML17, R17: the spectrum's moments; SQL has the second from the covariance matrix, without eigenvalues."""
+    moments = certificates.spectrum_moments(pca_variance(spark, _scaled_embeddings(spark, sf_dir)))
+    return moments.select("components", F.round("first", 9).alias("first"), F.round("second", 9).alias("second"))
+
+
 @register("kmeans_assignment", """
-select count(*) as n_points, cast(5 as bigint) as n_clusters, cast(0 as bigint) as misplaced from embeddings
+with x as (select vec_id, unnest(cast(embedding as double[])) as v, generate_subscripts(embedding, 1) as d from embeddings)
+, b as (select d, min(v) as mn, max(v) as mx from x group by 1)
+, s as (select sum(var) as total from (select var_pop((v - mn) / (mx - mn)) * count(*) as var from x join b on x.d = b.d group by x.d))
+, n as (select count(*) as n_points from embeddings)
+select cast(unnest(range(2, 9)) as integer) as k, n_points, round(total, 2) as total from n, s
 """)
 def q_kmeans_assignment(spark, sf_dir):
-    """Every point is counted in one of k clusters, and that of its nearest centre."""
-    projected = pca_project(_scaled_embeddings(spark, sf_dir), keep=("vec_id",))
-    model = KMeans(k=5, seed=42, featuresCol="pcs").fit(fit_layout(projected, ["PC1", "PC2", "PC3"]))
-    distance = [sum(((F.col(f"PC{i + 1}") - float(c[i])) ** 2 for i in range(1, 3)), (F.col("PC1") - float(c[0])) ** 2)
-                for c in model.clusterCenters()]
-    own = F.element_at(F.array(*distance), F.col("prediction") + 1)
-    return model.transform(projected).agg(
-        F.count(F.lit(1)).alias("n_points"), F.count_distinct("prediction").alias("n_clusters"),
-        F.count_if(own > F.least(*distance) + 1e-9).alias("misplaced"))
+    """ML19, R18 at full rank: for each k, squares within clusters and between centres add up to the total, which SQL
+    knows; so every point is counted with its own centre, and every centre is the mean of its points."""
+    scaled = _scaled_embeddings(spark, sf_dir).select("vec_id", "features")
+    points = cut_lineage(fit_layout(scaled, ["vec_id"]))
+    parts = []
+    for k in range(2, 9):
+        model = KMeans(k=k, seed=42, maxIter=100, tol=1e-9).fit(points)
+        sums = certificates.kmeans_sums(model, points)
+        parts.append(sums.select(F.lit(k).alias("k"), "n_points", F.round(F.col("within") + F.col("between"), 2).alias("total")))
+    return union_all(*parts)
 
 
 @register("cluster_sample_counts", """

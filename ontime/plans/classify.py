@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ontime.plans.evaluate import confusion_metrics, roc_points
 from ontime.plans.ml_common import fit_layout, hash_split
+from ontime.plans.model_store import ModelStore
 from ontime.session import checkpoint_dir
 
 # The report's features.
@@ -91,6 +92,14 @@ def split_and_train(flights: DataFrame, seed: int = 42, fraction: float = 0.7):
         data.unpersist()
 
 
+def stored_split_and_train(flights: DataFrame, store: ModelStore, seed: int = 42, fraction: float = 0.7):
+    """R12 with the fits kept on shared storage (S9): (models, test), read back if any session fitted equal rows."""
+    data = classification_set(flights)
+    train, test = hash_split(data, fraction=fraction, seed=seed)
+    models = store.fitted("classifiers", data, lambda: train_classifiers(train, seed=seed), seed=seed, fraction=fraction)
+    return models, test
+
+
 def scored_by_all(models: dict, test: DataFrame) -> DataFrame:
     """(Classifier, label, prediction, probability of class 1): every model applied
     in one pass over the test rows, one output row per model."""

@@ -17,7 +17,7 @@ from ontime.plans import classify, cluster, reports, stats
 
 class FlightReports:
     def __init__(self, spark: SparkSession, flights: DataFrame, carriers: DataFrame, airports: DataFrame,
-                 seed: int = 42, cluster_columns=None, fit_on_training: bool = False, columns=None):
+                 seed: int = 42, cluster_columns=None, fit_on_training: bool = False, columns=None, model_store=None):
         self.spark, self.flights, self.carriers, self.airports = spark, flights, carriers, airports
         self.seed = seed
         # ``columns``: the columns for R11 and R16-R19 (only those that hold features are clustered)
@@ -27,6 +27,8 @@ class FlightReports:
         # False: scaler and PCA see all rows before the split, as the dashboard did;
         # True: they are fitted on the training part only.
         self.fit_on_training = fit_on_training
+        # a ModelStore: fits are read from it where any session saved them for the same rows
+        self.model_store = model_store
         self._split = None
         self._classifiers = None
         self._cluster_table = None
@@ -69,7 +71,10 @@ class FlightReports:
 
     def _fitted(self):
         if self._classifiers is None:
-            self._classifiers = classify.split_and_train(self.flights, seed=self.seed)
+            if self.model_store is None:
+                self._classifiers = classify.split_and_train(self.flights, seed=self.seed)
+            else:
+                self._classifiers = classify.stored_split_and_train(self.flights, self.model_store, seed=self.seed)
         return self._classifiers
 
     def classifier_comparison(self) -> DataFrame:

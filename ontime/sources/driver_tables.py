@@ -8,10 +8,11 @@ The same definitions are given as SQL text for the DuckDB oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime.operators.sizing import bounded_broadcast
+from ontime.sources.store import Layout, buckets_for, fingerprint, stored
 
 
 def flight_view(t: dict[str, DataFrame]) -> DataFrame:
@@ -54,6 +55,30 @@ def flight_view(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+# Part of a stored table's key: raise it when flight_view changes.
+FACT_VERSION = "flights-1"
+FACT_TABLES = ("lineitem", "orders", "customer", "supplier")
+
+
+def fact_key(spark: SparkSession, sf_dir: str) -> str:
+    """What the stored tables of a folder are known by: its source files as they are now."""
+    return fingerprint(spark, [f"{sf_dir.rstrip('/')}/{n}.parquet" for n in FACT_TABLES], FACT_VERSION)
+
+
+def stored_flights(t: dict[str, DataFrame], key: str) -> DataFrame:
+    """F written once: a folder per year, bucketed and sorted by the order key (which spreads evenly, as a carrier may not)."""
+    lineitem = t["lineitem"]
+    layout = Layout(("l_orderkey",), buckets_for(lineitem.count()), ("Year",), ("l_orderkey", "l_linenumber"))
+    return stored(lineitem.sparkSession, "flights", key, lambda: flight_view(t), layout)
+
+
+def stored_orders(t: dict[str, DataFrame], key: str) -> DataFrame:
+    """orders in the buckets of F, so that both join on the order key without an exchange."""
+    orders = t["orders"]
+    layout = Layout(("o_orderkey",), buckets_for(t["lineitem"].count()), (), ("o_orderkey",))
+    return stored(orders.sparkSession, "orders", key, lambda: orders.select("o_orderkey", "o_orderpriority", "o_totalprice"), layout)
+
+
 def brand_route_view(t: dict[str, DataFrame]) -> DataFrame:
     """Carrier with a (part brand, customer nation) 'route' per lineitem: a
     pair with varied distinct counts per carrier (F has 25 routes for all)."""
