@@ -239,13 +239,9 @@ def salvage(stream, packed: bool = True):
 # ---- Spark ----
 
 def revisit_plan(pages: DataFrame, id_col: str, payload_col: str, min_revisit_bytes: int = 0) -> DataFrame:
-    """Every row with _payload, _digest, _bytes and _winner (the id of the response; NULL: it is one itself)."""
-    @F.arrow_udf("string")
-    def digest(payloads: pa.Array) -> pa.Array:
-        return pa.array([base32_sha1(p.as_py()) for p in payloads], pa.string())
-
-    rows = (pages.withColumn("_payload", F.coalesce(utf8(payload_col), F.lit(b"")))
-            .withColumn("_digest", digest("_payload")).withColumn("_bytes", F.length("_payload").cast("bigint")))
+    """Every row with _payload, _digest (SHA-1, binary), _bytes and _winner (the id of the response; NULL: it is one itself)."""
+    rows = pages.withColumn("_payload", F.coalesce(utf8(payload_col), F.lit(b"")))
+    rows = rows.withColumn("_digest", F.unhex(F.sha1("_payload"))).withColumn("_bytes", F.length("_payload").cast("bigint"))
     winners = (rows.where(F.col("_bytes") >= min_revisit_bytes).groupBy("_digest", "_bytes")
                .agg(F.max(id_col).alias("_winner"), F.count("*").alias("_copies")).where("_copies > 1").drop("_copies"))
     return (rows.join(winners, ["_digest", "_bytes"], "left")
@@ -272,7 +268,7 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
 
         for batch in batches:
             for page, url, payload, digest, length, winner in zip(*(c.to_pylist() for c in batch.columns)):
-                kind = "response" if winner is None else "revisit"
+                kind, digest = "response" if winner is None else "revisit", base64.b32encode(digest).decode()
                 record = record_bytes(kind, f"{_URN}{'' if page is None else page}:{digest}", url or "", payload, digest,
                                       length, None if winner is None else f"{_URN}{winner}:{digest}")
                 member = gzip_member(record)
