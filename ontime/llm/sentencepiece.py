@@ -355,21 +355,36 @@ def load_model(path: str) -> PieceModel:
     return _models[path]
 
 
+def _encoded(model, texts: pa.Array) -> list[bytes]:
+    out, group, size = [], [], 0
+    for t in texts:
+        group.append(t.as_py() or "")
+        size += len(group[-1])
+        if size > _BATCH_CHARS:
+            out += model.encode_all(group)
+            group, size = [], 0
+    return out + model.encode_all(group)
+
+
 def encode(text: Column, model_path: str) -> Column:
     """BINARY column: little-endian uint32 ids; empty for NULL."""
     @F.arrow_udf("binary")
     def ids(texts: pa.Array) -> pa.Array:
-        model, out, group, size = load_model(model_path), [], [], 0
-        for t in texts:
-            group.append(t.as_py() or "")
-            size += len(group[-1])
-            if size > _BATCH_CHARS:
-                out += model.encode_all(group)
-                group, size = [], 0
-        return pa.array(out + model.encode_all(group), pa.binary())
+        return pa.array(_encoded(load_model(model_path), texts), pa.binary())
     return ids(text)
 
 
+def round_trip(text: Column, model_path: str) -> Column:
+    """STRUCT column (ids, back): :func:`encode` and what :func:`decode` makes of it, in one call."""
+    @F.arrow_udf("struct<ids:binary,back:string>")
+    def both(texts: pa.Array) -> pa.Array:
+        model = load_model(model_path)
+        ids = _encoded(model, texts)
+        return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array([model.decode(i) for i in ids], pa.string())],
+                                          ["ids", "back"])
+    return both(text)
+
+
 def decode(ids: Column, model_path: str) -> Column:
     """STRING column: the text of ids as :func:`encode` gives them."""
     @F.arrow_udf("string")
