@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ontime.llm.common import hash_sample, with_row
-from ontime.llm.text_stats import COUNTS, feature_matrix, text_stats
+from ontime.llm.common import hash_sample, utf8, with_row
+from ontime.llm.text_stats import COUNTS, feature_matrix, text_counts, text_stats
 from ontime.session import cut_lineage
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
@@ -159,6 +159,18 @@ def filter_by_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                     **options) -> DataFrame:
     """The documents that pass the base rules and the calibrated forest; all columns stay."""
     model = fit_rules(stats_table(docs, id_col, text_col), labels, id_col, **options)
-    judged = with_row(docs, text_stats(F.col(text_col)).alias("_s"))
-    ok = ~(base_failed("_s.")) & (_anomaly(model.forest)(F.col("_s")) <= model.threshold)
-    return judged.where(ok).select("_row.*")
+    passes = _passes(model)
+    return with_row(docs, passes(utf8(text_col)).alias("_ok")).where("_ok").select("_row.*")
+
+
+def _passes(model: RuleModel):
+    """Text -> whether it passes the base rules and the forest; the counts are taken once."""
+    @F.arrow_udf("boolean")
+    def passes(texts: pa.Array) -> pa.Array:
+        counts = np.array([text_counts(t.as_py()) for t in texts], np.int64).reshape(-1, len(COUNTS))
+        words, repeated = counts[:, COUNTS.index("n_words")], counts[:, COUNTS.index("n_repeat_words")]
+        ok = (words >= MIN_WORDS) & (100 * repeated <= MAX_REPEAT_PERCENT * words)
+        if model.forest:
+            ok[ok] = model.forest.scores(feature_matrix(counts[ok])) <= model.threshold
+        return pa.array(ok)
+    return passes
