@@ -70,16 +70,22 @@ def held_out(id_col: Column | str) -> Column:
 
 
 def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
-    """At most ``n`` rows, the smallest by a seeded hash of ``key``: the same rows on any layout.
+    """At most ``n`` distinct rows, the smallest by a seeded hash of the whole row: the same rows on any layout.
 
-    A cut at the share of hashes that ``n`` rows need, with a margin, comes
-    first, so that tasks do not each send ``n`` rows to be merged.
+    A histogram of the distinct rows over the hash's upper 16 bits gives the cut that
+    holds the first ``n`` of them (all, if there are no more), so that tasks do not
+    each send ``n`` rows to be merged. Rows that share a key are told apart by their values.
     """
-    h, total = F.xxhash64(F.lit(42), F.col(key)), df.count()
-    share = (n + 10 * n ** 0.5 + 100) / max(1, total)
-    if share < 1:
-        df = df.where(h < int(share * 2 ** 64) - 2 ** 63)
-    return df.orderBy(h, F.col(key)).limit(n)
+    h = F.xxhash64(F.lit(42), *[F.col(f"`{c}`") for c in df.columns])
+    upper = F.shiftright(h, 48)
+    counts = sorted(tuple(r) for r in df.select(h.alias("h")).distinct().groupBy(F.shiftright("h", 48).alias("b")).count().collect())
+    held = 0
+    for bucket, count in counts:
+        held += count
+        if held >= n:
+            df = df.where(upper <= bucket)
+            break
+    return df.dropDuplicates().orderBy(h, F.col(key)).limit(n)
 
 
 def windows_of(values: np.ndarray, width: int) -> np.ndarray:
