@@ -124,7 +124,7 @@ def build_index(rows: DataFrame, id_col: str, vec_col: str, centroids: int, samp
         return None
     x = np.stack(sample.sort_values(id_col, kind="stable")[vec_col].to_numpy()).astype(np.float64)
     x = x[np.sort(np.unique(x, axis=0, return_index=True)[1])]  # copies would take up centroids
-    half = x.shape[1] // 2
+    half = max(1, x.shape[1] // 2)  # one component: the second half is empty, with equal sums
     index = MultiIndex(kmeans(x[:, :half], centroids), kmeans(x[:, half:], centroids, seed=43))
     vectors = rows.groupBy(_cell_column(index, x.shape[1])(vec_col).alias("cell"), F.xxhash64(vec_col).alias("vector")).count()
     n = vectors.groupBy("cell").agg(F.count("*").alias("distinct"), F.sum("count").alias("rows")).toPandas()
@@ -165,41 +165,46 @@ def search(rows: DataFrame, queries: Column, id_col: str = "vec_id", vec_col: st
     spark = rows.sparkSession
     width = _usual_width(rows, vec_col)
     good = rows.where(F.col(id_col).isNotNull() & usable(F.col(vec_col), width)).select(F.col(id_col).cast("bigint"), vec_col)
-    index = build_index(good, id_col, vec_col, centroids, sample_rows) if width > 1 else None
+    index = build_index(good, id_col, vec_col, centroids, sample_rows) if width else None
     if index is None:
         return spark.createDataFrame([], schema)
     total = int(index.counts.sum())
     wanted = min(total, max(k + 1, int(np.ceil(candidates * total))))
     start, parts, n_blocks = _block_layout(index.rows, block_rows)
     n_query_blocks = max(1, -(-good.where(queries).count() // query_block))
-    cell = _cell_column(index, width)
 
-    @F.arrow_udf("int")
-    def block(cells: pa.Array, salt: pa.Array) -> pa.Array:
-        c = cells.to_numpy(zero_copy_only=False)
-        return pa.array((start[c] + salt.to_numpy(zero_copy_only=False) % parts[c]).astype(np.int32))
+    @F.arrow_udf("struct<cell:int,block:int>")
+    def place(vectors: pa.Array, salt: pa.Array) -> pa.Array:
+        c = index.cell_of(_matrix(vectors, width))
+        block = start[c] + salt.to_numpy(zero_copy_only=False) % parts[c]
+        return pa.StructArray.from_arrays([pa.array(c.astype(np.int32)), pa.array(block.astype(np.int32))], ["cell", "block"])
 
     @F.arrow_udf("binary")
     def bitmap(vectors: pa.Array) -> pa.Array:
         return pa.array([np.packbits(index.visited(q, wanted)).tobytes() for q in _matrix(vectors, width)], pa.binary())
 
     salt = F.pmod(F.xxhash64(id_col, vec_col), F.lit(1 << 30))
-    stored = (good.withColumn("cell", cell(vec_col)).withColumn("block", block("cell", salt)).groupBy("block")
-              .agg(F.collect_list(F.struct(F.col(id_col).alias("id"), "cell", F.col(vec_col).alias("vec"))).alias("stored")))
-    asked = (good.where(queries).withColumn("cells", bitmap(vec_col))
-             .groupBy(F.pmod(F.xxhash64(F.lit(7), id_col), F.lit(n_query_blocks)).alias("query_block"))
-             .agg(F.collect_list(F.struct(F.col(id_col).alias("id"), "cells", F.col(vec_col).alias("vec"))).alias("asked"))
+    placed = good.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"), place(vec_col, salt).alias("p"))
+    # never NULL, and known to be: else the join would filter by the function once more
+    stored = (placed.select("id", "vec", "p.cell", F.coalesce("p.block", F.lit(0)).alias("block")).groupBy("block")
+              .agg(F.collect_list(F.struct("id", "cell", "vec")).alias("stored")))
+    # rows equal in id and vector are one query, answered as often as they stand there
+    each = (good.where(queries).select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"), bitmap(vec_col).alias("cells"))
+            .groupBy("id", "vec").agg(F.count(F.lit(1)).alias("times"), F.first("cells").alias("cells")))
+    asked = (each.withColumn("number", F.xxhash64("vec"))
+             .groupBy(F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(n_query_blocks)).alias("query_block"))
+             .agg(F.collect_list(F.struct("id", "cells", "vec", "number", "times")).alias("asked"))
              .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
 
     n_cells = index.cells
 
     def score(batches):
         for batch in batches:
-            out = ([], [], [])
+            out = ([], [], [], [], [])
             for a, s in zip(batch.column(0), batch.column(1)):
-                qid, bits, q = a.values.flatten()
+                qid, bits, q, number, times = a.values.flatten()
                 rid, at, x = s.values.flatten()
-                qid, rid, at = (v.to_numpy(zero_copy_only=False) for v in (qid, rid, at))
+                qid, rid, at, number, times = (v.to_numpy(zero_copy_only=False) for v in (qid, rid, at, number, times))
                 q, x = _matrix(q, width), _matrix(x, width)
                 visits = np.unpackbits(np.frombuffer(b"".join(bits.to_pylist()), np.uint8).reshape(len(qid), -1),
                                        axis=1)[:, :n_cells].astype(bool)
@@ -215,11 +220,16 @@ def search(rows: DataFrame, queries: Column, id_col: str = "vec_id", vec_col: st
                     out[0].append(np.full(len(best), qid[i]))
                     out[1].append(rid[found][best])
                     out[2].append(exact[best])
+                    out[3].append(np.full(len(best), number[i]))
+                    out[4].append(np.full(len(best), times[i]))
             joined = [np.concatenate(c) if c else np.zeros(0) for c in out]
-            yield pa.RecordBatch.from_arrays([pa.array(joined[0].astype(np.int64)), pa.array(joined[1].astype(np.int64)),
-                                              pa.array(joined[2], pa.float64())], ["query_id", id_col, "score"])
-
-    found = asked.join(stored, "block").select("asked", "stored").mapInArrow(score, f"query_id bigint, {id_col} bigint, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), id_col)
-    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", id_col, "score"))
+            whole = [pa.array(joined[c].astype(np.int64)) for c in (0, 1, 3, 4)]
+            yield pa.RecordBatch.from_arrays([whole[0], whole[1], pa.array(joined[2], pa.float64()), whole[2], whole[3]],
+                                             ["query_id", "id", "score", "number", "times"])
+
+    found = asked.join(stored, "block").select("asked", "stored").mapInArrow(
+        score, "query_id bigint, id bigint, score double, number bigint, times bigint")
+    order = Window.partitionBy("query_id", "number").orderBy(F.desc("score"), "id")
+    best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    copies = F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int")))
+    return best.withColumn("copy", copies).select("query_id", "rank", F.col("id").alias(id_col), "score")

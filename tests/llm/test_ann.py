@@ -114,3 +114,31 @@ def test_blocks_split_large_cells():
     start, parts, n = ann._block_layout(np.array([3, 0, 100, 5, 5]), 10)
     assert parts.tolist() == [1, 1, 10, 1, 1] and n == max(start + parts)
     assert set(range(start[2], start[2] + 10)).isdisjoint({start[0], start[3], start[4]})
+
+
+def test_one_component_and_repeated_query_ids(spark):
+    """One-wide vectors, two queries of one id, and two equal query rows: each is answered on its own."""
+    rows = [(i, [float(i % 7 - 3)]) for i in range(1, 40)]
+    got = ann.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), F.col("vec_id") % 20 == 0, k=3,
+                     candidates=1.0).collect()
+    want = sorted((r for r in rows if r[0] != 20 and r[1] != [0.0]), key=lambda r: (-r[1][0] * (20 % 7 - 3), r[0]))[:3]
+    assert [(r.rank, r.vec_id) for r in sorted(got, key=lambda r: r["rank"])] == [(i + 1, r[0]) for i, r in enumerate(want)]
+    rng = np.random.default_rng(4)
+    rows = [(0, v.tolist()) for v in rng.normal(size=(2, 6))] + [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(60, 6)), 1)]
+    rows.append(rows[0])
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted((r["rank"], r.vec_id, round(r.score, 9)) for r in ann.search(df, F.col("vec_id") == 0, k=4, candidates=1.0).collect())
+    want = []
+    for _, q in (rows[0], rows[1], rows[0]):
+        near = sorted(((-float(np.dot(q, v)), i) for i, v in rows if i != 0))[:4]
+        want += [(n + 1, i, round(-s, 9)) for n, (s, i) in enumerate(near)]
+    assert got == sorted(want)
+
+
+def test_few_ids_keep_their_sample(spark):
+    """Half of the rows share an id: the index is built from all the same (a sample by id alone may be empty)."""
+    rng = np.random.default_rng(6)
+    rows = [(3 if i % 2 else 20, v.tolist()) for i, v in enumerate(rng.normal(size=(600, 4)))]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = ann.search(df, F.col("vec_id") == 20, k=5, sample_rows=50)
+    assert got.count() == 300 * 5
