@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +36,7 @@ from ontime.plans.classify import (
     exact_roc,
     feature_importance,
     logistic_roc,
+    scored_by_all,
     stored_split_and_train,
 )
 from ontime.plans.cluster import (
@@ -1004,18 +1005,21 @@ def q_classifier_split_counts(spark, sf_dir):
                        for p, name in zip(parts, ("training", "testing"))])
 
 
-@register("classifier_checks", """
-select unnest(['Decision Tree', 'Gradient Boosted Trees', 'Logistic', 'Random Forest']) as Classifier,
-       true as in_range, true as recall_is_accuracy, true as beats_majority
-""")
+@register("classifier_checks", _sql_f(_PARTS_SQL + """
+, t as (select count(*) as test_rows, round(greatest(avg(OnTime), 1 - avg(OnTime)), 9) as majority from parts where not training)
+select unnest(['Decision Tree', 'Gradient Boosted Trees', 'Logistic', 'Random Forest']) as Classifier, test_rows, majority,
+       true as in_range, true as recall_is_accuracy, true as beats_majority from t
+""", ot=_ON_TIME_SQL))
 def q_classifier_checks(spark, sf_dir):
     """Each model's metrics lie in [0, 1], weighted recall is accuracy, and no
     model is worse than always naming the larger class."""
     models, test = _fitted_classifiers(spark, sf_dir)
     wide = classifier_comparison(models, test).groupBy("Classifier").pivot(
         "Metric", ["accuracy", "f1", "weightedPrecision", "weightedRecall"]).agg(F.first("Performance"))
+    rows = frequency(scored_by_all(models, test).select("Classifier"), "Classifier", name="test_rows")
     late = test.agg(F.avg("OnTime").alias("p")).select(F.greatest("p", 1 - F.col("p"))).scalar()
-    return wide.select("Classifier", F.forall(F.array("accuracy", "f1", "weightedPrecision", "weightedRecall"),
+    return wide.join(rows, "Classifier").select(
+        "Classifier", "test_rows", F.round(late, 9).alias("majority"), F.forall(F.array("accuracy", "f1", "weightedPrecision", "weightedRecall"),
                                               lambda m: m.between(0, 1)).alias("in_range"),
                        (F.abs(F.col("accuracy") - F.col("weightedRecall")) < 1e-9).alias("recall_is_accuracy"),
                        (F.col("accuracy") >= late - 1e-9).alias("beats_majority"))
@@ -1069,10 +1073,18 @@ def q_kmeans_assignment(spark, sf_dir):
     return union_all(*parts)
 
 
-@register("cluster_sample_counts", """
-select cast(unnest(range(5)) as integer) as prediction, cast(10 as bigint) as n
+@register("cluster_sample_counts", f"""
+select count(*) as test_rows, true as whole_without_a_bite, true as ten_with_one from embeddings
+where {sql_hash_key('vec_id')} >= {fraction_threshold(0.7)}
 """)
 def q_cluster_sample_counts(spark, sf_dir):
-    """R19 with a limit that bites: ten test rows of each cluster."""
-    projected = pca_project(_scaled_embeddings(spark, sf_dir), keep=("vec_id",))
-    return frequency(cluster_sample(projected, k=5, points=50, id_col="vec_id", key_cols=["vec_id"]), "prediction")
+    """A limit above every cluster's size gives the whole test part; one of ten gives ten of each cluster, or all."""
+    projected = cut_lineage(pca_project(_scaled_embeddings(spark, sf_dir), keep=("vec_id",)).drop("pcs"))
+    projected = projected.withColumn("pcs", array_to_vector(F.array("PC1", "PC2", "PC3")))
+    n = projected.count()
+    sizes = frequency(cluster_sample(projected, k=5, points=5 * n, id_col="vec_id", key_cols=["vec_id"]), "prediction")
+    ten = frequency(cluster_sample(projected, k=5, points=50, id_col="vec_id", key_cols=["vec_id"]), "prediction", name="ten")
+    both = sizes.join(ten, "prediction", "full")
+    test = hash_split(projected.select("vec_id"), ["vec_id"])[1].count()
+    return both.agg(F.sum("n").alias("test_rows"), (F.sum("n") == test).alias("whole_without_a_bite"),
+                    F.bool_and(F.coalesce(F.col("ten") == F.least("n", F.lit(10)), F.lit(False))).alias("ten_with_one"))

@@ -95,9 +95,15 @@ def split_and_train(flights: DataFrame, seed: int = 42, fraction: float = 0.7):
 def stored_split_and_train(flights: DataFrame, store: ModelStore, seed: int = 42, fraction: float = 0.7):
     """R12 with the fits kept on shared storage (S9): (models, test), read back if any session fitted equal rows."""
     data = classification_set(flights)
-    train, test = hash_split(data, fraction=fraction, seed=seed)
-    models = store.fitted("classifiers", data, lambda: train_classifiers(train, seed=seed), seed=seed, fraction=fraction)
-    return models, test
+    _, test = hash_split(data, fraction=fraction, seed=seed)
+
+    def fit():
+        kept = data.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return train_classifiers(hash_split(kept, fraction=fraction, seed=seed)[0], seed=seed)
+        finally:
+            kept.unpersist()
+    return store.fitted("classifiers", data, fit, seed=seed, fraction=fraction), test
 
 
 def scored_by_all(models: dict, test: DataFrame) -> DataFrame:

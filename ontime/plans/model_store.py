@@ -69,6 +69,8 @@ class ModelStore:
                 model.write().save(f"{attempt}/{i}")
             self.spark.createDataFrame([(json.dumps(list(models)),)], "names string").coalesce(1).write.json(f"{attempt}/names")
             self.spark.createDataFrame([(attempt,)], "attempt string").coalesce(1).write.mode("append").json(f"{path}/manifest")
+            self._loaded[known] = models
+            return models
         names = json.loads(self.spark.read.schema("names string").json(f"{attempt}/names").first()[0])
         self._loaded[known] = {part: PipelineModel.load(f"{attempt}/{i}") for i, part in enumerate(names)}
         return self._loaded[known]
