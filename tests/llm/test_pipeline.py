@@ -81,7 +81,7 @@ def test_run_equals_its_stages(spark, stages):
 
 def test_oracles(spark):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings", "labels"):
+    for t in ("documents", "pages", "embeddings", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     for name, sql in ORACLE.items():
         if name not in QUERIES:
@@ -94,9 +94,10 @@ def test_oracles(spark):
 
 
 def test_every_operator_has_a_query(spark):
-    assert [int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")] == list(range(1, 14))
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    for name in ("op1_packing", "op3_simhash", "op4_quality_rules", "op7_substring", "op8_quality", "op9_language", "op10_sentencepiece"):
+    for name in ("op1_packing", "op3_simhash", "op4_quality_rules", "op7_substring", "op8_quality", "op9_language", "op10_sentencepiece",
+                 "op11_alignment"):
         got = QUERIES[name](spark, SF).select("doc_id").distinct()
         assert got.exceptAll(docs.select("doc_id")).count() == 0 and got.count() == docs.select("doc_id").distinct().count(), name
     pages = spark.read.parquet(f"{SF}/pages.parquet")
