@@ -125,8 +125,8 @@ QUERIES = {
     "op13_ranked_search": op13_ranked_search,
 }
 
-# op1, op3-op5 and op7-op10 have no SQL form (tokenisers, learned models, graph search) or one too
-# slow on whole tables; tests/llm holds them against brute force, held-out rows or a library.
+# op1, op3-op5 and op8-op11 have no SQL form (tokenisers, hashes that DuckDB lacks, learned models, graph
+# search); tests/llm holds them against brute force, held-out rows or a library.
 ORACLE: dict[str, str] = {
     "op2_url_filters": r"""
         WITH parts AS (
@@ -151,6 +151,32 @@ ORACLE: dict[str, str] = {
                CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
                     WHEN pattern IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
         FROM ruled""",
+    "op6_warc": """
+        WITH bodies AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+        largest AS (SELECT *, max(page_id) OVER (PARTITION BY hex, payload_bytes) AS top FROM bodies),
+        -- five hexadecimal digits are four digits of base 32
+        parts AS (SELECT *, list_transform(range(0, 8), lambda i: cast('0x' || substr(hex, cast(5 * i + 1 AS integer), 5) AS integer)) AS bits
+                  FROM largest)
+        SELECT page_id, cast(payload_bytes AS bigint) AS payload_bytes,
+               array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   cast(1 + ((bits[1 + k // 4] >> cast(15 - 5 * (k % 4) AS integer)) & 31) AS integer), 1)), '') AS payload_digest,
+               CASE WHEN top IS NULL OR page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN top IS NULL OR page_id = top THEN NULL ELSE top END AS refers_to
+        FROM parts""",
+    "op7_substring": r"""
+        WITH docs AS MATERIALIZED (
+          SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+          FROM documents),
+        starts AS (SELECT doc, words, unnest(range(1, len(words) - 33)) AS s FROM docs),
+        windows AS MATERIALIZED (SELECT doc, s, md5(array_to_string(words[s:s + 34], ' ')) AS w FROM starts),
+        repeated AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+        covered AS (SELECT DISTINCT doc, unnest(range(s, s + 35)) AS pos FROM windows JOIN repeated USING (w)),
+        words_of AS (SELECT doc, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM docs),
+        kept AS (SELECT doc, count(*) AS n_kept, string_agg(word, ' ' ORDER BY pos) AS kept_text
+                 FROM words_of ANTI JOIN covered USING (doc, pos) GROUP BY doc)
+        SELECT doc_id, cast(len(words) AS bigint) AS n_words, cast(len(words) - coalesce(n_kept, 0) AS bigint) AS n_removed,
+               sha256(coalesce(kept_text, '')) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (doc)""",
     "op12_near_vectors": """
         WITH RECURSIVE vectors AS MATERIALIZED (
           SELECT vec_id, label, cast(embedding AS double[]) AS e FROM embeddings
