@@ -9,8 +9,10 @@ Each task attempt writes its own archives (rolled at ``max_archive_bytes``) to a
 shared folder; the result lists those of the attempts that succeeded, so a
 lost task is simply run again and what it left is never read.
 
-Reader. Archives are streamed, one record in memory at a time. A record must
-pass its checks: the gzip checksum, the version line, Content-Length, the
+Reader. Archives are read by offset, with one record (or gzip member) and a
+read-ahead of fixed size in memory. A plain record's end is looked at before
+its block is read, so a wrong Content-Length neither fills memory nor makes
+the reader pass over the archive again. A record must pass its checks: the gzip checksum, the version line, Content-Length, the
 block digest. After a failed check the reader looks for the next place where
 a gzip member decompresses to a version line (or, in plain archives, for the
 next version line), goes on there, and logs the bytes in between as a
@@ -45,7 +47,10 @@ from ontime.session import checkpoint_dir, cut_lineage
 VERSION = b"WARC/1.1"
 _ANY_VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _GZIP = b"\x1f\x8b\x08"
+_PACKED_START = re.compile(re.escape(_GZIP) + rb"|WARC/1\.[01]\r\n")
+_END = b"\r\n\r\n"
 _READ = 1 << 16
+_STEP = 1 << 14
 _URN = "urn:ontime:page:"
 _EPOCH = "1970-01-01T00:00:00Z"
 
@@ -84,94 +89,122 @@ class BadRecord(Exception):
     """A failed check; the message is the reason that the log gives."""
 
 
-def parse_record(data: bytes) -> tuple[dict[str, str], bytes, int]:
-    """Headers (lower-case names), block and total size of the record at the start of ``data``."""
-    m = _ANY_VERSION.match(data)
+class _Archive:
+    """Bytes of a seekable file by absolute offset, read ahead in steps of ``_READ``."""
+
+    def __init__(self, file):
+        self.file, self.at, self.data = file, 0, b""
+        self.size = file.seek(0, io.SEEK_END)
+
+    def _fetch(self, at: int, n: int) -> bytes:
+        self.file.seek(at)
+        parts, left = [], n
+        while left and (part := self.file.read(left)):
+            parts.append(part)
+            left -= len(part)
+        return parts[0] if len(parts) == 1 else b"".join(parts)
+
+    def read(self, at: int, n: int) -> bytes:
+        """``n`` bytes from ``at``, or what is left of them."""
+        n = max(0, min(n, self.size - at))
+        skip = at - self.at
+        if skip < 0 or skip + n > len(self.data):
+            if n >= _READ:
+                return self._fetch(at, n)
+            self.at, self.data, skip = at, self._fetch(at, min(_READ, self.size - at)), 0
+        return self.data[skip:skip + n]
+
+
+def _header_lines(archive: _Archive, at: int) -> tuple[list[bytes], int]:
+    """Header lines from ``at`` and the offset after the empty line; reading ends at the first line that is none."""
+    lines, data, first = [], bytearray(), 0
+    while True:
+        end = data.find(b"\r\n", first)
+        while end < 0:
+            more = archive.read(at + len(data), _STEP)
+            if not more:
+                raise BadRecord("unfinished header")
+            seen = max(first, len(data) - 1)
+            data += more
+            end = data.find(b"\r\n", seen)
+        if end == first:
+            return lines, at + end + 2
+        lines.append(bytes(data[first:end]))
+        if b":" not in lines[-1]:
+            raise BadRecord("bad header line")
+        first = end + 2
+
+
+def _record_at(archive: _Archive, at: int) -> tuple[dict[str, str], bytes, int]:
+    """Headers (lower-case names), block and total size of the record at an offset."""
+    m = _ANY_VERSION.match(archive.read(at, 10))
     if not m:
         raise BadRecord("no version line")
-    end = data.find(b"\r\n\r\n")
-    if end < 0:
-        raise BadRecord("unfinished header")
+    lines, start = _header_lines(archive, at + m.end())
     headers = {}
-    for line in data[m.end():end].split(b"\r\n"):
-        name, colon, value = line.partition(b":")
-        if not colon:
-            raise BadRecord("bad header line")
+    for line in lines:
+        name, _, value = line.partition(b":")
         headers[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-    if not headers.get("content-length", "").isdigit():
+    length = headers.get("content-length", "")
+    if not (length.isascii() and length.isdigit()):
         raise BadRecord("no Content-Length")
     if not all(headers.get(name) for name in ("warc-record-id", "warc-type", "warc-date")):
         raise BadRecord("mandatory header missing")
-    start, size = end + 4, int(headers["content-length"])
-    block = data[start:start + size]
-    if len(block) < size or data[start + size:start + size + 4] != b"\r\n\r\n":
+    size = int(length) if len(length) < 19 else archive.size
+    # the end is looked at before the block, so that a wrong length costs no reading
+    if start + size + 4 > archive.size or (size >= _READ and archive.read(start + size, 4) != _END):
         raise BadRecord("truncated record")
+    block = archive.read(start, size + 4)
+    if block[size:] != _END:
+        raise BadRecord("truncated record")
+    block = block[:size]
     digest = headers.get("warc-block-digest", "")
     if digest.startswith("sha1:") and digest[5:] != base32_sha1(block):
         raise BadRecord("block digest differs")
-    return headers, block, start + size + 4
-
-
-# ---- salvage ----
-
-class _Window:
-    """A growing view of a stream: bytes from absolute offset ``at``."""
+    return headers, block, start + size + 4 - at
 
-    def __init__(self, stream):
-        self.stream, self.at, self.data, self.ended = stream, 0, b"", False
 
-    def more(self) -> bool:
-        chunk = b"" if self.ended else self.stream.read(_READ)
-        self.ended = not chunk
-        self.data += chunk
-        return bool(chunk)
+def parse_record(data: bytes) -> tuple[dict[str, str], bytes, int]:
+    """Headers (lower-case names), block and total size of the record at the start of ``data``."""
+    return _record_at(_Archive(io.BytesIO(data)), 0)
 
-    def drop(self, n: int) -> None:
-        self.data, self.at = self.data[n:], self.at + n
 
+# ---- salvage ----
 
-def _member(w: _Window, probe: bool = False) -> tuple[bytes, int]:
-    """Decompress the gzip member at the window's start; with ``probe``, only until its first bytes."""
-    z, out, fed = zlib.decompressobj(31), [], 0
+def _member(archive: _Archive, at: int, probe: bool = False) -> tuple[bytes, int]:
+    """The decompressed gzip member at an offset and its size; with ``probe``, only its first bytes."""
+    z, out, fed = zlib.decompressobj(31), [], at
     try:
-        while True:
-            if fed == len(w.data) and not w.more():
+        while not z.eof:
+            chunk = archive.read(fed, _STEP)
+            if not chunk:
                 raise BadRecord("truncated member")
-            got = z.decompress(w.data[fed:])
-            fed = len(w.data)
-            out.append(got)
+            fed += len(chunk)
+            out.append(z.decompress(chunk, 64 if probe else 0))
             if probe and sum(map(len, out)) >= 10:
-                return b"".join(out), 0
-            if z.eof:
-                return b"".join(out), len(w.data) - len(z.unused_data)
+                break
     except zlib.error as e:
         raise BadRecord("gzip checksum or data") from e
+    return b"".join(out), fed - len(z.unused_data) - at
 
 
-def _next_start(w: _Window, packed: bool = True) -> None:
-    """Move the window past its first byte to the next place where a record may start, or the end."""
-    skip = 1
+def _next_start(archive: _Archive, at: int, packed: bool = True) -> int:
+    """The next place after an offset where a record may start, or the end."""
+    starts = _PACKED_START if packed else _ANY_VERSION
     while True:
-        gz = w.data.find(_GZIP, skip) if packed else -1
-        plain = _ANY_VERSION.search(w.data, skip)
-        found = [x for x in (gz if gz >= 0 else None, plain.start() if plain else None) if x is not None]
-        if found:
-            w.drop(min(found))
-            if w.data[:3] != _GZIP:
-                return
+        at += 1
+        data = archive.read(at, _READ)
+        for m in starts.finditer(data):
+            if m.group() != _GZIP:
+                return at + m.start()
             try:
-                if _ANY_VERSION.match(_member(w, probe=True)[0]):
-                    return
+                if _ANY_VERSION.match(_member(archive, at + m.start(), probe=True)[0]):
+                    return at + m.start()
             except BadRecord:
                 pass
-            skip = 1
-            continue
-        tail = max(skip, len(w.data) - 12)  # a start may straddle the next read
-        w.drop(tail)
-        skip = 0
-        if not w.more():
-            w.drop(len(w.data))
-            return
+        if at + len(data) >= archive.size:
+            return archive.size
+        at += len(data) - 12  # a start may straddle two reads
 
 
 def _records_of(raw: bytes):
@@ -186,23 +219,18 @@ def _records_of(raw: bytes):
     return chain(head, [first], items)
 
 
-def salvage(stream, packed: bool = True):
-    """Yield ("record", offset, end, headers, block) and ("gap", offset, end, reason, None) of one archive.
+def salvage(file, packed: bool = True):
+    """Yield ("record", offset, end, headers, block) and ("gap", offset, end, reason, None) of one seekable archive.
 
     Offsets are those of the file; every byte belongs to one record or gap, or to one member whose records and
-    gaps share its offsets. Without ``packed`` the stream holds no gzip members.
+    gaps share its offsets. Without ``packed`` the file holds no gzip members.
     """
-    w = _Window(stream)
-    gap, reason = None, ""
-
-    def close():
-        return ("gap", gap, w.at, reason, None)
-
-    while w.data or w.more():
+    archive, at, gap, reason = _Archive(file), 0, None, ""
+    while at < archive.size:
+        several = None
         try:
-            several = None
-            if packed and (w.data[:2] == _GZIP[:2] or (len(w.data) < 2 and w.more() and w.data[:2] == _GZIP[:2])):
-                raw, size = _member(w)
+            if packed and archive.read(at, 2) == _GZIP[:2]:
+                raw, size = _member(archive, at)
                 try:
                     headers, block, used = parse_record(raw)
                 except BadRecord:
@@ -210,30 +238,22 @@ def salvage(stream, packed: bool = True):
                 if used != len(raw):
                     several = _records_of(raw)
             else:
-                while True:  # a plain record: read on while it seems cut off
-                    try:
-                        headers, block, size = parse_record(w.data)
-                        break
-                    except BadRecord as e:
-                        if str(e) not in ("unfinished header", "truncated record", "no version line") or not (
-                                len(w.data) < 10 or _ANY_VERSION.match(w.data)) or not w.more():
-                            raise
+                headers, block, size = _record_at(archive, at)
         except BadRecord as e:
             if gap is None:
-                gap, reason = w.at, str(e)
-            _next_start(w, packed)
+                gap, reason = at, str(e)
+            at = _next_start(archive, at, packed)
             continue
         if gap is not None:
-            yield close()
+            yield ("gap", gap, at, reason, None)
             gap = None
-        start = w.at
-        w.drop(size)
+        start, at = at, at + size
         if several is None:
-            yield ("record", start, w.at, headers, block)
+            yield ("record", start, at, headers, block)
         else:
-            yield from ((kind, start, w.at, what, body) for kind, _, _, what, body in several)
+            yield from ((kind, start, at, what, body) for kind, _, _, what, body in several)
     if gap is not None:
-        yield close()
+        yield ("gap", gap, at, reason, None)
 
 
 # ---- Spark ----
@@ -314,7 +334,7 @@ def read_warc(archives: DataFrame, batch_bytes: int = 16 << 20) -> DataFrame:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 fs, at = _open_fs(path)
-                with fs.open_input_stream(at, compression=None) as stream:
+                with fs.open_input_file(at) as stream:
                     for kind, start, end, what, block in salvage(stream):
                         if kind == "gap":
                             rows.append((path, start, end, what, *[None] * 7))

@@ -121,3 +121,42 @@ def test_member_of_several_records():
         assert len([i for i in items if i[0] == "gap"]) == 1
     items = list(warc.salvage(io.BytesIO(warc.gzip_member(parts[0] + b"tail"))))
     assert [i[0] for i in items] == ["record", "gap"] and items[0][4] == warc.parse_record(parts[0])[1]
+
+
+class Counting(io.BytesIO):
+    taken = 0
+
+    def read(self, n=-1):
+        got = super().read(n)
+        self.taken += len(got)
+        return got
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_long_records_are_read_a_bounded_number_of_times(packed):
+    body = random.Random(3).randbytes(8 << 20)
+    long = warc.record_bytes("response", "urn:x:long", "u", body, "X", len(body), None)
+    data = b"".join(warc.gzip_member(p) if packed else p for p in [*records(), long, *records()])
+    f = Counting(data)
+    items = list(warc.salvage(f))
+    assert [i[0] for i in items] == ["record"] * 61 and items[30][4] == body
+    assert f.taken < 2 * len(data)
+
+
+@pytest.mark.parametrize("length", [b"10", b"50000", b"999999999999", b"9" * 5000])
+def test_wrong_lengths_cost_little(length):
+    parts = records(400)
+    hurt = [p.replace(p[p.index(b"Content-Length"):].split(b"\r\n")[0], b"Content-Length: " + length) if i % 2 == 0 else p
+            for i, p in enumerate(parts)]
+    f = Counting(b"".join(hurt))
+    found = [i[3]["warc-record-id"] for i in warc.salvage(f) if i[0] == "record"]
+    assert set(f"<urn:x:{i}>" for i in range(1, 400, 2)) <= set(found)
+    assert f.taken < 500 * warc._READ  # a step of reading ahead for each damaged record at most
+
+
+def test_junk_after_a_version_line_is_not_a_header():
+    whole = records(1)[0]
+    f = Counting(b"WARC/1.1\r\n" + b"no colon\r\n" * 200000 + whole)
+    items = list(warc.salvage(f))
+    assert [i[0] for i in items] == ["gap", "record"] and items[0][3] == "bad header line"
+    assert f.taken < 2 * len(f.getvalue())
