@@ -111,17 +111,21 @@ def silhouette_points(df: DataFrame, features_col: str, cluster_col: str, centre
                           lambda a, v: a + v)
         return s["n"] * F.col("nx") + s["y"] - 2 * dot
 
-    met = (pts.withColumn("__id", F.monotonically_increasing_id())
-           .withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint"))))
+    if n_blocks > 1:  # equal points of a cluster have one value, so they meet the blocks once, under their content
+        pts = pts.groupBy("c", "x", "nx").agg(F.count(F.lit(1)).alias("copies"))
+    else:
+        pts = pts.withColumn("copies", F.lit(1).cast("bigint"))
+    met = (pts.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint"))))
            .join(blocks, "__block"))
     per = met.withColumn("d", F.transform("__t", lambda s: F.struct(
         s["c"].alias("c"), s["n"].alias("n"), mean_dist(s).alias("sum"))))
     own = F.get(F.filter("d", lambda e: e["c"] == F.col("c")), 0)
     others = F.transform(F.filter("d", lambda e: e["c"] != F.col("c")),
                          lambda e: e["sum"] / e["n"])
-    per = per.select("__id", "c", own.alias("own"), F.array_min(others).alias("b"))
+    per = per.select("c", "x", "copies", own.alias("own"), F.array_min(others).alias("b"))
     if n_blocks > 1:
-        per = per.groupBy("__id").agg(F.first("c").alias("c"), F.max("own").alias("own"), F.min("b").alias("b"))
+        per = (per.groupBy("c", "x").agg(F.max("copies").alias("copies"), F.max("own").alias("own"), F.min("b").alias("b"))
+               .withColumn("copies", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))))
     size = F.col("own.n")
     a = F.col("own.sum") / (size - 1)
     b = F.col("b")
