@@ -57,6 +57,22 @@ def test_threshold_loses_at_most_the_allowed_share():
     assert rules._threshold(bins[bins["_quality"] == 0], 0.005) == 1.0
 
 
+def test_a_forest_without_gain_rejects_nothing():
+    import pandas as pd
+    bins = pd.DataFrame({"_quality": [1, 1, 0], "_bin": [800, 1500, 700], "count": [999, 1, 50]})
+    assert rules._threshold(bins, 0.005) == 1.0
+    assert rules._threshold(bins[bins["_quality"] == 1], 0.005) == 1.0
+
+
+def test_step_forest_equals_its_trees():
+    x = np.random.default_rng(3).normal(size=(900, 4)).round(1)
+    step = rules.step_forest(x, 2, 16, 64)
+    trees = rules.grow_forest(x[:, [2]], 16, 64, seed=45)
+    odd = np.concatenate([x, np.full((1, 4), -50.0), np.full((1, 4), 50.0), np.repeat(step.cuts[:, None], 4, axis=1)])
+    assert (step.scores(odd) == trees.scores(odd[:, [2]])).all()
+    assert (rules.step_forest(np.zeros((5, 1)), 0, 4, 64).scores(np.ones((2, 1))) <= 1).all()
+
+
 @pytest.fixture(scope="module")
 def docs(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")
@@ -76,6 +92,15 @@ def test_rules_keep_clean_documents(docs, labels):
     assert rate[1] > 0.95 and rate[0] < 0.6  # quality 1 has some texts of under 10 words, which the base rules reject
 
 
+def test_forests_reject_bad_held_out_rows(docs, labels):
+    """Beyond the base rules, on rows whose labels the calibration never saw."""
+    stats = rules.stats_table(docs)
+    judged = rules.judge(stats, rules.fit_rules(stats, labels)).where("NOT base_failed").join(labels, "doc_id").collect()
+    held = [r for r in judged if zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+    bad, clean = ([not r.kept for r in held if r.quality == q] for q in (0, 1))
+    assert np.mean(bad) > 0.9 and np.mean(clean) < 0.02
+
+
 def test_classifier_on_held_out_rows(docs, labels):
     scored = gam.score_documents(docs, labels).join(labels, "doc_id").collect()
     held = [r for r in scored if zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
