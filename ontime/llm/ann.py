@@ -5,31 +5,40 @@ sample); a cell is a pair of centroids. A query sorts the centroids of each
 half by inner product and walks the pairs in order of their sum with a heap,
 until the cells hold ``candidates`` distinct vectors (or all are reached);
 copies of a vector count once, so that a hot vector does not end the walk. The
-entries of the visited cells, all copies too, are ranked by the exact inner
-product of the original vectors in double precision.
+heap holds runs: the pairs of one first centroid whose sums are within a step
+of each other. The last step is cut at the exact sum, the query's reach: it
+visits the cells whose sum is at least that. The entries of the visited cells,
+all copies too, are ranked by the exact inner product of the original vectors
+in double precision.
 
 Scale. Every row is indexed. Rows are dealt into blocks of about
 ``block_rows`` neighbouring cells; a cell with more rows (many copies of one
-vector) is split over several blocks. Queries travel in blocks with a bitmap
-of the cells they visit, and a task scores one block of queries against one
-block of rows, only where a query visits a cell. It returns at most ``k`` rows
-for a query; the rest is a ranked top-k with a map-side limit.
+vector) is split over several blocks. A query travels to the blocks that hold a
+cell it visits and to no other, in groups of at most about ``query_block``, with
+its reach instead of a list of cells; a task scores one such group against one
+block of rows. It returns at most ``k`` rows for a query; the rest is a ranked
+top-k with a map-side limit. Centroids grow with the square root of the rows, so
+a cell holds about as many rows at every size up to the bound below.
 
 Bounds. k-means sees the distinct ones of at most ``sample_rows`` vectors, the
-smallest by a seeded hash of the id. Cell counts (``centroids`` squared) come to the driver.
+smallest by a seeded hash of the row, and has a third of them as centroids at
+most, ``MAX_CENTROIDS`` a half in all. Cell counts (centroids squared) come to
+the driver.
 
 Defined cases. Vectors that are NULL, zero, hold a NULL or non-finite
 component, or differ in length from the most frequent length (ties: the
 smallest) take no part; neither do rows without an id. With fewer candidates
 than ``k`` all are returned. Ties go to the smaller id. Repeated ids are
-separate rows; a query never returns a row of its own id. Empty tables give
-empty results.
+separate rows; a query never returns a row of its own id. A query whose sums
+overflow visits every cell. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_right
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +47,10 @@ from pyspark.sql import functions as F
 
 from ontime.llm.common import hash_sample
 
+MIN_CENTROIDS, MAX_CENTROIDS = 256, 1024
+_STEPS = 16  # steps between the largest and the smallest sum of a query
+_ROUTED = 8192  # (query, block) pairs in one batch
+
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 42) -> np.ndarray:
     """Centroids of the rows of ``x`` (Lloyd's rounds from a random start)."""
@@ -72,25 +85,53 @@ class MultiIndex:
         half = self.first.shape[1]
         return nearest(x[:, :half], self.first) * len(self.second) + nearest(x[:, half:], self.second)
 
-    def visited(self, q: np.ndarray, wanted: int) -> np.ndarray:
-        """Bitmap of the cells a query visits: pairs by falling sum, until they hold ``wanted`` distinct vectors."""
+    def reach(self, q: np.ndarray, wanted: int) -> float:
+        """The sum down to which a query visits cells: pairs by falling sum, until they hold ``wanted`` distinct vectors."""
         half = self.first.shape[1]
         a, b = self.first @ q[:half], self.second @ q[half:]
-        ia, ib = np.argsort(-a, kind="stable").tolist(), np.argsort(-b, kind="stable").tolist()
-        sa, sb, counts, width = a[ia].tolist(), b[ib].tolist(), self.counts, len(ib)
-        out = np.zeros(self.cells, bool)
-        heap, reached, found = [(-(sa[0] + sb[0]), 0, 0)], [0] * len(ia), 0
+        ia, ib = np.argsort(-a, kind="stable"), np.argsort(-b, kind="stable")
+        sa, sb = a[ia], b[ib]
+        step = (sa[0] - sa[-1] + sb[0] - sb[-1]) / _STEPS
+        if not np.isfinite(step):
+            return -np.inf
+        counts = self.counts.reshape(len(a), len(b))[np.ix_(ia, ib)]
+        held = np.zeros((len(a), len(b) + 1), np.int64)  # vectors in the first pairs of each first centroid
+        np.cumsum(counts, axis=1, out=held[:, 1:])
+        tops, falling, width = sa.tolist(), (-sb).tolist(), len(b)
+        heap, at, found, low = [(-(tops[0] - falling[0]), 0)], [0] * len(a), 0, np.inf
         while heap and found < wanted:
-            _, i, j = heapq.heappop(heap)
-            cell = ia[i] * width + ib[j]
-            out[cell] = True
-            found += counts[cell]
-            # a pair is pushed by its left neighbour, or by the one above it in column 0
-            if j + 1 < width:
-                heapq.heappush(heap, (-(sa[i] + sb[j + 1]), i, j + 1))
-            if j == 0 and i + 1 < len(ia):
-                heapq.heappush(heap, (-(sa[i + 1] + sb[0]), i + 1, 0))
-        return out
+            top, i = heapq.heappop(heap)
+            low, start = -top - step, at[i]
+            end = max(start + 1, bisect_right(falling, tops[i] - low))
+            found += held[i, end] - held[i, start]
+            at[i] = end
+            if end < width:
+                heapq.heappush(heap, (falling[end] - tops[i], i))
+            if start == 0 and i + 1 < len(tops):
+                heapq.heappush(heap, (falling[0] - tops[i + 1], i + 1))
+        if found < wanted:
+            return -np.inf
+        # the cells of the last step one by one; what rounding moved across its ends is taken with it
+        slack = 1e-12 * (np.abs(a).max() + np.abs(b).max())
+        last = np.searchsorted(-sb, sa - low + slack, "right")
+        first = np.minimum(np.searchsorted(-sb, sa - low - step - slack, "left"), last)
+        size = last - first
+        i = np.repeat(np.arange(len(a)), size)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(size) - size - first, size)
+        sums = sa[i] + sb[j]
+        order = np.argsort(-sums, kind="stable")
+        more = held[np.arange(len(a)), first].sum() + np.cumsum(counts[i, j][order])
+        return float(sums[order][min(np.searchsorted(more, wanted), len(order) - 1)] - slack)
+
+    def sums(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Inner products of queries with the centroids of both halves."""
+        half = self.first.shape[1]
+        return q[:, :half] @ self.first.T, q[:, half:] @ self.second.T
+
+    def visited(self, q: np.ndarray, wanted: int) -> np.ndarray:
+        """Bitmap of the cells a query visits."""
+        a, b = self.sums(q[None, :])
+        return (a[0][:, None] + b[0][None, :]).ravel() >= self.reach(q, wanted)
 
 
 def inner_products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -125,6 +166,7 @@ def build_index(rows: DataFrame, id_col: str, vec_col: str, centroids: int, samp
     x = np.stack(sample.sort_values(id_col, kind="stable")[vec_col].to_numpy()).astype(np.float64)
     x = x[np.sort(np.unique(x, axis=0, return_index=True)[1])]  # copies would take up centroids
     half = max(1, x.shape[1] // 2)  # one component: the second half is empty, with equal sums
+    centroids = min(centroids, max(1, len(x) // 3))
     index = MultiIndex(kmeans(x[:, :half], centroids), kmeans(x[:, half:], centroids, seed=43))
     vectors = rows.groupBy(_cell_column(index, x.shape[1])(vec_col).alias("cell"), F.xxhash64(vec_col).alias("vector")).count()
     n = vectors.groupBy("cell").agg(F.count("*").alias("distinct"), F.sum("count").alias("rows")).toPandas()
@@ -153,25 +195,28 @@ def _block_layout(counts: np.ndarray, block_rows: int) -> tuple[np.ndarray, np.n
 
 
 def search(rows: DataFrame, queries: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20,
-           candidates: float = 0.55, centroids: int = 64, sample_rows: int = 20_000, block_rows: int = 4096,
+           candidates: float = 0.4, centroids: int | None = None, sample_rows: int = 20_000, block_rows: int = 4096,
            query_block: int = 512) -> DataFrame:
     """The ``k`` rows of largest inner product for every row where ``queries`` holds.
 
     Returns query_id, rank (from 1), ``id_col``, score. ``candidates`` is the
     share of all distinct vectors whose cells a query visits at least. Recall rises with
-    it; embeddings without clusters need a large one.
+    it; embeddings without clusters need a large one. ``centroids`` of a half: the square root of the
+    rows within MIN_CENTROIDS and MAX_CENTROIDS, if not given.
     """
     schema = f"query_id bigint, rank int, {id_col} bigint, score double"
     spark = rows.sparkSession
     width = _usual_width(rows, vec_col)
     good = rows.where(F.col(id_col).isNotNull() & usable(F.col(vec_col), width)).select(F.col(id_col).cast("bigint"), vec_col)
+    n_rows, n_queries = good.agg(F.count(F.lit(1)), F.count_if(queries)).first()
+    centroids = centroids or min(MAX_CENTROIDS, max(MIN_CENTROIDS, isqrt(n_rows)))
     index = build_index(good, id_col, vec_col, centroids, sample_rows) if width else None
     if index is None:
         return spark.createDataFrame([], schema)
     total = int(index.counts.sum())
     wanted = min(total, max(k + 1, int(np.ceil(candidates * total))))
     start, parts, n_blocks = _block_layout(index.rows, block_rows)
-    n_query_blocks = max(1, -(-good.where(queries).count() // query_block))
+    n_query_blocks = max(1, -(-n_queries // query_block))
 
     @F.arrow_udf("struct<cell:int,block:int>")
     def place(vectors: pa.Array, salt: pa.Array) -> pa.Array:
@@ -179,9 +224,9 @@ def search(rows: DataFrame, queries: Column, id_col: str = "vec_id", vec_col: st
         block = start[c] + salt.to_numpy(zero_copy_only=False) % parts[c]
         return pa.StructArray.from_arrays([pa.array(c.astype(np.int32)), pa.array(block.astype(np.int32))], ["cell", "block"])
 
-    @F.arrow_udf("binary")
-    def bitmap(vectors: pa.Array) -> pa.Array:
-        return pa.array([np.packbits(index.visited(q, wanted)).tobytes() for q in _matrix(vectors, width)], pa.binary())
+    @F.arrow_udf("double")
+    def reach(vectors: pa.Array) -> pa.Array:
+        return pa.array([index.reach(q, wanted) for q in _matrix(vectors, width)], pa.float64())
 
     salt = F.pmod(F.xxhash64(id_col, vec_col), F.lit(1 << 30))
     placed = good.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"), place(vec_col, salt).alias("p"))
@@ -189,26 +234,54 @@ def search(rows: DataFrame, queries: Column, id_col: str = "vec_id", vec_col: st
     stored = (placed.select("id", "vec", "p.cell", F.coalesce("p.block", F.lit(0)).alias("block")).groupBy("block")
               .agg(F.collect_list(F.struct("id", "cell", "vec")).alias("stored")))
     # rows equal in id and vector are one query, answered as often as they stand there
-    each = (good.where(queries).select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"), bitmap(vec_col).alias("cells"))
-            .groupBy("id", "vec").agg(F.count(F.lit(1)).alias("times"), F.first("cells").alias("cells")))
-    asked = (each.withColumn("number", F.xxhash64("vec"))
-             .groupBy(F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(n_query_blocks)).alias("query_block"))
-             .agg(F.collect_list(F.struct("id", "cells", "vec", "number", "times")).alias("asked"))
-             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
-
-    n_cells = index.cells
+    each = (good.where(queries).select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"), reach(vec_col).alias("reach"))
+            .groupBy("id", "vec").agg(F.count(F.lit(1)).alias("times"), F.first("reach").alias("reach")))
+    query = F.struct("id", "reach", "vec", F.xxhash64("vec").alias("number"), "times")
+    grouped = (each.groupBy(F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(n_query_blocks)).alias("query_block"))
+               .agg(F.collect_list(query).alias("asked")).select("asked"))
+
+    occupied, large = index.rows > 0, np.flatnonzero(parts > 1)
+    small = np.flatnonzero(occupied & (parts == 1))
+
+    def blocks_of(sums: np.ndarray, limit: float) -> np.ndarray:
+        own = large[sums[large] >= limit]
+        of_own = np.repeat(start[own] - np.cumsum(parts[own]) + parts[own], parts[own]) + np.arange(parts[own].sum())
+        return np.append(np.unique(start[small[sums[small] >= limit]]), of_own)
+
+    def route(batches):
+        """Groups of queries -> for each block, the queries of a group that visit a cell of it."""
+        for batch in batches:
+            for group in batch.column(0):
+                asked = group.values
+                q, limit = _matrix(asked.field("vec"), width), asked.field("reach").to_numpy(zero_copy_only=False)
+                a, b = index.sums(q)
+                seen = [blocks_of((a[i][:, None] + b[i][None, :]).ravel(), limit[i]) for i in range(len(q))]
+                block, who = np.concatenate(seen), np.repeat(np.arange(len(q)), [len(x) for x in seen])
+                order = np.argsort(block, kind="stable")
+                block, who = block[order], who[order]
+                for lo in range(0, len(block), _ROUTED):
+                    part = block[lo:lo + _ROUTED]
+                    at = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+                    members = asked.take(pa.array(who[lo:lo + _ROUTED]))
+                    offsets = pa.array(np.append(at, len(part)).astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array(part[at].astype(np.int32)),
+                                                      pa.ListArray.from_arrays(offsets, members)], ["block", "asked"])
+
+    asked = grouped.mapInArrow(route, f"block int, asked {grouped.schema['asked'].dataType.simpleString()}")
+    n_second = len(index.second)
 
     def score(batches):
         for batch in batches:
             out = ([], [], [], [], [])
-            for a, s in zip(batch.column(0), batch.column(1)):
-                qid, bits, q, number, times = a.values.flatten()
-                rid, at, x = s.values.flatten()
-                qid, rid, at, number, times = (v.to_numpy(zero_copy_only=False) for v in (qid, rid, at, number, times))
+            for asked, stored in zip(batch.column(0), batch.column(1)):
+                qid, limit, q, number, times = asked.values.flatten()
+                rid, at, x = stored.values.flatten()
+                qid, limit, rid, at, number, times = (v.to_numpy(zero_copy_only=False)
+                                                      for v in (qid, limit, rid, at, number, times))
                 q, x = _matrix(q, width), _matrix(x, width)
-                visits = np.unpackbits(np.frombuffer(b"".join(bits.to_pylist()), np.uint8).reshape(len(qid), -1),
-                                       axis=1)[:, :n_cells].astype(bool)
-                rough = np.where(visits[:, at] & (qid[:, None] != rid[None, :]), q @ x.T, -np.inf)
+                a, b = index.sums(q)
+                visits = a[:, at // n_second] + b[:, at % n_second] >= limit[:, None]
+                rough = np.where(visits & (qid[:, None] != rid[None, :]), q @ x.T, -np.inf)
                 for i in range(len(qid)):
                     r = rough[i]
                     found = np.flatnonzero(r > -np.inf)

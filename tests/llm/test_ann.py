@@ -142,3 +142,19 @@ def test_few_ids_keep_their_sample(spark):
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     got = ann.search(df, F.col("vec_id") == 20, k=5, sample_rows=50)
     assert got.count() == 300 * 5
+
+
+def test_reach_takes_no_more_cells_than_wanted():
+    """The walk stops at the cell that completes the wanted vectors, whatever the steps of its runs."""
+    rng = np.random.default_rng(8)
+    index = ann.MultiIndex(rng.normal(size=(40, 3)), rng.normal(size=(30, 3)), rng.integers(0, 3, 1200))
+    for q in rng.normal(size=(20, 6)):
+        sums = ((index.first @ q[:3])[:, None] + (index.second @ q[3:])[None, :]).ravel()
+        order = np.argsort(-sums)
+        held = np.cumsum(index.counts[order])
+        for wanted in (1, 7, 300, int(held[-1])):
+            seen = np.flatnonzero(index.visited(q, wanted))
+            assert set(seen) == set(order[:np.searchsorted(held, wanted) + 1])
+    assert index.reach(np.full(6, 1e308), 5) == -np.inf
+    flat = ann.MultiIndex(np.zeros((2, 3)), np.zeros((2, 3)), np.ones(4, int))
+    assert flat.visited(np.ones(6), 1).all()  # equal sums are not told apart
