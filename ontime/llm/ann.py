@@ -88,7 +88,8 @@ class MultiIndex:
     def reach(self, q: np.ndarray, wanted: int) -> float:
         """The sum down to which a query visits cells: pairs by falling sum, until they hold ``wanted`` distinct vectors."""
         half = self.first.shape[1]
-        a, b = self.first @ q[:half], self.second @ q[half:]
+        with np.errstate(over="ignore", invalid="ignore"):
+            a, b = self.first @ q[:half], self.second @ q[half:]
         ia, ib = np.argsort(-a, kind="stable"), np.argsort(-b, kind="stable")
         sa, sb = a[ia], b[ib]
         step = (sa[0] - sa[-1] + sb[0] - sb[-1]) / _STEPS

@@ -35,7 +35,7 @@ def test_payloads_need_no_python_digest(spark):
 
 def test_vectors_are_placed_once(spark):
     found = evaluations(ann.search(spark.read.parquet(f"{SF}/embeddings.parquet"), F.col("vec_id") % 20 == 0))
-    assert found["place"] == 1 and found["bitmap"] == 1
+    assert found["place"] == 1 and found["reach"] == 1
 
 
 def test_rules_count_a_text_once(spark):
