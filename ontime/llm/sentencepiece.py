@@ -14,10 +14,13 @@ paths are exactly the merge results of every prefix, so each position has one
 survivor and the committed ids equal those of the merge procedure.
 
 If no piece holds a space mark after another character, every path has a
-boundary before such a mark. The stretches between these boundaries repeat
-over a corpus, so their ids are kept in a bounded table per worker. In a BPE
-model, stretches up to ``_SHORT`` characters are searched whole, side by side,
-without window or commits; longer ones take the streaming search.
+boundary before such a mark, so all paths meet there. The stretches between
+these boundaries repeat over a corpus, so their ids are kept in a bounded table
+per worker. In a BPE model many stretches stream side by side, a lane each: a
+round takes up to ``_STEP`` more characters of every stretch that is not at its
+end, and the lanes commit up to the boundary where the paths of their window
+meet. A short stretch ends in its first round. Rounds serve every length; where fewer than
+``_SIDE`` lanes are left, each goes on alone from its last commit, character by character.
 
 Defined cases. NULL stays NULL in decoding and has no ids in encoding; empty
 text has no ids. Characters outside the vocabulary become byte pieces, or, in
@@ -40,7 +43,8 @@ MARK = "\u2581"  # stands for a space
 _NORMAL, _UNKNOWN, _USER_DEFINED, _BYTE = 1, 2, 4, 6
 _UNIGRAM, _BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
-_TABLE_LIMIT, _PAIR_LIMIT, _PAIR_BITS, _SHORT = 1_000_000, 1_000_000, 20, 192
+_DEAD = -3  # marks a boundary that no path reaches
+_TABLE_LIMIT, _PAIR_LIMIT, _PAIR_BITS, _STEP, _SIDE = 1_000_000, 1_000_000, 20, 64, 48
 _KEEP = 32  # longest stretch in the table
 _BATCH_CHARS = 1 << 21
 _STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -56,14 +60,13 @@ class _PieceTable:
     """Piece ids by the polynomial hash of their characters; a second table holds what shares a slot in the first."""
 
     def __init__(self, ids: dict[str, int]):
-        base, bits = 0x9E3779B97F4A7C15, 20
-        self.power = np.multiply.accumulate(np.append(np.uint64(1), np.full(_SHORT, base, np.uint64)))
-        self.back = np.multiply.accumulate(np.append(np.uint64(1), np.full(_SHORT, pow(base, -1, 1 << 64), np.uint64)))
+        bits = 20
+        self.reserve(max(map(len, ids), default=1))
         self.shifts = (np.uint64(64 - bits), np.uint64(20))
         self.mask = np.uint64((1 << bits) - 1)
         self.keys, self.places = np.zeros(max(ids.values(), default=0) + 1, np.uint64), []
         value = {i: sum((ord(c) + 1) * int(self.power[k]) for k, c in enumerate(t)) % (1 << 64)
-                 for t, i in ids.items() if len(t) <= _SHORT}
+                 for t, i in ids.items()}
         for shift in self.shifts:
             places, rest = np.full(1 << bits, -1, np.int32), {}
             if value:
@@ -79,6 +82,12 @@ class _PieceTable:
         if value:
             raise ValueError("the vocabulary does not fit the lookup tables")
 
+    def reserve(self, n: int) -> None:
+        """Powers of the hash's base up to ``n`` characters, and of its inverse."""
+        base = 0x9E3779B97F4A7C15
+        self.power, self.back = (np.multiply.accumulate(np.append(np.uint64(1), np.full(n, b, np.uint64)))
+                                 for b in (base, pow(base, -1, 1 << 64)))
+
     def find(self, value: np.ndarray) -> np.ndarray:
         """Piece ids of hashes, -1 where there is none."""
         mixed = _spread(value)
@@ -116,6 +125,7 @@ class PieceModel:
         self.breaks_at_mark = not any(MARK in t.lstrip(MARK) for t in self.ids)
         self.starts = dict.fromkeys((t[:k] for t in self.ids for k in range(1, len(t))), -1) | self.ids
         self.characters = frozenset(t for t in self.ids if len(t) == 1)
+        self.closed = all(self.characters.issuperset(t) for t in self.ids)
         self.lookup = _PieceTable(self.ids)
         self.pair_key = np.full(1 << _PAIR_BITS, np.iinfo(np.uint64).max)
         self.pair_open = np.zeros(1 << _PAIR_BITS, bool)
@@ -149,11 +159,15 @@ class PieceModel:
 
     # ---- streaming search ----
 
-    def pieces(self, chars):
-        """Yield (piece id, or -1 and an unknown character) of an iterable of characters, as they are committed."""
+    def pieces(self, chars, head: int | None = None):
+        """Yield (piece id, or -1 and an unknown character) of an iterable of characters, as they are committed.
+
+        ``head`` is the piece that was committed before them (BPE; known characters only). A boundary that
+        only paths around that commit could reach is then dead.
+        """
         # path[k] = (start, id, score) of the best way to the boundary after k characters of the buffer;
         # open_at: starts from which the buffer's end is still inside some piece
-        text, path, longest, since, get = "", [(0, None, 0.0)], self.longest, 0, self.starts.get
+        text, path, longest, since, get = "", [(0, head, 0.0)], self.longest, 0, self.starts.get
         open_at: list[int] = []
         for c in chars:
             text += c
@@ -171,9 +185,12 @@ class PieceModel:
                         total = before[2] + self.score[i]
                         if best is None or total > best[2]:
                             best = (start, i, total)
-                    elif best is None and (before[1] is None or before[1] < 0 or self.may_follow(before[1], i)):
+                    elif best is None and before[1] != _DEAD and (before[1] is None or before[1] < 0
+                                                                  or self.may_follow(before[1], i)):
                         best = (start, i, 0.0)
-            if best is None or (not self.bpe and c not in self.ids):
+            if best is None and head is not None:
+                best = (n - 1, _DEAD, 0.0)
+            elif best is None or (not self.bpe and c not in self.ids):
                 unknown = (n - 1, -1, path[n - 1][2] + self.floor)
                 if best is None or unknown[2] > best[2]:
                     best = unknown
@@ -211,30 +228,62 @@ class PieceModel:
             end = start
         return reversed(out)
 
-    # ---- the same search for many short BPE stretches side by side ----
+    # ---- the same search for many BPE stretches side by side ----
 
     def _solve(self, stretches: list[str]) -> list[bytes]:
-        """Ids of distinct stretches of vocabulary characters, all of at most _SHORT characters."""
-        size = np.fromiter(map(len, stretches), np.int64, len(stretches))
+        """Ids of distinct stretches of vocabulary characters."""
         out: list[bytes] = [b""] * len(stretches)
-        order, lo = np.argsort(size, kind="stable"), 0
-        for width in (6, 9, 12, 16, 24, 40, 64, _SHORT):
-            hi = int(np.searchsorted(size[order], width, "right"))
-            if hi > lo:
-                lanes = order[lo:hi]
-                for k, ids in zip(lanes.tolist(), self._lanes([stretches[i] for i in lanes], size[lanes], width)):
-                    out[k] = ids
-            lo = hi
+        size = np.fromiter(map(len, stretches), np.int64, len(stretches))
+        # of every lane: its stretch, the characters committed and reached, and the piece before the first open one
+        lane, base, end, head = np.arange(len(size)), np.zeros_like(size), np.minimum(size, _STEP), np.full(len(size), -2)
+        while len(lane):
+            if len(lane) < _SIDE:
+                for k, a, h in zip(lane.tolist(), base.tolist(), head.tolist()):
+                    out[k] += np.array([i for i, _ in self.pieces(stretches[k][a:], h)], np.uint32).tobytes()
+                break
+            width = end - base
+            order, lo, cut, before = np.argsort(width, kind="stable"), 0, np.zeros_like(width), head.copy()
+            while lo < len(order):  # lanes of like width together
+                shortest = int(width[order[lo]])
+                hi = int(np.searchsorted(width[order], max(6, shortest + shortest // 2), "right"))
+                group, lo = order[lo:hi], hi
+                text = [stretches[k][a:e] if a or e < size[k] else stretches[k]
+                        for k, a, e in zip(lane[group].tolist(), base[group].tolist(), end[group].tolist())]
+                last, come = self._lanes(text, width[group], head[group])
+                stop = width[group].copy()
+                for i in np.flatnonzero(end[group] < size[lane[group]]).tolist():
+                    stop[i] = self._meeting_of(come[:stop[i] + 1, i].tolist())
+                for k, ids in zip(lane[group].tolist(), self._trace_all(last, come, stop)):
+                    out[k] = out[k] + ids if out[k] else ids
+                cut[group], before[group] = stop, last[stop, np.arange(len(group))]
+            going = np.flatnonzero(end < size[lane])
+            lane, base, head, width = lane[going], (base + cut)[going], before[going], width[going]
+            # without a commit the next round takes twice as much, so that no character is read often
+            end = np.minimum(size[lane], end[going] + np.where(cut[going] > 0, _STEP, np.maximum(_STEP, width)))
         return out
 
-    def _lanes(self, stretches: list[str], size: np.ndarray, width: int) -> list[bytes]:
-        m = len(stretches)
+    def _meeting_of(self, come: list[int]) -> int:
+        """The last boundary that the paths of the window's positions share; ``come`` holds where each one's piece starts."""
+        if len(come) <= self.longest:
+            return 0
+        alive = set(range(len(come) - self.longest, len(come)))
+        while len(alive) > 1:
+            last = max(alive)
+            alive.discard(last)
+            alive.add(come[last])
+        return alive.pop()
+
+    def _lanes(self, stretches: list[str], size: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The piece that ends at each position of each lane (-1: none), and where it starts; ``head`` stands before (-2: none)."""
+        m, width = len(stretches), int(size.max())
         chars = np.array(stretches, f"<U{width}").view(np.uint32).reshape(m, width).T.astype(np.uint64)
         table = self.lookup
+        if len(table.power) <= width:
+            table.reserve(2 * width)
         sums = np.zeros((width + 1, m), np.uint64)
         np.cumsum((chars + np.uint64(1)) * table.power[:width, None], axis=0, out=sums[1:])
         last, come = np.full((width + 1, m), -1), np.zeros((width + 1, m), np.int64)
-        last[0] = -2
+        last[0] = head
         for end in range(1, width + 1):
             left = np.flatnonzero(size >= end)  # lanes without a piece that ends here
             for start in range(max(0, end - self.longest), end):
@@ -250,7 +299,13 @@ class PieceModel:
                     left = left[~fits]
                     if not len(left):
                         break
-        ids, at, end, rows = np.zeros((m, width), np.uint32), np.full(m, width), size.copy(), np.arange(m)
+        return last, come
+
+    @staticmethod
+    def _trace_all(last: np.ndarray, come: np.ndarray, stop: np.ndarray) -> list[bytes]:
+        """Ids of the pieces up to position ``stop`` of each lane."""
+        width, m = len(last) - 1, len(stop)
+        ids, at, end, rows = np.zeros((m, width), np.uint32), np.full(m, width), stop.copy(), np.flatnonzero(stop)
         while len(rows):
             at[rows] -= 1
             ids[rows, at[rows]] = last[end[rows], rows]
@@ -315,7 +370,7 @@ class PieceModel:
         new = set().union(*parts).difference(table)
         solved, runs, mixed = {}, set(), {}
         for p in new:
-            if not self.bpe or len(p) > _SHORT:
+            if not (self.bpe and self.closed):
                 solved[p] = self._encode_stretch(p)
             elif self.characters.issuperset(p):
                 runs.add(p)

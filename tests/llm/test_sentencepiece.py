@@ -107,3 +107,18 @@ def test_unsupported_models_are_refused():
     proto.trainer_spec.model_type = 3
     with pytest.raises(ValueError):
         sp.PieceModel(proto)
+
+
+@pytest.mark.parametrize("side, step", [(1, 20), (1, 64), (10 ** 6, 64), (48, 33)])
+def test_lanes_of_every_length(bpe, monkeypatch, side, step):
+    """Rounds with commits side by side, lanes that go on alone, and both in turn give the library's ids."""
+    model, other = bpe
+    monkeypatch.setattr(sp, "_SIDE", side)
+    monkeypatch.setattr(sp, "_STEP", step)
+    rnd = random.Random(side + step)
+    texts = ["".join(rnd.choices("01=_-/", k=rnd.randint(1, 260))) for _ in range(40)]
+    texts += ["".join(rnd.choices("etaoinshrd.,", k=rnd.randint(1, 260))) for _ in range(40)]
+    texts += ["x" * n for n in (step - 1, step, step + 1, 2 * step, 500)] + ["ab" * 150, "=-" * 130, "the" * 90, "-" * 200 + "x", ""]
+    model.stretches.clear()
+    for text, raw in zip(texts, model.encode_all(texts)):
+        assert ids(raw) == other.encode(text)
