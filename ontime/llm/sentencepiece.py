@@ -159,15 +159,15 @@ class PieceModel:
 
     # ---- streaming search ----
 
-    def pieces(self, chars, head: int | None = None):
+    def pieces(self, chars, after: int | None = None):
         """Yield (piece id, or -1 and an unknown character) of an iterable of characters, as they are committed.
 
-        ``head`` is the piece that was committed before them (BPE; known characters only). A boundary that
+        ``after`` is the piece that was committed before them (BPE; known characters only). A boundary that
         only paths around that commit could reach is then dead.
         """
         # path[k] = (start, id, score) of the best way to the boundary after k characters of the buffer;
         # open_at: starts from which the buffer's end is still inside some piece
-        text, path, longest, since, get = "", [(0, head, 0.0)], self.longest, 0, self.starts.get
+        text, path, longest, since, get = "", [(0, after, 0.0)], self.longest, 0, self.starts.get
         open_at: list[int] = []
         for c in chars:
             text += c
@@ -188,7 +188,7 @@ class PieceModel:
                     elif best is None and before[1] != _DEAD and (before[1] is None or before[1] < 0
                                                                   or self.may_follow(before[1], i)):
                         best = (start, i, 0.0)
-            if best is None and head is not None:
+            if best is None and after is not None:
                 best = (n - 1, _DEAD, 0.0)
             elif best is None or (not self.bpe and c not in self.ids):
                 unknown = (n - 1, -1, path[n - 1][2] + self.floor)
