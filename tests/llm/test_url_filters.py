@@ -66,3 +66,24 @@ def test_separator_and_anchors(spark):
     assert got == {0: "block", 1: "block", 2: "allow", 3: "allow"}
     with pytest.raises(ValueError):
         u.judge_urls(df, [u.HostRule("block", "net")])
+
+
+def test_thousands_of_rules(spark):
+    """Rules that share their frequent tokens: each URL gets what trying every rule on it gives."""
+    hosts = [u.HostRule(("allow", "block")[i % 2], f"h{i}.example.com/{('', 'en/', 'p%d/' % (i % 5))[i % 3]}") for i in range(1500)]
+    patterns = [u.PatternRule(p) for i in range(700) for p in (f"*-track{i}.*", f"|http://ad{i}^")]
+    urls = [x for i in range(0, 1600, 9) for x in (
+        f"http://a.h{i}.example.com/en/x", f"https://h{i}.example.com/p{i % 5}/", f"http://ad{i}/en", f"http://ad{i}x/en",
+        f"http://b.org/my-track{i}.js?q", f"http://h{i}.example.com.org/")]
+    got = {r.url: (r.rule, r.verdict, r.pattern) for r in
+           u.judge_urls(spark.createDataFrame([(x,) for x in urls], "url string"), hosts, patterns).collect()}
+    tried = [(p.pattern, re.compile(u._pattern_regex(p.pattern))) for p in patterns]
+    for x in urls:
+        host, path = re.match(r".*?://([^/?#]*)([^?#]*)", x).groups()
+        fit = [r for r in hosts if path.startswith("/" + r.rule.partition("/")[2])
+               and (host == r.rule.partition("/")[0] or host.endswith("." + r.rule.partition("/")[0]))]
+        rule = max(fit, key=lambda r: len(r.rule), default=None)
+        pattern = min((p for p, expr in tried if expr.search(x)), default=None)
+        verdict = rule.verdict if rule else "block" if pattern else "allow"
+        assert got[x] == (rule and rule.rule, verdict, pattern), x
+    assert {v for _, v, _ in got.values()} == {"allow", "block"} and any(p for _, _, p in got.values())
