@@ -15,18 +15,21 @@ from ontime.operators.sizing import bounded_broadcast
 from ontime.sources.store import Layout, buckets_for, fingerprint, stored
 
 
-def flight_view(t: dict[str, DataFrame]) -> DataFrame:
+def flight_view(t: dict[str, DataFrame], partitions: int | None = None) -> DataFrame:
     """Fact view F.
 
     Join order keeps lineitem to a single shuffle: orders meets customer
     first (orders is the smaller side), supplier is broadcast after a size
-    check, and lineitem is shuffled once on the order key.
+    check, and lineitem is shuffled once on the order key (into ``partitions``
+    when given, so that the rows of F lie as a table bucketed alike needs them).
     """
     customer = bounded_broadcast(t["customer"].select("c_custkey", "c_nationkey"))
     supplier = bounded_broadcast(t["supplier"].select("s_suppkey", "s_nationkey"))
     oc = (t["orders"].select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
           .join(customer, F.col("o_custkey") == F.col("c_custkey")))
     li = t["lineitem"].join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    if partitions:
+        li, oc = li.repartition(partitions, "l_orderkey"), oc.repartition(partitions, "o_orderkey")
     f = li.join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
     cancelled = F.col("o_orderstatus") == "F"
     code = F.substring(F.lit("ABCDX"), F.substring("o_orderpriority", 1, 1).cast("int"), 1)
@@ -56,7 +59,7 @@ def flight_view(t: dict[str, DataFrame]) -> DataFrame:
 
 
 # Part of a stored table's key: raise it when flight_view changes.
-FACT_VERSION = "flights-1"
+FACT_VERSION = "flights-2"
 FACT_TABLES = ("lineitem", "orders", "customer", "supplier")
 
 
@@ -65,17 +68,35 @@ def fact_key(spark: SparkSession, sf_dir: str) -> str:
     return fingerprint(spark, [f"{sf_dir.rstrip('/')}/{n}.parquet" for n in FACT_TABLES], FACT_VERSION)
 
 
+# A task that joins, sorts and writes a bucket of F, all years, has so few rows that the sort stays in memory.
+FACT_ROWS_PER_BUCKET = 500_000
+
+
+def joined_partitions(spark: SparkSession, buckets: int, most_files: int = 4) -> int | None:
+    """Partitions of a join whose rows are written to ``buckets`` without another shuffle, or None.
+
+    A multiple of the buckets, so that a partition has rows of one bucket; not below ``spark.sql.shuffle.partitions``, to
+    which Spark raises a join's partitions; None if a bucket would get more than ``most_files`` files (small tables)."""
+    parts = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // buckets)
+    return parts * buckets if parts <= most_files else None
+
+
 def stored_flights(t: dict[str, DataFrame], key: str) -> DataFrame:
-    """F written once: a folder per year, bucketed and sorted by the order key (which spreads evenly, as a carrier may not)."""
+    """F written once: a folder per year, bucketed and sorted by the order key (which spreads evenly, as a carrier may not).
+
+    The join deals its narrow sides by the order key so that each partition has rows of one bucket: the wide rows of F
+    are written where they are made and not shuffled (those of a small table are, into fewer files)."""
     lineitem = t["lineitem"]
-    layout = Layout(("l_orderkey",), buckets_for(lineitem.count()), ("Year",), ("l_orderkey", "l_linenumber"))
-    return stored(lineitem.sparkSession, "flights", key, lambda: flight_view(t), layout)
+    buckets = buckets_for(lineitem.count(), FACT_ROWS_PER_BUCKET)
+    layout = Layout(("l_orderkey",), buckets, ("Year",), ("l_orderkey", "l_linenumber"))
+    n = joined_partitions(lineitem.sparkSession, buckets)
+    return stored(lineitem.sparkSession, "flights", key, lambda: flight_view(t, n), layout, dealt=n is not None)
 
 
 def stored_orders(t: dict[str, DataFrame], key: str) -> DataFrame:
     """orders in the buckets of F, so that both join on the order key without an exchange."""
     orders = t["orders"]
-    layout = Layout(("o_orderkey",), buckets_for(t["lineitem"].count()), (), ("o_orderkey",))
+    layout = Layout(("o_orderkey",), buckets_for(t["lineitem"].count(), FACT_ROWS_PER_BUCKET), (), ("o_orderkey",))
     return stored(orders.sparkSession, "orders", key, lambda: orders.select("o_orderkey", "o_orderpriority", "o_totalprice"), layout)
 
 

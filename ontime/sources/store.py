@@ -65,12 +65,13 @@ def _manifest(spark: SparkSession, folder: str) -> dict | None:
     return min((r.asDict() for r in rows), key=lambda r: r["path"], default=None)
 
 
-def _write(df: DataFrame, folder: str, layout: Layout) -> None:
+def _write(df: DataFrame, folder: str, layout: Layout, dealt: bool = False) -> None:
     spark, path = df.sparkSession, f"{folder}/data-{uuid.uuid4().hex}"
     table = f"ontime_write_{uuid.uuid4().hex}"
     # all rows of one file go to one task, so that a cell of the layout is one file
     bucket = F.pmod(F.hash(*layout.bucket_by), F.lit(layout.buckets))
-    writer = df.repartition(*layout.partition_by, bucket).write.format("parquet").option("path", path)
+    rows = df if dealt else df.repartition(*layout.partition_by, bucket)
+    writer = rows.write.format("parquet").option("path", path)
     if layout.partition_by:
         writer = writer.partitionBy(*layout.partition_by)
     writer = writer.bucketBy(layout.buckets, *layout.bucket_by)
@@ -104,11 +105,14 @@ def open_stored(spark: SparkSession, folder: str, name: str) -> DataFrame | None
     return spark.table(name).select(*schema.fieldNames())
 
 
-def stored(spark: SparkSession, name: str, key: str, make, layout: Layout) -> DataFrame:
-    """The stored table of this name and key; ``make()`` gives its rows if no session wrote it before."""
+def stored(spark: SparkSession, name: str, key: str, make, layout: Layout, dealt: bool = False) -> DataFrame:
+    """The stored table of this name and key; ``make()`` gives its rows if no session wrote it before.
+
+    ``dealt``: each of their partitions has rows of one bucket, so they are not moved again.
+    """
     folder, table = f"{checkpoint_dir(spark).rstrip('/')}/stored/{name}-{key}", f"ontime_{name}_{key}"
     df = open_stored(spark, folder, table)
     if df is None:
-        _write(make(), folder, layout)
+        _write(make(), folder, layout, dealt)
         df = open_stored(spark, folder, table)
     return df

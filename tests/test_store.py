@@ -142,3 +142,17 @@ def test_partition_functions(spark):
     assert sum(r.n for r in sizes.collect()) == 1000 and max(r.n for r in sizes.collect()) <= 64
     with pytest.raises(Exception, match="declared"):
         map_partitions(df, lambda b: b, "id int").collect()
+
+
+def test_fact_rows_are_written_where_they_are_joined(spark):
+    """A partition of the join has rows of one bucket, so that the wide rows need no shuffle of their own."""
+    t = catalog.Tables(spark, SF_SMALL)
+    f = dt.flight_view(t, 8).select(F.spark_partition_id().alias("task"), F.pmod(F.hash("l_orderkey"), F.lit(4)).alias("bucket"))
+    per_task = f.groupBy("task").agg(F.count_distinct("bucket").alias("n"), F.count("*").alias("rows")).collect()
+    assert len(per_task) == 8 and {r.n for r in per_task} == {1}
+    assert sum(r.rows for r in per_task) == t["lineitem"].count()
+    assert plan_of(dt.flight_view(t, 8)).split("(1) ")[0].count("Exchange") <= plan_of(dt.flight_view(t)).split("(1) ")[0].count("Exchange") + 2
+    other = spark.newSession()
+    other.conf.set("spark.sql.shuffle.partitions", "200")
+    assert dt.joined_partitions(other, 64) == 256 and dt.joined_partitions(other, 512) == 512
+    assert dt.joined_partitions(other, 4) is None  # a small table is shuffled into few files
