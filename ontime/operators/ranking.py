@@ -38,15 +38,22 @@ def stratified_sample(df: DataFrame, by, n: int, order_key: Column) -> DataFrame
             .where(F.col("__rn") <= n).drop("__rn"))
 
 
-def numbered_rows(df: DataFrame, name: str = "__copy") -> DataFrame:
+def numbered_rows(df: DataFrame, name: str = "__copy", copies_per_block: int = 100_000) -> DataFrame:
     """Every row with its occurrence number (from 1) among equal rows.
 
-    Equal rows are counted with a map-side step and written out again, so no
-    task gathers a frequent row's copies, and the numbers do not depend on
-    the layout.
+    Equal rows are counted with a map-side step and written out again in
+    blocks of at most ``copies_per_block``. The blocks are dealt over
+    ``spark.sql.shuffle.partitions`` first: counted rows may be so small that
+    adaptive execution puts all into a few tasks, which would then write out
+    and process all copies. The numbers do not depend on the layout.
     """
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
-    return counted.withColumn(name, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n")))).drop("__n")
+    step = F.lit(copies_per_block).cast("bigint")
+    blocks = counted.withColumn("__first", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n"), step)))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = blocks.repartition(partitions, *[F.col(f"`{c}`") for c in df.columns], "__first")
+    copies = F.sequence(F.col("__first"), F.least(F.col("__n"), F.col("__first") + step - 1))
+    return dealt.withColumn(name, F.explode(copies)).drop("__n", "__first")
 
 
 def running_total(df: DataFrame, order_col: str, value_cols, out_cols=None, keys_per_bucket: int = 500_000,

@@ -122,9 +122,17 @@ def scored_by_all(models: dict, test: DataFrame) -> DataFrame:
     return rows.select(F.inline(F.array(*cells)))
 
 
-def classifier_comparison(models: dict, test: DataFrame) -> DataFrame:
-    """(Classifier, Metric, Performance), four metrics per model, one aggregate."""
-    return confusion_metrics(scored_by_all(models, test), "label", "prediction", by=["Classifier"])
+def confusion_counts(models: dict, test: DataFrame) -> DataFrame:
+    """(Classifier, label, prediction, n): the confusion matrix of every model, one pass over the test rows."""
+    return scored_by_all(models, test).groupBy("Classifier", "label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+def classifier_comparison(models: dict, test: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """(Classifier, Metric, Performance), four metrics per model, one aggregate.
+
+    ``counts``: the test rows' :func:`confusion_counts`, if they are already there."""
+    counts = confusion_counts(models, test) if counts is None else counts
+    return confusion_metrics(counts, "label", "prediction", by=["Classifier"], count_col="n")
 
 
 def logistic_roc(models: dict, test: DataFrame) -> DataFrame:

@@ -84,3 +84,14 @@ def test_ml_outputs_invariants(spark):
     assert (roc[0].FPR, roc[0].TPR) == (0.0, 0.0) and (roc[-1].FPR, roc[-1].TPR) == (1.0, 1.0)
     imp = q["feature_importance"](spark, SF_SMALL).collect()
     assert len(imp) == 12
+
+
+def test_classifier_checks_read_the_test_rows_once(spark):
+    """Three passes over the split and scored rows made this query; all its figures come from one confusion matrix."""
+    from tests.test_store import plan_of
+    checks = queries()["classifier_checks"](spark, SF_SMALL)
+    text = plan_of(checks)
+    assert "parquet" not in text and "Generate explode" not in text
+    rows = checks.collect()
+    assert len(rows) == 4 and len({(r.test_rows, r.majority) for r in rows}) == 1
+    assert all(r.in_range and r.recall_is_accuracy for r in rows)

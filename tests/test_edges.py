@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ontime.functions.timefns import local_to_utc
 from ontime.operators import join_with_suffix, running_total, union_all
+from ontime.operators.ranking import numbered_rows
 from ontime.plans import reports
 from ontime.plans.classify import exact_roc, scored_by_all, train_classifiers
 from ontime.plans.cluster import kmeans_silhouette
@@ -203,3 +204,16 @@ def test_command_line_on_an_empty_configuration(tmp_path):
                                *extra], capture_output=True, text=True, env=env, timeout=170,
                               cwd=__import__("os").path.dirname(__import__("os").path.dirname(__file__)))
         assert done.returncode == 0, done.stderr[-1500:]
+
+
+def test_copies_are_written_out_in_many_tasks(spark):
+    """Adaptive execution puts few small counted rows into one task; their copies must not stay there."""
+    df = spark.range(40_000).select((F.col("id") % 40).alias("a"), F.when(F.col("id") % 40 == 7, F.lit(None)).otherwise(1.5).alias("b"))
+    got = numbered_rows(df, copies_per_block=300).withColumn("task", F.spark_partition_id())
+    tasks = [r["count"] for r in got.groupBy("task").count().collect()]
+    assert len(tasks) == 4 and max(tasks) < 20_000
+    assert max(r["count"] for r in numbered_rows(df.where("a = 7"), copies_per_block=100).groupBy(F.spark_partition_id()).count().collect()) < 900
+    assert got.columns[:3] == ["a", "b", "__copy"]
+    per_row = got.groupBy("a", "b").agg(F.count("*").alias("n"), F.count_distinct("__copy").alias("d"), F.min("__copy").alias("lo"),
+                                        F.max("__copy").alias("hi")).collect()
+    assert len(per_row) == 40 and all((r.n, r.d, r.lo, r.hi) == (1000, 1000, 1, 1000) for r in per_row)
