@@ -97,12 +97,12 @@ def stored_split_and_train(flights: DataFrame, store: ModelStore, seed: int = 42
     data = classification_set(flights)
     _, test = hash_split(data, fraction=fraction, seed=seed)
 
-    def fit():
-        kept = data.persist(StorageLevel.MEMORY_AND_DISK)
+    def fit():  # the layout of the fits counts the training part and then deals it: it is split once
+        train = hash_split(data, fraction=fraction, seed=seed)[0].persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return train_classifiers(hash_split(kept, fraction=fraction, seed=seed)[0], seed=seed)
+            return train_classifiers(train, seed=seed)
         finally:
-            kept.unpersist()
+            train.unpersist()
     return store.fitted("classifiers", data, fit, seed=seed, fraction=fraction), test
 
 
