@@ -29,13 +29,15 @@ def hash_split(df: DataFrame, key_cols=None, fraction: float = 0.7, seed: int =
     return (train, test) if key_cols else (train.drop("__copy"), test.drop("__copy"))
 
 
-# Rows in one partition of a fit input; beyond 2,000 partitions they grow.
+# Rows in one partition of a fit input; beyond MOST_PARTITIONS they grow, up to 5 million. A fit runs hundreds of jobs,
+# and each task of each job answers the driver, so the partitions must not grow with the rows.
 ROWS_PER_PARTITION = 50_000
+MOST_PARTITIONS = 96
 
 
 def fit_partitions(rows: int) -> int:
     """Number of partitions of a fit input: a function of its size alone."""
-    return max(1, min(-(-rows // ROWS_PER_PARTITION), max(2_000, rows // 5_000_000)))
+    return max(1, min(-(-rows // ROWS_PER_PARTITION), max(MOST_PARTITIONS, rows // 5_000_000)))
 
 
 def fit_layout(df: DataFrame, key_cols, partitions: int | None = None) -> DataFrame:

@@ -206,6 +206,12 @@ def test_command_line_on_an_empty_configuration(tmp_path):
         assert done.returncode == 0, done.stderr[-1500:]
 
 
+def test_fit_partitions_stay_few_on_large_inputs():
+    """Hundreds of jobs per fit: 1 GB had 504 partitions and 6 GB 2,000, so many answers to the driver for each job."""
+    assert fit_partitions(25_200_000) <= 96 and fit_partitions(151_000_000) <= 96
+    assert fit_partitions(4_800_000) == 96 and fit_partitions(4_700_000) == 94
+
+
 def test_copies_are_written_out_in_many_tasks(spark):
     """Adaptive execution puts few small counted rows into one task; their copies must not stay there."""
     df = spark.range(40_000).select((F.col("id") % 40).alias("a"), F.when(F.col("id") % 40 == 7, F.lit(None)).otherwise(1.5).alias("b"))
