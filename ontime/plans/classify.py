@@ -19,7 +19,9 @@ from pyspark.ml.feature import RFormula
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
+from ontime.plans.binned import BinnedRows
 from ontime.plans.evaluate import confusion_metrics, roc_points
 from ontime.plans.ml_common import fit_layout, hash_split
 from ontime.plans.model_store import ModelStore
@@ -60,20 +62,28 @@ def _estimators(seed: int):
 def train_classifiers(train: DataFrame, features=FEATURES, label=LABEL, seed: int = 42) -> dict:
     """Fit the four models (library defaults, as the dashboard) on ``train``.
 
-    The formula is fitted once and the (features, label) vectors are dealt by
-    content and persisted once for all four fits, so every iteration reads
-    compact cached vectors and the models do not depend on the input's layout.
-    Each result is a ``PipelineModel`` (formula, classifier).
+    The rows are dealt by content and persisted once for all four fits, so the
+    models do not depend on the input's layout. The trees are fitted on the
+    rows counted by bins (:class:`BinnedRows`), unless a column is no number:
+    the formula makes categories of texts. Each result is a ``PipelineModel``
+    (formula, classifier).
     """
     checkpoint_dir(train.sparkSession)
-    laid_out = fit_layout(train.select(label, *features), [label, *features])
+    laid_out = fit_layout(train.select(label, *features), [label, *features]).persist(StorageLevel.MEMORY_AND_DISK)
     formula = RFormula(formula=_formula(features, label)).fit(laid_out)
-    vectors = formula.transform(laid_out).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = formula.transform(laid_out).select("features", "label")
+    estimators, models, binned = _estimators(seed), {}, None
     try:
-        return {name: PipelineModel(stages=[formula, est.fit(vectors)])
-                for name, est in _estimators(seed).items()}
+        models["Logistic"] = estimators.pop("Logistic").fit(vectors)
+        if all(isinstance(f.dataType, NumericType) for f in laid_out.schema):
+            binned = BinnedRows(laid_out, vectors, estimators["Decision Tree"].getMaxBins(), seed)
+        for name, est in estimators.items():
+            models[name] = binned.fit(est) if binned else est.fit(vectors)
+        return {name: PipelineModel(stages=[formula, model]) for name, model in models.items()}
     finally:
-        vectors.unpersist()
+        if binned:
+            binned.close()
+        laid_out.unpersist()
 
 
 def split_and_train(flights: DataFrame, seed: int = 42, fraction: float = 0.7):
