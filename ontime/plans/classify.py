@@ -23,8 +23,8 @@ from pyspark.sql.types import NumericType
 
 from ontime.plans.binned import BinnedRows
 from ontime.plans.evaluate import confusion_metrics, roc_points
-from ontime.plans.ml_common import fit_layout, hash_split
-from ontime.plans.model_store import ModelStore
+from ontime.plans.ml_common import fit_layout, hash_split, labelled_rows
+from ontime.plans.model_store import ModelStore, rows_fingerprint
 from ontime.session import checkpoint_dir
 
 # The report's features.
@@ -102,18 +102,15 @@ def split_and_train(flights: DataFrame, seed: int = 42, fraction: float = 0.7):
         data.unpersist()
 
 
-def stored_split_and_train(flights: DataFrame, store: ModelStore, seed: int = 42, fraction: float = 0.7):
-    """R12 with the fits kept on shared storage (S9): (models, test), read back if any session fitted equal rows."""
+def stored_split_and_train(flights: DataFrame, store: ModelStore, seed: int = 42, fraction: float = 0.7, key: str | None = None):
+    """R12 with the split and the fits kept on shared storage (S9): (models, test), read back if any session had equal rows.
+
+    The rows are split once, for all fits and for the reports over the test part. ``key``: their fingerprint, if known."""
     data = classification_set(flights)
-    _, test = hash_split(data, fraction=fraction, seed=seed)
-
-    def fit():  # the layout of the fits counts the training part and then deals it: it is split once
-        train = hash_split(data, fraction=fraction, seed=seed)[0].persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            return train_classifiers(train, seed=seed)
-        finally:
-            train.unpersist()
-    return store.fitted("classifiers", data, fit, seed=seed, fraction=fraction), test
+    key = key or rows_fingerprint(data)
+    rows = store.rows("classifier_rows", key, labelled_rows(data, fraction, seed), ["training"], seed=seed, fraction=fraction)
+    train, test = rows.where("training").drop("training"), rows.where("not training").drop("training")
+    return store.fitted("classifiers", key, lambda: train_classifiers(train, seed=seed), seed=seed, fraction=fraction), test
 
 
 def scored_by_all(models: dict, test: DataFrame) -> DataFrame:

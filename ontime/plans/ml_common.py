@@ -29,6 +29,12 @@ def hash_split(df: DataFrame, key_cols=None, fraction: float = 0.7, seed: int =
     return (train, test) if key_cols else (train.drop("__copy"), test.drop("__copy"))
 
 
+def labelled_rows(df: DataFrame, fraction: float = 0.7, seed: int = 42) -> DataFrame:
+    """Every row with ``training``, its part in :func:`hash_split` without a key, for both parts in one pass."""
+    keyed = numbered_rows(df)
+    return keyed.withColumn("training", split_label(keyed.columns, fraction, seed) == "training").drop("__copy")
+
+
 # Rows in one partition of a fit input; beyond MOST_PARTITIONS they grow, up to 5 million. A fit runs hundreds of jobs,
 # and each task of each job answers the driver, so the partitions must not grow with the rows.
 ROWS_PER_PARTITION = 50_000

@@ -56,9 +56,27 @@ class ModelStore:
             return None
         return min((r["attempt"] for r in rows), default=None)
 
-    def fitted(self, name: str, training: DataFrame, fit: Callable[[], dict[str, PipelineModel]], **params) -> dict[str, PipelineModel]:
+    @staticmethod
+    def _rows_key(training: DataFrame | str) -> str:
+        """The fingerprint of the rows, which may be given instead of them."""
+        return training if isinstance(training, str) else rows_fingerprint(training)
+
+    def _note(self, path: str, attempt: str) -> None:
+        self.spark.createDataFrame([(attempt,)], "attempt string").coalesce(1).write.mode("append").json(f"{path}/manifest")
+
+    def rows(self, name: str, training: DataFrame | str, made: DataFrame, parts: list[str], **params) -> DataFrame:
+        """The rows of ``made``, written once, in a folder for each value of ``parts``, for equal training rows and parameters."""
+        path = self._path(name, self._rows_key(training), params)
+        attempt = self._saved(path)
+        if attempt is None:
+            attempt = f"{path}/attempt-{uuid.uuid4().hex}"
+            made.write.partitionBy(*parts).parquet(f"{attempt}/rows")
+            self._note(path, attempt)
+        return self.spark.read.schema(made.schema).parquet(f"{attempt}/rows")
+
+    def fitted(self, name: str, training: DataFrame | str, fit: Callable[[], dict[str, PipelineModel]], **params) -> dict[str, PipelineModel]:
         """The models of ``fit()``, read back if they were saved for equal training rows and parameters."""
-        path = self._path(name, rows_fingerprint(training), params)
+        path = self._path(name, self._rows_key(training), params)
         known = (self.spark.sparkContext.applicationId, path)
         if known in self._loaded:
             return self._loaded[known]
@@ -68,16 +86,16 @@ class ModelStore:
             for i, (part, model) in enumerate(models.items()):
                 model.write().save(f"{attempt}/{i}")
             self.spark.createDataFrame([(json.dumps(list(models)),)], "names string").coalesce(1).write.json(f"{attempt}/names")
-            self.spark.createDataFrame([(attempt,)], "attempt string").coalesce(1).write.mode("append").json(f"{path}/manifest")
+            self._note(path, attempt)
             self._loaded[known] = models
             return models
         names = json.loads(self.spark.read.schema("names string").json(f"{attempt}/names").first()[0])
         self._loaded[known] = {part: PipelineModel.load(f"{attempt}/{i}") for i, part in enumerate(names)}
         return self._loaded[known]
 
-    def node_tables(self, name: str, training: DataFrame, **params) -> dict[str, DataFrame]:
+    def node_tables(self, name: str, training: DataFrame | str, **params) -> dict[str, DataFrame]:
         """The saved nodes of the last stage of each tree model, as its writer laid them out."""
-        attempt = self._saved(self._path(name, rows_fingerprint(training), params))
+        attempt = self._saved(self._path(name, self._rows_key(training), params))
         if attempt is None:
             raise LookupError(f"no saved fit of {name} for these rows")
         names, out = json.loads(self.spark.read.schema("names string").json(f"{attempt}/names").first()[0]), {}

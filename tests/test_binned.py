@@ -1,4 +1,4 @@
-"""Tree fits over counted cells against Spark's fits on the rows."""
+"""Tree fits over counted cells against Spark's fits on the rows, and the split that all fits and reports share."""
 
 import random
 from collections import Counter
@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from ontime.plans import binned
 from ontime.plans.binned import BinnedRows, bootstrap_counts, candidates, counted_cells
-from ontime.plans.classify import _formula, train_classifiers
-from ontime.plans.ml_common import fit_layout
+from ontime.plans.classify import _formula, stored_split_and_train, train_classifiers
+from ontime.plans.ml_common import fit_layout, hash_split
+from ontime.plans.model_store import ModelStore
 
 COLUMNS = ["OnTime", "DepDelay", "Distance", "TaxiIn", "TaxiOut"]
 
@@ -124,3 +125,27 @@ def test_cells_hold_every_row_on_its_side_of_every_candidate(spark):
     df = spark.createDataFrame([(1.0, 1.0), (1.0, 2.0), (0.0, 2.0), (0.0, 5.0), (0.0, 5.0)], "OnTime double, DepDelay double")
     got = {(r.label, r.b0, r.n) for r in counted_cells(df, [[1.0, 2.0, 3.0, 4.0]]).collect()}
     assert got == {(1.0, 0, 1), (1.0, 1, 1), (0.0, 1, 1), (0.0, 4, 2)}
+
+
+def flights(spark, n):
+    return sample(spark, n).select(F.when(F.col("OnTime") == 1, 0.0).otherwise(40.0).alias("ArrDelay"), *COLUMNS[1:])
+
+
+def test_the_split_is_kept_with_the_fits(spark, tmp_path):
+    df = flights(spark, 600)
+    df = df.unionByName(df.limit(50)).unionByName(df.limit(1).withColumn("ArrDelay", F.lit(None).cast("double")))
+    store = ModelStore(spark, f"{tmp_path}/models")
+    models, test = stored_split_and_train(df, store)
+    plan = test._jdf.queryExecution().toString()
+    assert "Aggregate" not in plan and "md5" not in plan and "Exchange" not in plan
+    data = df.where("ArrDelay is not null").select(F.when(F.col("ArrDelay") > 15, 0.0).otherwise(1.0).alias("OnTime"), *COLUMNS[1:])
+    assert sorted(test.collect()) == sorted(hash_split(data)[1].collect()) and test.columns == COLUMNS
+    again, same = stored_split_and_train(df.repartition(3), ModelStore(spark, f"{tmp_path}/models"))
+    assert again is models and sorted(same.collect()) == sorted(test.collect())
+
+
+def test_kept_rows_without_rows(spark, tmp_path):
+    store = ModelStore(spark, f"{tmp_path}/models")
+    none = spark.createDataFrame([], "a int, training boolean")
+    for _ in range(2):
+        assert store.rows("r", none, none, ["training"]).where("training").drop("training").collect() == []
