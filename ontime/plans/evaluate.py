@@ -66,8 +66,8 @@ def roc_points(scored: DataFrame, score_col: str = "score", label_col: str = "la
     per_score = scored.groupBy(F.col(score_col).alias("threshold")).agg(
         F.sum(F.when(F.col(label_col) == 1, 1).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col(label_col) == 1, 0).otherwise(1)).alias("neg"))
-    totals = per_score.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N"))).scalar()
     cum = running_total(per_score, "threshold", ["pos", "neg"], ["tp", "fp"], descending=True)
+    totals = cum.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N"))).scalar()  # the rows are scored once
     curve = cum.select(
         F.round(F.try_divide(F.col("fp"), totals.getField("N")), digits).alias("FPR"),
         F.round(F.try_divide(F.col("tp"), totals.getField("P")), digits).alias("TPR"),

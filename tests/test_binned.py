@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ontime.plans import binned
 from ontime.plans.binned import BinnedRows, bootstrap_counts, candidates, counted_cells
 from ontime.plans.classify import _formula, stored_split_and_train, train_classifiers
+from ontime.plans.evaluate import roc_points
 from ontime.plans.ml_common import fit_layout, hash_split
 from ontime.plans.model_store import ModelStore
 
@@ -149,3 +150,16 @@ def test_kept_rows_without_rows(spark, tmp_path):
     none = spark.createDataFrame([], "a int, training boolean")
     for _ in range(2):
         assert store.rows("r", none, none, ["training"]).where("training").drop("training").collect() == []
+
+
+def test_roc_points_read_the_scores_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+    scored = spark.range(100).selectExpr("id / 10 as score", "cast(id % 3 = 0 as double) as label")
+    curve = roc_points(scored.mapInPandas(count, scored.schema)).collect()
+    assert len(curve) == 102 and seen.value == 100
+    assert max(r.FPR for r in curve) == max(r.TPR for r in curve) == 1.0
