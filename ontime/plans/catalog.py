@@ -53,7 +53,7 @@ from ontime.plans.cluster import (
 )
 from ontime.plans.evaluate import confusion_metrics, roc_points, silhouette
 from ontime.plans.ml_common import fit_layout, hash_split
-from ontime.plans.model_store import ModelStore
+from ontime.plans.model_store import ModelStore, rows_fingerprint
 from ontime.plans.relational import predicate_counts
 from ontime.plans.stats import correlation_matrix, correlation_pairs, min_max_scale
 from ontime.session import checkpoint_dir, cut_lineage
@@ -892,8 +892,9 @@ def q_best_gini_splits(spark, sf_dir):
 def q_importance_from_nodes(spark, sf_dir):
     """ML14, R15: importances from the saved trees' node tables, beside those the models state."""
     _, f = _flights(spark, sf_dir)
-    models, _ = _fitted_classifiers(spark, sf_dir)
-    tables = ModelStore(spark).node_tables("classifiers", classification_set(f), seed=42, fraction=0.7)
+    store, key = ModelStore(spark), rows_fingerprint(classification_set(f))
+    models, _ = stored_split_and_train(f, store, key=key)
+    tables = store.node_tables("classifiers", key, seed=42, fraction=0.7)
     stated = feature_importance(spark, models).withColumnRenamed("importance", "stated")
     return certificates.importance_from_nodes(tables, FEATURES).join(stated, ["Model", "feature"])
 
